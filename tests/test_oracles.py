@@ -1,0 +1,44 @@
+"""Every registered query against its SQL counterpart."""
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.compare import duck, spark_rows, sql_rows
+
+SF = "/root/testdata/sf0.01"
+
+# rows at sf0.01, so that an empty result on both sides is noticed
+EXPECTED = {
+    "decode_page_views": 1982, "decode_purchases": 1981, "event_time_fallback": 1982, "encode_results": 1773,
+    "results_union": 3162, "tumbling_by_product": 1445, "tumbling_by_product_salted": 1445, "tumbling_count": 667,
+    "sliding_count": 722, "session_count": 1773, "session_metrics": 1773, "gmv_per_window": 673,
+    "dashboard_counters": 1, "topk_products": 300, "topk_products_nested": 30, "topk_sql": 300, "topk_sliding": 320,
+    "topk_approx": 300, "topk_two_level": 300, "rank_movement": 300, "share_of_max": 1445, "key_skew": 100,
+    "interval_join": 236, "same_product_conversion": 1, "same_product_conversion_latest": 1, "window_join": 222,
+    "funnel": 1, "rapid_purchases": 153, "rapid_purchase_filtered": 35, "threshold_anomaly": 122,
+    "new_account_burst": 48, "watermark_replay": 10000, "min_watermark": 200, "late_counts": 2,
+    "late_side_output": 863, "late_dropped_windows": 345, "allowed_lateness": None, "watermark_lag_bands": 3,
+    "event_vs_arrival": 720, "latest_per_type": 3, "recent_n": 150, "dedup_windows": 3162, "recent_span": 3,
+    "max_concurrent_sessions": 1,
+}
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF)
+
+
+def test_every_query_has_a_counterpart():
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_matches_sql(spark, con, name):
+    df = entry.queries()[name](spark, SF)
+    got_columns, got = spark_rows(df)
+    want_columns, want = sql_rows(con, entry.oracle_sql()[name])
+    assert got_columns == want_columns
+    assert got == want
+    assert len(got) > 0
+    if EXPECTED.get(name):
+        assert len(got) == EXPECTED[name]
