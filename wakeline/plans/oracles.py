@@ -216,3 +216,18 @@ ORACLES: dict[str, str] = {
                SELECT window_start_ms AS at_ms, 1 AS d FROM sess UNION ALL SELECT window_end_ms, -1 FROM sess))""",
         _SESSIONS),
 }
+
+# Streams: a window gives its row once the watermark, the last event time minus the delay, has reached its end.
+_MARK = f"mark AS (SELECT max(ts_ms) - {HOUR} AS wm FROM v)"
+_CLOSED = "SELECT c.* FROM ({counts}) c, mark WHERE window_end_ms <= wm"
+
+ORACLES |= {
+    "stream_tumbling_count": _with(_CLOSED.format(counts=_tumbling("v", HOUR)), _MARK),
+    "stream_sliding_count": _with(_CLOSED.format(counts=_sliding("v", 3 * HOUR, HOUR)), _MARK),
+    "stream_session_count": _with(
+        _CLOSED.format(counts="SELECT window_start_ms, window_end_ms, user_id, count FROM sess"), _SESSIONS, _MARK),
+    "stream_topk_products": _with(_CLOSED.format(counts="SELECT * FROM board"), _BOARD, _MARK),
+    "stream_interval_join": _with("SELECT * FROM matches", _match(HOUR, 6 * HOUR)),
+    "stream_rapid_purchases": _with(
+        f"SELECT * FROM alerts WHERE last_ts <= (SELECT max(ts_ms) - {HOUR} FROM p)", _alerts()),
+}

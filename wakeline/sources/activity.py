@@ -13,12 +13,17 @@ LATE_STRIDE = 7919
 PARTITIONS = 4
 
 
-def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def activity(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """All events: ``event_id, user_id, event_type, product_id, amount_usd, ts_ms, ts``.
 
     Expects a UTC session: the stored timestamps carry no zone.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    path = f"{sf_dir}/events.parquet"
+    # a file stream takes a folder or a pattern; the pattern also fits a table that is one file
+    events = spark.readStream.schema(EVENTS).parquet(path + "*") if streaming else spark.read.parquet(path)
     ts_ms = F.unix_millis(F.col("ts").cast("timestamp"))
     return events.select(
         "event_id", F.col("user_id").cast("string").alias("user_id"), "event_type",
@@ -26,12 +31,12 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("amount_usd"), ts_ms.alias("ts_ms"), F.timestamp_millis(ts_ms).alias("ts"))
 
 
-def page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return activity(spark, sf_dir).filter(F.col("event_type") == "view").drop("event_type", "amount_usd")
+def page_views(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    return activity(spark, sf_dir, streaming).filter(F.col("event_type") == "view").drop("event_type", "amount_usd")
 
 
-def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return activity(spark, sf_dir).filter(F.col("event_type") == "purchase").drop("event_type")
+def purchases(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    return activity(spark, sf_dir, streaming).filter(F.col("event_type") == "purchase").drop("event_type")
 
 
 def arrival_log(spark: SparkSession, sf_dir: str, batch_rows: int = 50) -> DataFrame:

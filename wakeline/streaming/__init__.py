@@ -1,0 +1 @@
+"""Running the operators on unbounded inputs: sinks, checkpoints, stateful processing."""
