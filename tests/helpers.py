@@ -1,0 +1,53 @@
+"""Small inputs: rows built by hand and JSON files that arrive one per micro-batch."""
+
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from wakeline.functions.timecols import with_watermark
+from wakeline.operators.codec import decode
+from wakeline.sources import messages
+from wakeline.streaming.run import AVAILABLE_NOW, finish, start
+
+EVENT = "user_id string, product_id string, amount_usd double, ts_ms bigint"
+
+
+def events(spark, rows):
+    """Rows of (user, product, ts_ms) or (user, product, ts_ms, amount)."""
+    data = [(u, p, float(a[0]) if a else 0.0, t) for u, p, t, *a in rows]
+    return spark.createDataFrame(data, EVENT).withColumn("ts", F.timestamp_millis("ts_ms"))
+
+
+def as_json(rows):
+    return [json.dumps({"user_id": u, "product_id": p, "ts_ms": t, "amount_usd": float(a[0]) if a else 0.0})
+            for u, p, t, *a in rows]
+
+
+def write_batch(folder, number, lines):
+    """One file per micro-batch; the source takes files in order of their modification time."""
+    os.makedirs(folder, exist_ok=True)
+    path = f"{folder}/{number:04d}.json"
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    os.utime(path, (1_700_000_000 + number * 10,) * 2)
+
+
+def write_batches(folder, batches, first=0):
+    for i, rows in enumerate(batches, start=first):
+        write_batch(folder, i, as_json(rows))
+
+
+def stream(spark, folder, schema, delay):
+    raw = messages.files(spark, folder, max_files_per_trigger=1)
+    return with_watermark(decode(raw, schema), delay)
+
+
+def run(df, tmp, name="q", **kwargs):
+    query = start(df, "parquet", f"{tmp}/cp-{name}", f"{tmp}/out-{name}", trigger=AVAILABLE_NOW, **kwargs)
+    finish(query)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{tmp}/out-{name}")
+
+
+def rows(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)

@@ -25,8 +25,7 @@ def running(df: DataFrame, pos: str, how: dict[str, str], chunk: int, inclusive:
     leaves the current row out (null for the first).
     """
     cut = "__chunk"
-    # one exchange on the chunk serves both the totals and the fold inside chunks
-    rows = df.withColumn(cut, floor_to(F.col(pos), chunk)).repartition(cut)
+    rows = df.withColumn(cut, floor_to(F.col(pos), chunk))
     totals = rows.groupBy(cut).agg(*[_FOLD[h](c).alias(f"__{c}") for c, h in how.items()])
     earlier = Window.orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select(F.col(cut), *[_FOLD[h](f"__{c}").over(earlier).alias(f"__{c}") for c, h in how.items()])

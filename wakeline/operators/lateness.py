@@ -16,17 +16,17 @@ from wakeline.functions.timecols import DEFAULT_DELAY, MINUTE, SECOND, floor_to,
 CHUNK = 65_536
 
 
-def _watermarks(batch_max: DataFrame, delay: int) -> DataFrame:
-    """``(batch, top_ms)`` to ``(batch, watermark_ms)``: everything before each batch."""
-    return (running(batch_max, "batch", {"top_ms": "max"}, CHUNK, inclusive=False)
+def arrival_watermarks(log: DataFrame, delay: int = DEFAULT_DELAY) -> DataFrame:
+    """``(batch, watermark_ms)``: what was in force while each batch was worked on."""
+    tops = log.groupBy("batch").agg(F.max(ms()).alias("top_ms"))
+    return (running(tops, "batch", {"top_ms": "max"}, CHUNK, inclusive=False)
             .select("batch", (F.col("top_ms") - delay).alias("watermark_ms")))
 
 
 def replay_watermarks(log: DataFrame, delay: int = DEFAULT_DELAY) -> DataFrame:
     """Each row with the watermark in force at its arrival, ``is_late`` and the watermark's lag."""
-    tops = log.groupBy("batch").agg(F.max(ms()).alias("top_ms"))
     event_ms = ms()
-    return (log.join(_watermarks(tops, delay), "batch")
+    return (log.join(arrival_watermarks(log, delay), "batch")
             .withColumn("is_late", F.coalesce(event_ms < F.col("watermark_ms"), F.lit(False)))
             .withColumn("lag_ms", F.greatest(F.lit(0), F.col("arrival_ms") - F.col("watermark_ms"))
                         * F.when(F.col("watermark_ms").isNotNull(), F.lit(1))))
@@ -47,9 +47,8 @@ def late_side_output(log: DataFrame, size: int = 10 * SECOND, delay: int = DEFAU
 def _arrivals_by_window(log: DataFrame, size: int, delay: int) -> DataFrame:
     """``(batch, window, count, watermark)``, folded before the join with the watermarks."""
     start = floor_to(ms(), size).alias("window_start_ms")
-    folded = log.groupBy("batch", start).agg(F.count(F.lit(1)).alias("n"), F.max(ms()).alias("top_ms"))
-    tops = folded.groupBy("batch").agg(F.max("top_ms").alias("top_ms"))
-    return (folded.drop("top_ms").join(_watermarks(tops, delay), "batch")
+    folded = log.groupBy("batch", start).agg(F.count(F.lit(1)).alias("n"))
+    return (folded.join(arrival_watermarks(log, delay), "batch")
             .withColumn("window_end_ms", F.col("window_start_ms") + size))
 
 
@@ -91,8 +90,9 @@ def min_watermark(log: DataFrame, partitions: list[int], delay: int = DEFAULT_DE
     A partition absent from a batch keeps its last value; until all have been seen there is none.
     """
     slots = {f"p{i}": value for i, value in enumerate(partitions)}
-    per_batch = log.groupBy("batch").agg(
-        *[F.max(F.when(F.col(partition) == value, ms())).alias(name) for name, value in slots.items()])
+    tops = log.groupBy("batch", partition).agg(F.max(ms()).alias("top_ms"))
+    per_batch = tops.groupBy("batch").agg(
+        *[F.max(F.when(F.col(partition) == value, F.col("top_ms"))).alias(name) for name, value in slots.items()])
     filled = running(per_batch, "batch", {name: "max" for name in slots}, CHUNK)
     seen = F.lit(True)
     for name in slots:

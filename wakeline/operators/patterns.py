@@ -26,36 +26,33 @@ def rapid_purchases(purchases: DataFrame, min_times: int = 3, within: int = 10 *
     if where is not None:
         purchases = purchases.filter(where)
     width = 4 * within
-    home = floor_to(F.col("t"), width)
     # an event near the end of its cell may start a run that ends in the next one
-    step = F.lit(width).cast("bigint")
-    cells = F.explode(F.sequence(home, floor_to(F.col("t") + (within - 1), width), step))
+    cells = F.explode(F.sequence(floor_to(F.col("t"), width), floor_to(F.col("t") + (within - 1), width),
+                                 F.lit(width).cast("bigint")))
     # events equal in every ordering column are interchangeable, so their order does not matter
-    tie_break = [F.col(c).alias(f"o{i}") for i, c in enumerate(order)]
-    events = (purchases.select("user_id", ms().alias("t"), F.expr(CENTS).alias("amount"), *tie_break)
-              .filter(F.col("t").isNotNull())
-              .withColumn("home", home).withColumn("cell", cells))
     ties = [f"o{i}" for i in range(len(order))]
+    events = (purchases.select("user_id", ms().alias("t"), F.expr(CENTS).alias("amount"),
+                               *[F.col(c).alias(o) for c, o in zip(order, ties)])
+              .filter(F.col("t").isNotNull() & F.col("user_id").isNotNull()).withColumn("cell", cells))
     ordered = Window.partitionBy("user_id", "cell").orderBy("t", *ties)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    far = min_times - 1
+    pause = F.coalesce(F.col("t") - F.lag("t").over(ordered) >= within, F.lit(True))
     ranked = events.select(
-        "user_id", "cell", "t", *ties, "amount", (F.col("home") == F.col("cell")).alias("at_home"),
-        F.row_number().over(ordered).alias("rn"), F.sum("amount").over(so_far).alias("running"),
-        (F.lead("t", min_times - 1).over(ordered) - F.col("t") < within).alias("starts"),
-        (F.col("t") - F.lag("t", min_times - 1).over(ordered) < within).alias("ends"),
-        F.when(F.coalesce(F.col("t") - F.lag("t").over(ordered) >= within, F.lit(True)),
-               F.row_number().over(ordered)).alias("breaks"))
+        "user_id", "cell", "t", *ties, "amount", F.row_number().over(ordered).alias("rn"),
+        F.sum("amount").over(so_far).alias("running"), pause.alias("pause"),
+        (F.lead("t", far).over(ordered) - F.col("t") < within).alias("starts"),
+        (F.col("t") - F.lag("t", far).over(ordered) < within).alias("ends"))
     # no run reaches back over a pause of `within` or more
-    marked = ranked.withColumn("run_from", F.max("breaks").over(so_far)).filter("starts OR ends")
-    starts = marked.filter("starts").select(
-        "user_id", "cell", F.floor(F.col("rn") / RANKS).alias("part"), F.col("rn").alias("rn_a"),
+    marked = ranked.withColumn("run_from", F.max(F.when(F.col("pause"), F.col("rn"))).over(so_far))
+    starts = ranked.filter("starts").select(
+        "user_id", "cell", F.expr(f"rn div {RANKS}").alias("part"), F.col("rn").alias("rn_a"),
         F.col("t").alias("first_ts"), (F.col("running") - F.col("amount")).alias("paid_before"))
-    ends = marked.filter("ends AND at_home").select(
+    ends = marked.filter(F.col("ends") & (floor_to(F.col("t"), width) == F.col("cell"))).select(
         "user_id", "cell", F.col("rn").alias("rn_b"), F.col("t").alias("last_ts"), "running",
-        F.explode(F.sequence(F.floor(F.col("run_from") / RANKS),
-                             F.floor((F.col("rn") - (min_times - 1)) / RANKS))).alias("part"))
+        F.explode(F.expr(f"sequence(run_from div {RANKS}, (rn - {far}) div {RANKS})")).alias("part"))
     runs = (starts.join(ends, ["user_id", "cell", "part"])
-            .filter((F.col("rn_b") - F.col("rn_a") >= min_times - 1) & (F.col("last_ts") - F.col("first_ts") < within)))
+            .filter((F.col("rn_b") - F.col("rn_a") >= far) & (F.col("last_ts") - F.col("first_ts") < within)))
     return runs.select(
         "user_id", (F.col("rn_b") - F.col("rn_a") + 1).cast("int").alias("purchase_count"),
         (F.col("running") - F.col("paid_before")).cast("double").alias("total_amount_usd"),

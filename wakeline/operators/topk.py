@@ -104,7 +104,7 @@ def topk_approx(views: DataFrame, k: int = 10, size: int = 10 * SECOND, tracked:
                     F.col("e.count").alias("count")))
 
 
-def rank_movement(board: DataFrame, chunk: int = 1024 * DAY) -> DataFrame:
+def rank_movement(board: DataFrame, chunk: int = 64 * DAY) -> DataFrame:
     """Places gained since the previous board; null for products that were not on it.
 
     The previous board is that of the previous window that has one, not the previous window in

@@ -130,9 +130,7 @@ def session_metrics(df: DataFrame, gap: int = 30 * SECOND) -> DataFrame:
         return closed.select(*bounds("w"), "user_id", "count",
                              (ms(F.col("w.end")) - ms(F.col("w.start")) - gap).alias("duration_ms"), "products")
     by_product = _session_cells(df, gap, ["user_id", "product_id"])
-    cells = by_product.groupBy("user_id", "cell").agg(
-        F.min("first_ms").alias("first_ms"), F.max("last_ms").alias("last_ms"))
-    starts = _number_sessions(cells, gap).select("user_id", "cell", "session")
+    starts = _number_sessions(_session_cells(df, gap, ["user_id"]), gap).select("user_id", "cell", "session")
     per_product = (by_product.join(starts, ["user_id", "cell"])
                    .groupBy("user_id", "session", "product_id")
                    .agg(F.sum("n").alias("n"), F.max("last_ms").alias("last_ms")))

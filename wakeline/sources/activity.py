@@ -50,4 +50,4 @@ def arrival_log(spark: SparkSession, sf_dir: str, batch_rows: int = 50) -> DataF
             .withColumn("ts", F.timestamp_millis("ts_ms"))
             .withColumn("late_flag", late_flag)
             .withColumn("partition", F.pmod(number, F.lit(PARTITIONS)))
-            .withColumn("batch", F.floor(F.col("event_id") / batch_rows)))
+            .withColumn("batch", F.expr(f"event_id div {batch_rows}")))

@@ -80,7 +80,9 @@ def rapid_purchases_stream(purchases: DataFrame, min_times: int = 3, within: int
     state store.
     """
     if where is not None:
-        purchases = purchases.filter(where)
+        # tied to `ts` by an equality, so that it cannot be moved below the watermark: events that
+        # do not match must still advance it
+        purchases = purchases.filter(F.when(where, F.col("ts")) == F.col("ts"))
     events = purchases.select("user_id", "ts", ms().alias("t"), "product_id",
                               (F.expr(CENTS) * 100).cast("bigint").alias("cents")).filter(F.col("t").isNotNull())
     runs = events.groupBy("user_id").transformWithState(
