@@ -44,3 +44,10 @@ def test_route(spark):
     good = '{"kind":"session","window_start_ms":1,"window_end_ms":2,"count":1,"user_id":"u"}'
     raw = messages.rows(spark, [good, good[:-3]], "results.windows.sessions").unionByName(messages.rows(spark, [good], "x"))
     assert rows(codec.route(raw, schemas.RESULT_TOPICS, schemas.WINDOW_RESULT), "type", "user_id") == [("session", "u")]
+
+
+def test_relay_keeps_any_layout(spark):
+    raw = (messages.rows(spark, ['{"a":1}', "[1,2]", "{oops"], "results.topk")
+           .unionByName(messages.rows(spark, ['{"b":null}'], "results.fraud")).unionByName(messages.rows(spark, ["{}"], "x")))
+    assert rows(codec.relay(raw, schemas.RESULT_TOPICS), "type", "payload") == [
+        ("fraud", '{"b":null}'), ("topk", "[1,2]"), ("topk", '{"a":1}')]

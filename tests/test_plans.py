@@ -1,0 +1,61 @@
+"""Properties of the physical plans that decide how the queries behave on large tables."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+
+SF = "/root/testdata/sf0.01"
+STORED = sorted(n for n in entry.queries() if not n.startswith("stream_"))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    # as on tables too large to broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    made = {name: plan(entry.queries()[name](spark, SF)) for name in STORED}
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return made
+
+
+@pytest.mark.parametrize("name", STORED)
+def test_no_cross_joins_no_python_no_forced_broadcast(plans, name):
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastExchange", "Python", "Pandas", "MapInArrow"):
+        assert node not in plans[name], node
+
+
+@pytest.mark.parametrize("name", STORED)
+def test_event_type_filter_reaches_the_scan(plans, name):
+    if re.search(r"event_type#\d+ = (view|purchase)", plans[name]):
+        assert re.search(r"PushedFilters: \[[^\]]*event_type", plans[name])
+
+
+@pytest.mark.parametrize("name,columns", [
+    ("tumbling_count", {"ts", "event_type"}),
+    ("session_count", {"ts", "user_id", "event_type"}),
+    ("gmv_per_window", {"ts", "event_type", "value"}),
+    ("funnel", {"ts", "user_id", "event_type"}),
+    ("late_counts", {"event_id", "ts"}),
+])
+def test_only_needed_columns_are_read(plans, name, columns):
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plans[name])
+    assert schemas
+    for schema in schemas:
+        assert {field.split(":")[0] for field in schema.split(",")} <= columns
+
+
+@pytest.mark.parametrize("name", ["tumbling_by_product", "tumbling_count", "gmv_per_window", "dashboard_counters",
+                                  "threshold_anomaly", "event_vs_arrival", "topk_approx"])
+def test_one_shuffle_after_a_partial_aggregate(plans, name):
+    assert len(re.findall(r"Exchange (?:hash|Single)", plans[name])) == 1
+    assert "partial_" in plans[name]
+
+
+@pytest.mark.parametrize("name", ["topk_products", "topk_sliding", "topk_two_level", "topk_sql", "recent_n", "latest_per_type"])
+def test_ranking_keeps_k_rows_per_task(plans, name):
+    assert re.search(r"WindowGroupLimit.*Partial", plans[name])

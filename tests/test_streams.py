@@ -67,7 +67,9 @@ def test_stream_equals_batch(spark, tmp_path, disordered, name, build, columns):
 
 @pytest.mark.parametrize("build", [
     lambda v, p: joins.interval_join(v, p, 1_500, 4_000),
+    lambda v, p: joins.interval_join(v, p, 1_500, 4_000, salts=3),
     lambda v, p: joins.window_join(v, p, 10_000),
+    lambda v, p: joins.window_join(v, p, 10_000, salts=3),
 ])
 def test_stream_join_equals_batch(spark, tmp_path, build):
     viewed, bought = shuffled(6, 150, 3_000), shuffled(7, 150, 3_000)

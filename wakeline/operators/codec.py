@@ -27,32 +27,42 @@ def decode(df: DataFrame, schema: StructType, on_error: str = "fail", value: str
 
     ``on_error``: ``fail`` raises on a malformed record, ``skip`` drops it, ``quarantine`` keeps
     it with its text in ``malformed`` (null on good rows) so that one pass serves both outputs.
+
+    Every record is parsed once: a filter on the parsed record would be moved below the parsing
+    and repeat it, so ``fail`` checks inside the columns and ``skip`` drops by exploding.
     """
     if on_error not in ("fail", "skip", "quarantine"):
         raise ValueError(f"unknown on_error: {on_error}")
     # numbers may arrive as strings: read every field as text and cast
     as_text = StructType([StructField(f.name, StringType()) for f in schema] + [StructField(_CORRUPT, StringType())])
-    parsed = df.withColumn("__r", F.from_json(
-        value, as_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}))
-    typed = {f.name: _cast(F.col(f"__r.{f.name}"), f) for f in schema}
-    uncastable = F.lit(False)
-    for name, column in typed.items():
-        uncastable = uncastable | (F.col(f"__r.{name}").isNotNull() & column.isNull())
-    bad = F.col("__r").isNull() | F.col(f"__r.{_CORRUPT}").isNotNull() | uncastable
+    record = F.from_json(value, as_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+
+    def is_bad(r: Column) -> Column:
+        bad = r.isNull() | r[_CORRUPT].isNotNull()
+        for f in schema:
+            bad = bad | (r[f.name].isNotNull() & _cast(r[f.name], f).isNull())
+        return bad
+
     if on_error == "skip":
-        parsed = parsed.filter(~bad)
-    elif on_error == "fail":
-        # a filter, so that column pruning cannot remove the check
-        parsed = parsed.filter(F.when(bad, F.raise_error(
-            F.concat(F.lit("malformed record: "), F.coalesce(F.col(value), F.lit("null")))).cast("boolean"))
-            .otherwise(F.lit(True)))
+        good = F.filter(F.array(record), lambda r: ~is_bad(r))
+        parsed = df.select("*", F.explode(good).alias("__r"))
+    else:
+        parsed = df.withColumn("__r", record)
+    bad = is_bad(F.col("__r"))
+    refuse = F.raise_error(F.concat(F.lit("malformed record: "), F.coalesce(F.col(value), F.lit("null"))))
+
+    def checked(column: Column, kind: str) -> Column:
+        return F.when(bad, refuse.cast(kind)).otherwise(column) if on_error == "fail" else column
+
     columns = []
     for f in schema:
-        default = _DEFAULTS.get(f.dataType.simpleString())
-        column = typed[f.name]
-        columns.append((column if default is None else F.coalesce(column, F.lit(default))).alias(f.name))
-    late_bound = F.current_timestamp() if fallback is None else fallback
-    columns.append(F.coalesce(F.timestamp_millis(typed["ts_ms"]), late_bound).alias("ts"))
+        kind = f.dataType.simpleString()
+        column = _cast(F.col(f"__r.{f.name}"), f)
+        column = column if kind not in _DEFAULTS else F.coalesce(column, F.lit(_DEFAULTS[kind]))
+        columns.append(checked(column, kind).alias(f.name))
+    event_ms = _cast(F.col("__r.ts_ms"), schema["ts_ms"])
+    received = F.current_timestamp() if fallback is None else fallback
+    columns.append(checked(F.coalesce(F.timestamp_millis(event_ms), received), "timestamp").alias("ts"))
     if on_error == "quarantine":
         columns.append(F.when(bad, F.coalesce(F.col(value), F.lit(""))).alias("malformed"))
     return parsed.select(*columns)
@@ -63,15 +73,25 @@ def encode(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(F.to_json(F.struct(*(columns or df.columns)), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def route(messages: DataFrame, topics: dict[str, str], schema: StructType) -> DataFrame:
-    """``(topic, value)`` messages of several topics to typed rows with a ``type`` column.
+def _typed(messages: DataFrame, topics: dict[str, str]) -> DataFrame:
+    pairs = [F.lit(part) for item in topics.items() for part in item]
+    return (messages.withColumn("type", F.create_map(*pairs)[F.col("topic")])
+            .filter(F.col("type").isNotNull()))
 
-    Messages of unknown topics and messages that are not JSON objects are dropped.
+
+def relay(messages: DataFrame, topics: dict[str, str]) -> DataFrame:
+    """``(topic, value)`` messages of any layout to ``(type, payload)``, payload still JSON text.
+
+    Messages of unknown topics and messages that are not JSON are dropped.
     """
-    pairs = [F.lit(part) for item in topics.items() for part in item]
-    known = messages.withColumn("type", F.create_map(*pairs)[F.col("topic")]).filter(F.col("type").isNotNull())
+    known = _typed(messages, topics).filter(F.try_parse_json("value").isNotNull())
+    return known.select("type", F.col("value").alias("payload"))
+
+
+def route(messages: DataFrame, topics: dict[str, str], schema: StructType) -> DataFrame:
+    """The same for topics that share one layout, as typed rows with a ``type`` column."""
     with_corrupt = StructType(schema.fields + [StructField(_CORRUPT, StringType())])
-    parsed = known.withColumn("__r", F.from_json(
-        "value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}))
-    return (parsed.filter(F.col("__r").isNotNull() & F.col(f"__r.{_CORRUPT}").isNull())
-            .select("type", *[F.col(f"__r.{f.name}").alias(f.name) for f in schema]))
+    record = F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    good = F.filter(F.array(record), lambda r: r.isNotNull() & r[_CORRUPT].isNull())
+    return _typed(messages, topics).select("type", F.explode(good).alias("__r")).select(
+        "type", *[F.col(f"__r.{f.name}").alias(f.name) for f in schema])

@@ -37,13 +37,17 @@ def interval_join(views: DataFrame, purchases: DataFrame, before: int = 30 * SEC
 
     Stored tables: the join key is (user, time cell), so a user with a large part of all rows is
     spread over cells and only neighbouring cells are compared.  A cell that is itself too large
-    is split at run time by the adaptive skew join, or up front with ``salts`` > 1; the result is
-    the same for any value.
+    is split at run time by the adaptive skew join.
+
+    ``salts`` > 1 splits every user (views by hash, purchases copied) into that many keys, for
+    stored tables without adaptive execution and for the state of a busy user on a stream.  The
+    result is the same for any value.
     """
-    v, p = _views(views), _purchases(purchases)
+    v, p, extra = _salted(_views(views), _purchases(purchases), ("view_ts", "product_id_viewed"), salts)
     if views.isStreaming:
+        keys = " AND ".join(f"v.{key} = p.{key}" for key in ["user_id", *extra])
         joined = v.alias("v").join(p.alias("p"), F.expr(
-            f"v.user_id = p.user_id AND p.ts >= v.ts - INTERVAL '{before / 1000:.3f}' SECOND "
+            f"{keys} AND p.ts >= v.ts - INTERVAL '{before / 1000:.3f}' SECOND "
             f"AND p.ts <= v.ts + INTERVAL '{after / 1000:.3f}' SECOND"))
         pairs = joined.select("v.user_id", "v.product_id_viewed", "p.product_id_purchased", "v.view_ts",
                               "p.purchase_ts", "p.amount_usd")
@@ -54,7 +58,6 @@ def interval_join(views: DataFrame, purchases: DataFrame, before: int = 30 * SEC
         p = p.withColumn("cell", F.explode(F.sequence(
             floor_to(F.col("purchase_ts") - after, width), floor_to(F.col("purchase_ts") + before, width),
             F.lit(width).cast("bigint"))))
-        v, p, extra = _salted(v, p, ("view_ts", "product_id_viewed"), salts)
         delta = F.col("purchase_ts") - F.col("view_ts")
         pairs = v.join(p, ["user_id", "cell", *extra]).filter((delta >= -before) & (delta <= after))
     return pairs.select(*MATCH_COLUMNS[:-1], (F.col("purchase_ts") - F.col("view_ts")).alias("delta_ms"), "amount_usd")
@@ -62,14 +65,13 @@ def interval_join(views: DataFrame, purchases: DataFrame, before: int = 30 * SEC
 
 def window_join(views: DataFrame, purchases: DataFrame, size: int = 10 * SECOND, salts: int = 1) -> DataFrame:
     """Every (view, purchase) of one user that fall into the same tumbling window."""
-    v, p = _views(views), _purchases(purchases)
+    v, p, extra = _salted(_views(views), _purchases(purchases), ("view_ts", "product_id_viewed"), salts)
     if views.isStreaming:
-        v = v.select("user_id", "product_id_viewed", "view_ts", stream_window(size).alias("w"))
-        p = p.select("user_id", "product_id_purchased", "purchase_ts", "amount_usd", stream_window(size).alias("w"))
-        return v.join(p, ["user_id", "w"]).select(*bounds("w"), *MATCH_COLUMNS)
+        v = v.select("user_id", "product_id_viewed", "view_ts", stream_window(size).alias("w"), *extra)
+        p = p.select("user_id", "product_id_purchased", "purchase_ts", "amount_usd", stream_window(size).alias("w"), *extra)
+        return v.join(p, ["user_id", "w", *extra]).select(*bounds("w"), *MATCH_COLUMNS)
     v = v.withColumn("window_start_ms", floor_to(F.col("view_ts"), size))
     p = p.withColumn("window_start_ms", floor_to(F.col("purchase_ts"), size))
-    v, p, extra = _salted(v, p, ("view_ts", "product_id_viewed"), salts)
     return v.join(p, ["user_id", "window_start_ms", *extra]).select(
         "window_start_ms", (F.col("window_start_ms") + size).alias("window_end_ms"), *MATCH_COLUMNS)
 

@@ -94,7 +94,7 @@ def topk_two_level(views: DataFrame, k: int = 10, size: int = 10 * SECOND, bucke
 def topk_approx(views: DataFrame, k: int = 10, size: int = 10 * SECOND, tracked: int = 10_000) -> DataFrame:
     """Approximate heavy hitters: a bounded sketch per window instead of a counter per product.
 
-    Exact while a window has at most ``0.75 * tracked`` products.
+    Exact while a window has at most ``tracked`` products.
     """
     start = floor_to(ms(), size).alias("window_start_ms")
     sketch = views.groupBy(start).agg(F.expr(f"approx_top_k(product_id, {k}, {tracked})").alias("best"))

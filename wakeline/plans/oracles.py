@@ -96,6 +96,21 @@ placed AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY type ORDER BY result_ms DESC, start_ms DESC, user_id) AS INTEGER) AS position
   FROM typed)"""
 
+_TOP_JSON = """SELECT '{"window_start_ms":' || window_start_ms || ',"window_end_ms":' || window_end_ms || ',"top":['
+  || string_agg('{"product_id":"' || product_id || '","count":' || count || '}', ',' ORDER BY rank)
+  || ']}' AS value FROM board GROUP BY window_start_ms, window_end_ms"""
+_WINDOW_JSON = """SELECT kind, '{"kind":"' || kind || '","window_start_ms":' || window_start_ms || ',"window_end_ms":'
+  || window_end_ms || ',"count":' || count || ',"user_id":' || coalesce('"' || user_id || '"', 'null') || '}' AS value
+  FROM unioned"""
+_FEED = f"""SELECT 'topk' AS type, value AS payload FROM ({_TOP_JSON})
+UNION ALL SELECT kind, value FROM ({_WINDOW_JSON})
+UNION ALL SELECT 'join', '{{"user_id":"' || user_id || '","product_id_viewed":"' || product_id_viewed
+  || '","product_id_purchased":"' || product_id_purchased || '","view_ts":' || view_ts || ',"purchase_ts":' || purchase_ts
+  || ',"delta_ms":' || delta_ms || ',"amount_usd":' || amount_usd || '}}' FROM matches
+UNION ALL SELECT 'fraud', '{{"user_id":"' || user_id || '","purchase_count":' || purchase_count || ',"total_amount_usd":'
+  || total_amount_usd || ',"first_ts":' || first_ts || ',"last_ts":' || last_ts || ',"span_ms":' || span_ms || '}}'
+  FROM alerts"""
+
 _CONVERSION = """SELECT count(*) AS matches, CAST(coalesce(sum(CAST(same AS INTEGER)), 0) AS BIGINT) AS same_product,
   CAST(sum(CAST(same AS INTEGER)) AS DOUBLE) / count(*) * 100 AS conversion_pct
 FROM (SELECT product_id_viewed = product_id_purchased AS same FROM matches {tail})"""
@@ -106,8 +121,7 @@ ORACLES: dict[str, str] = {
     "event_time_fallback": _with(
         "SELECT user_id, product_id, CASE WHEN event_id % 10 = 0 THEN 0 ELSE ts_ms END AS ts_ms, ts_ms AS event_ms FROM v"),
     "encode_results": _with(
-        """SELECT '{"kind":"session","window_start_ms":' || window_start_ms || ',"window_end_ms":' || window_end_ms
-           || ',"count":' || count || ',"user_id":"' || user_id || '"}' AS value FROM sess""", _SESSIONS),
+        "SELECT value FROM (" + _WINDOW_JSON + ") WHERE kind = 'session'", _SESSIONS, _TUMBLING, _SLIDING, _UNION),
     "results_union": _with("SELECT kind AS type, * FROM unioned", _SESSIONS, _TUMBLING, _SLIDING, _UNION),
     "tumbling_by_product": _with(_tumbling("v", DAY, "product_id")),
     "tumbling_by_product_salted": _with(_tumbling("v", DAY, "product_id")),
@@ -124,10 +138,7 @@ ORACLES: dict[str, str] = {
            count(*) FILTER (event_type = 'purchase' AND amount_usd > 200) AS flagged
            FROM act WHERE event_type IN ('view', 'purchase')"""),
     "topk_products": _with("SELECT * FROM board", _BOARD),
-    "topk_products_nested": _with(
-        """SELECT '{"window_start_ms":' || window_start_ms || ',"window_end_ms":' || window_end_ms || ',"top":['
-           || string_agg('{"product_id":"' || product_id || '","count":' || count || '}', ',' ORDER BY rank)
-           || ']}' AS value FROM board GROUP BY window_start_ms, window_end_ms""", _BOARD),
+    "topk_products_nested": _with(_TOP_JSON, _BOARD),
     "topk_sql": _with("SELECT * FROM board", _BOARD),
     "topk_sliding": _with(_board(_sliding("v", 3 * DAY, DAY, "product_id"))),
     "topk_approx": _with("SELECT window_start_ms, window_end_ms, rank, count FROM board", _BOARD),
@@ -200,6 +211,7 @@ ORACLES: dict[str, str] = {
             FROM (SELECT ts_ms // {HOUR} * {HOUR} AS window_start_ms, count(*) AS e FROM log GROUP BY 1)
             FULL JOIN (SELECT arrival_ms // {HOUR} * {HOUR} AS window_start_ms, count(*) AS a FROM log GROUP BY 1)
             USING (window_start_ms)""", _LOG),
+    "result_feed": _with(_FEED, _BOARD, _SESSIONS, _TUMBLING, _SLIDING, _UNION, _match(HOUR, 6 * HOUR), _alerts()),
     "latest_per_type": _with(
         "SELECT type, result_ms, start_ms, user_id, events FROM placed WHERE position = 1",
         _SESSIONS, _match(HOUR, 6 * HOUR), _alerts(), _RESULTS),

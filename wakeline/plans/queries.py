@@ -288,6 +288,22 @@ def _newest() -> list[Column]:
     return [F.desc("result_ms"), F.desc("start_ms"), F.asc("user_id")]
 
 
+@query
+def result_feed(spark, sf_dir):
+    """All six result streams as messages of their topics, brought together by type."""
+    streams = {
+        "results.topk": topk.nest_board(topk_products(spark, sf_dir)),
+        "results.windows.tumbling": windows.as_window_results(tumbling_count(spark, sf_dir), "tumbling"),
+        "results.windows.sliding": windows.as_window_results(sliding_count(spark, sf_dir), "sliding"),
+        "results.windows.sessions": windows.as_window_results(session_count(spark, sf_dir), "session"),
+        "results.joins": interval_join(spark, sf_dir),
+        "results.fraud": rapid_purchases(spark, sf_dir),
+    }
+    messages = reduce(DataFrame.unionByName, [
+        codec.encode(df).select(F.lit(topic).alias("topic"), "value") for topic, df in streams.items()])
+    return codec.relay(messages, schemas.RESULT_TOPICS)
+
+
 @query
 def latest_per_type(spark, sf_dir):
     return results.latest_per_type(_typed_results(spark, sf_dir), _newest())

@@ -17,12 +17,11 @@ from wakeline.sources import activity as src
 from wakeline.streaming.bursts import rapid_purchases_stream
 from wakeline.streaming.run import AVAILABLE_NOW, finish, start
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-
-
 def _run(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     folder = shared_dir(spark, label)
-    spark.conf.set(STATE_STORE, DEFAULTS[STATE_STORE])
+    for key, value in DEFAULTS.items():
+        if key.startswith("spark.sql.streaming."):
+            spark.conf.set(key, value)
     finish(start(df, "parquet", f"{folder}/checkpoint", f"{folder}/out", trigger=AVAILABLE_NOW))
     return spark.read.schema(df.schema).parquet(f"{folder}/out")
 

@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # sessions of one task are merged before the shuffle, so a busy user costs a row per task
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

@@ -21,7 +21,7 @@ def keep_recent(folder: str, order: Callable[[], list[Column]], n: int = 50,
     With ``n=1`` it is the latest result per type.  A version holds at most ``n`` rows per type.
     """
     def work(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("received_at", F.current_timestamp())
+        rows = batch.withColumn("_recv_ts", F.unix_millis(F.current_timestamp()))
         if batch_id > 0:
             before = batch.sparkSession.read.parquet(f"{folder}/v={batch_id - 1}").drop("position")
             rows = rows.unionByName(before)
