@@ -112,6 +112,16 @@ def test_burst_processor_drops_late_rows_and_survives_a_restart(spark, tmp_path)
     assert rows(go(), *ALERT) == [("u", 3, 7.0, 30_000, 32_000)]
 
 
+def test_burst_state_is_forgotten(spark, tmp_path):
+    data = shuffled(9, 60, 2_000, span=60_000)
+    write_batches(f"{tmp_path}/in", in_files(data, 3) + [FLUSH, [("flush", "flush", FLUSH[0][2] + 1)]])
+    alerts = rapid_purchases_stream(stream(spark, f"{tmp_path}/in", schemas.PURCHASE, 5_000))
+    query = start(alerts, "parquet", f"{tmp_path}/cp", f"{tmp_path}/out", trigger=AVAILABLE_NOW)
+    finish(query)
+    left = [op["customMetrics"] for op in query.lastProgress["stateOperators"]]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 8, left
+
+
 def test_burst_filter(spark, tmp_path):
     write_batches(f"{tmp_path}/in", [[("u", "p", 1, 50), ("u", "p", 2, 5), ("u", "p", 3, 50), ("u", "p", 4, 50)], FLUSH])
     purchases = stream(spark, f"{tmp_path}/in", schemas.PURCHASE, 5_000)

@@ -33,31 +33,30 @@ def interval_join(views: DataFrame, purchases: DataFrame, before: int = 30 * SEC
                   after: int = 5 * MINUTE, salts: int = 1) -> DataFrame:
     """Every (view, purchase) of one user with ``-before <= purchase - view <= after``, inclusive.
 
-    Streams: watermark both inputs; Spark derives from the bounds how long each side is kept.
-
-    Stored tables: the join key is (user, time cell), so a user with a large part of all rows is
-    spread over cells and only neighbouring cells are compared.  A cell that is itself too large
-    is split at run time by the adaptive skew join.
+    The join key is (user, time cell), so a user with a large part of all rows is spread over
+    cells and only neighbouring cells are compared.  On a stored table a cell that is itself too
+    large is split at run time by the adaptive skew join.  ``salts`` > 1 splits every key (views
+    by hash, purchases copied) up front, for streams and for sessions without adaptive
+    execution.  The result is the same for any value.
 
-    ``salts`` > 1 splits every user (views by hash, purchases copied) into that many keys, for
-    stored tables without adaptive execution and for the state of a busy user on a stream.  The
-    result is the same for any value.
+    Streams: watermark both inputs; Spark derives from the bounds how long each side is kept.
     """
     v, p, extra = _salted(_views(views), _purchases(purchases), ("view_ts", "product_id_viewed"), salts)
+    # a cell twice as wide as the interval: a purchase is copied to 1.5 cells on average
+    width = 2 * (before + after + 1)
+    v = v.withColumn("cell", floor_to(F.col("view_ts"), width))
+    p = p.withColumn("cell", F.explode(F.sequence(
+        floor_to(F.col("purchase_ts") - after, width), floor_to(F.col("purchase_ts") + before, width),
+        F.lit(width).cast("bigint"))))
     if views.isStreaming:
-        keys = " AND ".join(f"v.{key} = p.{key}" for key in ["user_id", *extra])
+        # the bounds on the event-time columns let Spark drop state that can no longer match
+        keys = " AND ".join(f"v.{key} = p.{key}" for key in ["user_id", "cell", *extra])
         joined = v.alias("v").join(p.alias("p"), F.expr(
             f"{keys} AND p.ts >= v.ts - INTERVAL '{before / 1000:.3f}' SECOND "
             f"AND p.ts <= v.ts + INTERVAL '{after / 1000:.3f}' SECOND"))
         pairs = joined.select("v.user_id", "v.product_id_viewed", "p.product_id_purchased", "v.view_ts",
                               "p.purchase_ts", "p.amount_usd")
     else:
-        # a cell twice as wide as the interval: a purchase is copied to 1.5 cells on average
-        width = 2 * (before + after + 1)
-        v = v.withColumn("cell", floor_to(F.col("view_ts"), width))
-        p = p.withColumn("cell", F.explode(F.sequence(
-            floor_to(F.col("purchase_ts") - after, width), floor_to(F.col("purchase_ts") + before, width),
-            F.lit(width).cast("bigint"))))
         delta = F.col("purchase_ts") - F.col("view_ts")
         pairs = v.join(p, ["user_id", "cell", *extra]).filter((delta >= -before) & (delta <= after))
     return pairs.select(*MATCH_COLUMNS[:-1], (F.col("purchase_ts") - F.col("view_ts")).alias("delta_ms"), "amount_usd")

@@ -11,6 +11,21 @@ from wakeline.operators.windows import CENTS, window_sums
 RANKS = 256
 
 
+def cell_width(within: int) -> int:
+    return 4 * within
+
+
+def spread_over_cells(events: DataFrame, within: int, t: str = "t") -> DataFrame:
+    """Give each event its time ``cell``, and a copy in the next cell if a run may reach into it.
+
+    All runs that end in a cell can then be found from the rows of (user, cell) alone, which
+    splits a busy user over cells at the price of a quarter more rows.
+    """
+    width = cell_width(within)
+    return events.withColumn("cell", F.explode(F.sequence(
+        floor_to(F.col(t), width), floor_to(F.col(t) + (within - 1), width), F.lit(width).cast("bigint"))))
+
+
 def rapid_purchases(purchases: DataFrame, min_times: int = 3, within: int = 10 * SECOND,
                     where: Column | None = None, order: tuple[str, ...] = ("product_id", "amount_usd")) -> DataFrame:
     """One alert per run of at least ``min_times`` events of a user inside ``within`` ms (strict).
@@ -25,20 +40,16 @@ def rapid_purchases(purchases: DataFrame, min_times: int = 3, within: int = 10 *
     """
     if where is not None:
         purchases = purchases.filter(where)
-    width = 4 * within
-    # an event near the end of its cell may start a run that ends in the next one
-    cells = F.explode(F.sequence(floor_to(F.col("t"), width), floor_to(F.col("t") + (within - 1), width),
-                                 F.lit(width).cast("bigint")))
     # events equal in every ordering column are interchangeable, so their order does not matter
     ties = [f"o{i}" for i in range(len(order))]
     events = (purchases.select("user_id", ms().alias("t"), F.expr(CENTS).alias("amount"),
                                *[F.col(c).alias(o) for c, o in zip(order, ties)])
-              .filter(F.col("t").isNotNull() & F.col("user_id").isNotNull()).withColumn("cell", cells))
+              .filter(F.col("t").isNotNull() & F.col("user_id").isNotNull()))
     ordered = Window.partitionBy("user_id", "cell").orderBy("t", *ties)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     far = min_times - 1
     pause = F.coalesce(F.col("t") - F.lag("t").over(ordered) >= within, F.lit(True))
-    ranked = events.select(
+    ranked = spread_over_cells(events, within).select(
         "user_id", "cell", "t", *ties, "amount", F.row_number().over(ordered).alias("rn"),
         F.sum("amount").over(so_far).alias("running"), pause.alias("pause"),
         (F.lead("t", far).over(ordered) - F.col("t") < within).alias("starts"),
@@ -48,7 +59,7 @@ def rapid_purchases(purchases: DataFrame, min_times: int = 3, within: int = 10 *
     starts = ranked.filter("starts").select(
         "user_id", "cell", F.expr(f"rn div {RANKS}").alias("part"), F.col("rn").alias("rn_a"),
         F.col("t").alias("first_ts"), (F.col("running") - F.col("amount")).alias("paid_before"))
-    ends = marked.filter(F.col("ends") & (floor_to(F.col("t"), width) == F.col("cell"))).select(
+    ends = marked.filter(F.col("ends") & (floor_to(F.col("t"), cell_width(within)) == F.col("cell"))).select(
         "user_id", "cell", F.col("rn").alias("rn_b"), F.col("t").alias("last_ts"), "running",
         F.explode(F.expr(f"sequence(run_from div {RANKS}, (rn - {far}) div {RANKS})")).alias("part"))
     runs = (starts.join(ends, ["user_id", "cell", "part"])

@@ -1,4 +1,4 @@
-"""Rapid-purchase alerts on a stream, with event-time ordered state per user."""
+"""Rapid-purchase alerts on a stream, with event-time ordered state per user and time cell."""
 
 from __future__ import annotations
 
@@ -6,13 +6,14 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from wakeline.functions.timecols import SECOND, ms
+from wakeline.operators.patterns import cell_width, spread_over_cells
 from wakeline.operators.windows import CENTS
 
 _EVENT = StructType([StructField("t", LongType()), StructField("product_id", StringType()),
-                     StructField("cents", LongType())])
+                     StructField("cents", LongType()), StructField("done", BooleanType())])
 _RUN = StructType([StructField("user_id", StringType()), StructField("purchase_count", IntegerType()),
                    StructField("total_cents", LongType()), StructField("first_ts", LongType()),
                    StructField("last_ts", LongType())])
@@ -21,55 +22,55 @@ _RUN = StructType([StructField("user_id", StringType()), StructField("purchase_c
 class BurstProcessor(StatefulProcessor):
     """Buffers events until the watermark reaches them, then extends the open runs in time order.
 
-    State per user: ``waiting`` events ahead of the watermark, ``open`` events that can still be
-    the first of a run, and ``done``, the watermark up to which events have been worked off.
-    Rows at or behind ``done`` are late and dropped.
+    State per (user, time cell): the events, each with a mark once it has been worked off; empty
+    again when the cell is over.  Spark drops rows at or behind the watermark of the batch before,
+    which is exactly as far as events have been worked off, so no row arrives for a time that is
+    already done.  A cell with too few events for a run costs one write and one timer.
     """
 
-    def __init__(self, min_times: int, within: int):
+    def __init__(self, min_times: int, within: int, width: int):
         self.min_times = min_times
         self.within = within
+        self.width = width
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", _EVENT)
-        self.open = handle.getListState("open", _EVENT)
-        self.done = handle.getValueState("done", "t bigint")
+        self.events = handle.getListState("events", _EVENT)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        done = self.done.get()[0] if self.done.exists() else -1
-        fresh = [(row.t, row.product_id, row.cents) for row in rows if row.t > done]
-        if fresh:
-            self.waiting.appendList(fresh)
-            self.handle.registerTimer(min(event[0] for event in fresh))
+        fresh = [(row.t, row.product_id, row.cents, False) for row in rows]
+        held = list(self.events.get())
+        self.events.appendList(fresh)
+        if not held:
+            self.handle.registerTimer(key[1] + self.width)
+        if len(held) + len(fresh) >= self.min_times:
+            self.handle.registerTimer(min(e[0] for e in held + fresh if not e[3]))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        user, cell = key
         now = timerValues.getCurrentWatermarkInMs()
-        waiting = sorted(self.waiting.get())
-        ready = [e for e in waiting if e[0] <= now]
-        if not ready:
-            return
-        later = waiting[len(ready):]
-        if later:
-            self.waiting.put(later)
-            self.handle.registerTimer(later[0][0])
-        else:
-            self.waiting.clear()
-        live = list(self.open.get())
-        for t, product, cents in ready:
-            live = [e for e in live if t - e[0] < self.within] + [(t, product, cents)]
+        events = sorted(self.events.get(), key=lambda e: (e[0], e[1] or "", e[2] or 0))
+        live, waiting = [], []
+        for t, product, cents, done in events:
+            if t > now:
+                waiting.append((t, product, cents, done))
+                continue
+            live = [e for e in live if t - e[0] < self.within] + [(t, product, cents, True)]
+            if done or t < cell:
+                continue  # reported before, or a copy whose runs end in its own cell
             total = 0
-            for count, (first, _, paid) in enumerate(reversed(live), start=1):
-                total += paid
+            for count, (first, _, paid, _) in enumerate(reversed(live), start=1):
+                total += paid or 0
                 if count >= self.min_times:
-                    yield Row(user_id=key[0], purchase_count=count, total_cents=total, first_ts=first, last_ts=t)
-        live = [e for e in live if now - e[0] < self.within]
-        if live:
-            self.open.put(live)
-        else:
-            self.open.clear()
-        self.done.update((now,))
+                    yield Row(user_id=user, purchase_count=count, total_cents=total, first_ts=first, last_ts=t)
+        kept = [e for e in live if now - e[0] < self.within and now < cell + self.width] + waiting
+        if kept:
+            self.events.put(kept)
+        elif events:
+            self.events.clear()
+        if waiting and len(kept) >= self.min_times:
+            self.handle.registerTimer(waiting[0][0])
 
 
 def rapid_purchases_stream(purchases: DataFrame, min_times: int = 3, within: int = 10 * SECOND,
@@ -84,9 +85,11 @@ def rapid_purchases_stream(purchases: DataFrame, min_times: int = 3, within: int
         # do not match must still advance it
         purchases = purchases.filter(F.when(where, F.col("ts")) == F.col("ts"))
     events = purchases.select("user_id", "ts", ms().alias("t"), "product_id",
-                              (F.expr(CENTS) * 100).cast("bigint").alias("cents")).filter(F.col("t").isNotNull())
-    runs = events.groupBy("user_id").transformWithState(
-        BurstProcessor(min_times, within), outputStructType=_RUN, outputMode="append", timeMode="eventTime")
+                              (F.expr(CENTS) * 100).cast("bigint").alias("cents"))
+    cells = spread_over_cells(events.filter(F.col("t").isNotNull() & F.col("user_id").isNotNull()), within)
+    runs = cells.groupBy("user_id", "cell").transformWithState(
+        BurstProcessor(min_times, within, cell_width(within)), outputStructType=_RUN, outputMode="append",
+        timeMode="eventTime")
     return runs.select("user_id", "purchase_count",
                        (F.col("total_cents").cast("decimal(20,0)") / 100).cast("double").alias("total_amount_usd"),
                        "first_ts", "last_ts", (F.col("last_ts") - F.col("first_ts")).alias("span_ms"))
