@@ -90,11 +90,15 @@ def test_interval_join_bounds(spark, tmp_path):
     assert rows(got, "delta_ms") == [(-30_000,), (300_000,)]
 
 
+BOTH_FORMS = pytest.mark.parametrize("alerts", [rapid_purchases_stream, patterns.rapid_purchases])
+
+
+@BOTH_FORMS
 @pytest.mark.parametrize("min_times,within", [(3, 4_000), (2, 1_000)])
-def test_burst_processor_equals_brute_force(spark, tmp_path, min_times, within):
+def test_bursts_equal_brute_force(spark, tmp_path, alerts, min_times, within):
     data = shuffled(8, 300, 4_000)
     write_batches(f"{tmp_path}/in", in_files(data, 6) + [FLUSH])
-    got = run(rapid_purchases_stream(stream(spark, f"{tmp_path}/in", schemas.PURCHASE, 5_000), min_times, within), tmp_path)
+    got = run(alerts(stream(spark, f"{tmp_path}/in", schemas.PURCHASE, 5_000), min_times, within), tmp_path)
     assert rows(got, *ALERT) == brute_force_runs(data, min_times, within)
 
 
@@ -122,10 +126,11 @@ def test_burst_state_is_forgotten(spark, tmp_path):
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 8, left
 
 
-def test_burst_filter(spark, tmp_path):
+@BOTH_FORMS
+def test_burst_filter(spark, tmp_path, alerts):
     write_batches(f"{tmp_path}/in", [[("u", "p", 1, 50), ("u", "p", 2, 5), ("u", "p", 3, 50), ("u", "p", 4, 50)], FLUSH])
     purchases = stream(spark, f"{tmp_path}/in", schemas.PURCHASE, 5_000)
-    got = run(rapid_purchases_stream(purchases, where=F.col("amount_usd") > 20), tmp_path)
+    got = run(alerts(purchases, where=F.col("amount_usd") > 20), tmp_path)
     assert rows(got, *ALERT) == [("u", 3, 150.0, 1, 4)]
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wakeline.functions.timecols import DAY, SECOND, floor_to, ms
+from wakeline.functions.timecols import DAY, SECOND, duration, floor_to, ms
 from wakeline.operators.windows import CENTS, window_sums
 
 # ranks per join group when runs are spelled out
@@ -37,7 +37,12 @@ def rapid_purchases(purchases: DataFrame, min_times: int = 3, within: int = 10 *
     The work follows the number of alerts: events are ranked inside (user, time cell), which
     spreads a busy user; only events that start or end some run go on; and the pairs are formed in
     groups of ``RANKS`` starts, so a huge burst is spread over tasks too.
+
+    On a stream (with a watermark on ``ts``) the alerts of a cell come when it closes; see
+    ``streaming.bursts`` for alerts that do not wait for that.
     """
+    if purchases.isStreaming:
+        return _runs_of_closed_cells(purchases, min_times, within, where, order)
     if where is not None:
         purchases = purchases.filter(where)
     # events equal in every ordering column are interchangeable, so their order does not matter
@@ -70,6 +75,44 @@ def rapid_purchases(purchases: DataFrame, min_times: int = 3, within: int = 10 *
         "first_ts", "last_ts", (F.col("last_ts") - F.col("first_ts")).alias("span_ms"))
 
 
+def above_watermark(where: Column) -> Column:
+    """A filter that Spark does not move below the watermark of ``ts``: events that do not match
+    must still advance it.  The equality with ``ts`` is what holds it in place."""
+    return F.when(where, F.col("ts")) == F.col("ts")
+
+
+def cents_to_usd(cents: Column) -> Column:
+    return (cents.cast("decimal(20,0)") / 100).cast("double")
+
+
+def _runs_of_closed_cells(purchases: DataFrame, min_times: int, within: int, where: Column | None,
+                          order: tuple[str, ...]) -> DataFrame:
+    """The streaming form: events are gathered per (user, cell and the stretch before it), and the
+    runs of each group are spelled out in array expressions once the watermark closes it."""
+    if where is not None:
+        purchases = purchases.filter(above_watermark(where))
+    width = 2 * within
+    reach = F.window("ts", duration(width + within), duration(width), duration(width - within))
+    event = F.struct(ms().alias("t"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
+                     (F.expr(CENTS) * 100).cast("bigint").alias("cents"))
+    closed = (purchases.filter(F.col("user_id").isNotNull()).groupBy("user_id", reach.alias("w"))
+              .agg(F.collect_list(event).alias("events"), F.count(F.lit(1)).cast("int").alias("n"))
+              .filter(F.col("n") >= min_times))
+    ordered = closed.select("user_id", (ms(F.col("w.end")) - width).alias("cell"), "n",
+                            F.sort_array("events").alias("e"))
+    # paid[i] is the sum of the first i events
+    paid = ordered.withColumn("paid", F.expr(
+        "aggregate(e, array(0L), (acc, x) -> array_append(acc, acc[size(acc) - 1] + coalesce(x.cents, 0L)))"))
+    far = min_times - 1
+    ends = (paid.withColumn("j", F.explode(F.expr(f"sequence({far}, n - 1)")))
+            .filter(F.expr(f"e[j].t >= cell AND e[j].t - e[j - {far}].t < {within}")))
+    return ends.select("user_id", F.col("e")[F.col("j")]["t"].alias("last_ts"), F.inline(F.expr(f"""
+        transform(filter(sequence(0, j - {far}), i -> e[j].t - e[i].t < {within}),
+                  i -> struct(j - i + 1 AS purchase_count, paid[j + 1] - paid[i] AS cents, e[i].t AS first_ts))"""))).select(
+        "user_id", "purchase_count", cents_to_usd(F.col("cents")).alias("total_amount_usd"), "first_ts", "last_ts",
+        (F.col("last_ts") - F.col("first_ts")).alias("span_ms"))
+
+
 def threshold_anomaly(purchases: DataFrame, threshold: float, size: int = DAY) -> DataFrame:
     """Users whose purchases in one window add up to more than ``threshold``."""
     sums = window_sums(purchases, {"spent": CENTS, "purchases": "1L"}, ("user_id",), size)

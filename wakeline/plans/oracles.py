@@ -240,6 +240,10 @@ ORACLES |= {
         _CLOSED.format(counts="SELECT window_start_ms, window_end_ms, user_id, count FROM sess"), _SESSIONS, _MARK),
     "stream_topk_products": _with(_CLOSED.format(counts="SELECT * FROM board"), _BOARD, _MARK),
     "stream_interval_join": _with("SELECT * FROM matches", _match(HOUR, 6 * HOUR)),
+    # cells of two days, reported when the watermark has passed their end
     "stream_rapid_purchases": _with(
+        f"""SELECT * FROM alerts WHERE last_ts // {2 * DAY} * {2 * DAY} + {2 * DAY} <= (SELECT max(ts_ms) - {HOUR} FROM p)""",
+        _alerts()),
+    "stream_rapid_purchases_timers": _with(
         f"SELECT * FROM alerts WHERE last_ts <= (SELECT max(ts_ms) - {HOUR} FROM p)", _alerts()),
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wakeline.functions.timecols import DAY, HOUR, with_watermark
-from wakeline.operators import joins, topk, windows
+from wakeline.operators import joins, patterns, topk, windows
 from wakeline.plans.queries import query
 from wakeline.session import DEFAULTS, shared_dir
 from wakeline.sources import activity as src
@@ -61,4 +61,9 @@ def stream_interval_join(spark, sf_dir):
 
 @query
 def stream_rapid_purchases(spark, sf_dir):
-    return _run(spark, rapid_purchases_stream(_purchases(spark, sf_dir), 3, DAY), "bursts")
+    return _run(spark, patterns.rapid_purchases(_purchases(spark, sf_dir), 3, DAY), "bursts")
+
+
+@query
+def stream_rapid_purchases_timers(spark, sf_dir):
+    return _run(spark, rapid_purchases_stream(_purchases(spark, sf_dir), 3, DAY), "timers")

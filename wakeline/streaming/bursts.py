@@ -1,4 +1,9 @@
-"""Rapid-purchase alerts on a stream, with event-time ordered state per user and time cell."""
+"""Rapid-purchase alerts on a stream as soon as the watermark reaches the last event of a run.
+
+``patterns.rapid_purchases`` gives the same alerts from built-in aggregates when a time cell
+closes, which is cheaper; this form keeps event-time ordered state and timers in Python workers
+and is for alerts that cannot wait for the cell.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from wakeline.functions.timecols import SECOND, ms
-from wakeline.operators.patterns import cell_width, spread_over_cells
+from wakeline.operators.patterns import above_watermark, cell_width, cents_to_usd, spread_over_cells
 from wakeline.operators.windows import CENTS
 
 _EVENT = StructType([StructField("t", LongType()), StructField("product_id", StringType()),
@@ -75,15 +80,10 @@ class BurstProcessor(StatefulProcessor):
 
 def rapid_purchases_stream(purchases: DataFrame, min_times: int = 3, within: int = 10 * SECOND,
                            where: Column | None = None) -> DataFrame:
-    """The streaming form of ``patterns.rapid_purchases``; needs a watermark on ``ts``.
-
-    Alerts appear as soon as the watermark reaches the last event of their run.  Needs the RocksDB
-    state store.
-    """
+    """The alerts of ``patterns.rapid_purchases`` without delay; needs a watermark on ``ts`` and
+    the RocksDB state store."""
     if where is not None:
-        # tied to `ts` by an equality, so that it cannot be moved below the watermark: events that
-        # do not match must still advance it
-        purchases = purchases.filter(F.when(where, F.col("ts")) == F.col("ts"))
+        purchases = purchases.filter(above_watermark(where))
     events = purchases.select("user_id", "ts", ms().alias("t"), "product_id",
                               (F.expr(CENTS) * 100).cast("bigint").alias("cents"))
     cells = spread_over_cells(events.filter(F.col("t").isNotNull() & F.col("user_id").isNotNull()), within)
@@ -91,5 +91,5 @@ def rapid_purchases_stream(purchases: DataFrame, min_times: int = 3, within: int
         BurstProcessor(min_times, within, cell_width(within)), outputStructType=_RUN, outputMode="append",
         timeMode="eventTime")
     return runs.select("user_id", "purchase_count",
-                       (F.col("total_cents").cast("decimal(20,0)") / 100).cast("double").alias("total_amount_usd"),
+                       cents_to_usd(F.col("total_cents")).alias("total_amount_usd"),
                        "first_ts", "last_ts", (F.col("last_ts") - F.col("first_ts")).alias("span_ms"))
