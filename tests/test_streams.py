@@ -11,7 +11,7 @@ from wakeline import schemas
 from wakeline.operators import joins, patterns, results, topk, windows
 from wakeline.streaming.batches import keep_recent, split_late
 from wakeline.streaming.bursts import rapid_purchases_stream
-from wakeline.streaming.run import AVAILABLE_NOW, dropped_by_watermark, finish, start, start_all
+from wakeline.streaming.run import AVAILABLE_NOW, dropped_by_watermark, finish, start
 
 COUNTS = ("window_start_ms", "window_end_ms", "count")
 ALERT = ("user_id", "purchase_count", "total_amount_usd", "first_ts", "last_ts")
@@ -178,16 +178,6 @@ def test_restart_gives_every_window_once(spark, tmp_path):
     assert rows(go(), *COUNTS) == [(0, 10_000, 1), (10_000, 20_000, 2)]
 
 
-def test_one_source_three_sinks(spark, tmp_path):
-    write_batches(f"{tmp_path}/in", [[("u", "p", t) for t in (1_000, 2_000, 65_000)], FLUSH])
-    views = stream(spark, f"{tmp_path}/in", schemas.PAGE_VIEW, 5_000)
-    branches = {"tumbling": windows.tumbling_counts(views), "sliding": windows.sliding_counts(views),
-                "sessions": windows.session_counts(views)}
-    finish(*start_all(branches, "json", f"{tmp_path}/out", f"{tmp_path}/cp", trigger=AVAILABLE_NOW))
-    sizes = {label: spark.read.schema(df.schema).json(f"{tmp_path}/out/{label}").count() for label, df in branches.items()}
-    assert sizes == {"tumbling": 2, "sliding": 6, "sessions": 2}
-
-
 def test_malformed_record_stops_the_stream(spark, tmp_path):
     write_batch(f"{tmp_path}/in", 0, as_json([("u", "p", 1)]) + ["{bad"])
     with pytest.raises(Exception, match="malformed record"):

@@ -18,7 +18,7 @@ def _cast(raw: Column, field: StructField) -> Column:
 
 
 def decode(df: DataFrame, schema: StructType, on_error: str = "fail", value: str = "value",
-           fallback: Column | None = None) -> DataFrame:
+           fallback: Column | str | None = None) -> DataFrame:
     """Parse a JSON text column into the fields of ``schema`` plus the event time ``ts``.
 
     Unknown fields are ignored; missing numbers and booleans become 0 and false, missing strings

@@ -80,10 +80,10 @@ def salted_counts(df: DataFrame, size: int = 10 * SECOND, key: str = "product_id
     return total.select("window_start_ms", (F.col("window_start_ms") + size).alias("window_end_ms"), key, "count")
 
 
-def gmv(purchases: DataFrame, size: int = 60 * SECOND) -> DataFrame:
+def gmv(purchases: DataFrame, size: int = 60 * SECOND, slide: int | None = None) -> DataFrame:
     """Revenue and number of purchases per window; summed exactly in cents."""
     measures = {"gmv": CENTS, **COUNT}
-    return window_sums(purchases, measures, (), size).select(
+    return window_sums(purchases, measures, (), size, slide).select(
         "window_start_ms", "window_end_ms", F.col("gmv").cast("double").alias("gmv_usd"),
         F.col("count").alias("purchases"))
 

@@ -132,6 +132,11 @@ ORACLES: dict[str, str] = {
     "gmv_per_window": _with(
         f"""SELECT ts_ms // {HOUR} * {HOUR} AS window_start_ms, ts_ms // {HOUR} * {HOUR} + {HOUR} AS window_end_ms,
             CAST(sum(CAST(amount_usd AS DECIMAL(18, 2))) AS DOUBLE) AS gmv_usd, count(*) AS purchases FROM p GROUP BY ALL"""),
+    "gmv_sliding": _with(
+        f"""SELECT ts_ms // {HOUR} * {HOUR} - i * {HOUR} AS window_start_ms,
+            ts_ms // {HOUR} * {HOUR} - i * {HOUR} + {3 * HOUR} AS window_end_ms,
+            CAST(sum(CAST(amount_usd AS DECIMAL(18, 2))) AS DOUBLE) AS gmv_usd, count(*) AS purchases
+            FROM p CROSS JOIN range(3) r(i) GROUP BY ALL"""),
     "dashboard_counters": _with(
         """SELECT count(*) AS total, count(*) FILTER (event_id % 5 = 0) AS late,
            count(*) FILTER (event_type = 'purchase') AS purchases,
@@ -219,6 +224,9 @@ ORACLES: dict[str, str] = {
                       _SESSIONS, _match(HOUR, 6 * HOUR), _alerts(), _RESULTS),
     "dedup_windows": _with("SELECT DISTINCT * FROM (SELECT * FROM unioned UNION ALL SELECT * FROM unioned)",
                            _SESSIONS, _TUMBLING, _SLIDING, _UNION),
+    "recent_windows": _with(
+        """SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY kind ORDER BY window_start_ms DESC, user_id)
+           AS INTEGER) AS position FROM unioned) WHERE position <= 30""", _SESSIONS, _TUMBLING, _SLIDING, _UNION),
     "recent_span": _with(
         "SELECT kind, min(window_start_ms) AS start_ms, max(window_end_ms) AS end_ms FROM unioned GROUP BY kind",
         _SESSIONS, _TUMBLING, _SLIDING, _UNION),

@@ -120,6 +120,11 @@ def gmv_per_window(spark, sf_dir):
     return windows.gmv(src.purchases(spark, sf_dir), HOUR)
 
 
+@query
+def gmv_sliding(spark, sf_dir):
+    return windows.gmv(src.purchases(spark, sf_dir), 3 * HOUR, HOUR)
+
+
 @query
 def dashboard_counters(spark, sf_dir):
     events = src.activity(spark, sf_dir).filter(F.col("event_type").isin("view", "purchase"))
@@ -320,6 +325,12 @@ def dedup_windows(spark, sf_dir):
     return results.dedup_windows(once.unionByName(once))
 
 
+@query
+def recent_windows(spark, sf_dir):
+    newest = [F.desc("window_start_ms"), F.asc("user_id")]
+    return results.recent_n(results.dedup_windows(_window_results(spark, sf_dir)), newest, 30, by="kind")
+
+
 @query
 def recent_span(spark, sf_dir):
     return results.recent_span(_window_results(spark, sf_dir))

@@ -15,10 +15,11 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a join side is broadcast only while its measured size stays below this
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    # state lives on disk with bounded memory and is uploaded as deltas
+    # state lives on disk, within a memory limit per executor, and is uploaded as deltas
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     # sessions of one task are merged before the shuffle, so a busy user costs a row per task
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

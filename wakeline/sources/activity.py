@@ -12,6 +12,9 @@ LATE_MAX = 6 * HOUR
 LATE_STRIDE = 7919
 PARTITIONS = 4
 
+# a backfill of a large table is cut into micro-batches of this size
+BYTES_PER_BATCH = str(256 * 1024**3)
+
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -23,7 +26,10 @@ def activity(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataF
     """
     path = f"{sf_dir}/events.parquet"
     # a file stream takes a folder or a pattern; the pattern also fits a table that is one file
-    events = spark.readStream.schema(EVENTS).parquet(path + "*") if streaming else spark.read.parquet(path)
+    if streaming:
+        events = spark.readStream.schema(EVENTS).option("maxBytesPerTrigger", BYTES_PER_BATCH).parquet(path + "*")
+    else:
+        events = spark.read.parquet(path)
     ts_ms = F.unix_millis(F.col("ts").cast("timestamp"))
     return events.select(
         "event_id", F.col("user_id").cast("string").alias("user_id"), "event_type",

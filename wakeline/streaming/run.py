@@ -40,14 +40,6 @@ def start(df: DataFrame, sink: str | Callable[[DataFrame, int], None], checkpoin
     return writer.format(sink).start()
 
 
-def start_all(branches: dict[str, DataFrame], sink: str, base: str, checkpoints: str, **kwargs) -> list[StreamingQuery]:
-    """Several results of one source definition, each with its own sink folder or topic, state and
-    checkpoint, so that one branch can fail and restart without the others."""
-    separator = "." if sink == "kafka" else "/"
-    return [start(df, sink, f"{checkpoints}/{label}", f"{base}{separator}{label}", **kwargs)
-            for label, df in branches.items()]
-
-
 def finish(*queries: StreamingQuery) -> None:
     """Wait for queries started with ``AVAILABLE_NOW`` and raise what stopped them, if anything."""
     for query in queries:
