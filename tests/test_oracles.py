@@ -19,7 +19,7 @@ EXPECTED = {
     "new_account_burst": 48, "watermark_replay": 10000, "min_watermark": 200, "late_counts": 2,
     "late_side_output": 863, "late_dropped_windows": 345, "allowed_lateness": None, "watermark_lag_bands": 3,
     "event_vs_arrival": 720, "latest_per_type": 3, "recent_n": 150, "dedup_windows": 3162, "recent_span": 3,
-    "max_concurrent_sessions": 1, "recent_windows": 90, "gmv_sliding": None, "result_feed": 30 + 3162 + 236 + 153,
+    "max_concurrent_sessions": 1, "recent_windows": 90, "gmv_sliding": None, "window_aggregate": None, "result_feed": 30 + 3162 + 236 + 153,
 }
 
 

@@ -56,6 +56,9 @@ def disordered(tmp_path_factory):
     ("topk", lambda v: topk.topk_products(v, 3), (*COUNTS, "rank", "product_id")),
     ("topk_sliding", lambda v: topk.topk_products(v, 3, 30_000, 10_000), (*COUNTS, "rank", "product_id")),
     ("gmv", lambda v: windows.gmv(v), ("window_start_ms", "gmv_usd", "purchases")),
+    ("aggregate", lambda v: windows.window_aggregate(v, [F.min("amount_usd").alias("least")], ("user_id",)),
+     ("window_start_ms", "window_end_ms", "user_id", "least")),
+    ("gmv_sliding", lambda v: windows.gmv(v, 30_000, 10_000), ("window_start_ms", "gmv_usd", "purchases")),
     ("threshold", lambda v: patterns.threshold_anomaly(v, 60, 20_000), ("window_start_ms", "user_id", "purchases", "spent_usd")),
 ])
 def test_stream_equals_batch(spark, tmp_path, disordered, name, build, columns):
@@ -82,6 +85,16 @@ def test_stream_join_equals_batch(spark, tmp_path, build):
     assert got.count() > 0
 
 
+def test_interval_join_state_is_dropped(spark, tmp_path):
+    for side, seed in (("v", 6), ("p", 7)):
+        write_batches(f"{tmp_path}/{side}", in_files(shuffled(seed, 150, 3_000), 3) + [FLUSH, [("f", "f", FLUSH[0][2] + 1)]])
+    joined = joins.interval_join(stream(spark, f"{tmp_path}/v", schemas.PAGE_VIEW, 5_000),
+                                 stream(spark, f"{tmp_path}/p", schemas.PURCHASE, 5_000), 1_500, 4_000)
+    query = start(joined, "parquet", f"{tmp_path}/cp", f"{tmp_path}/out", trigger=AVAILABLE_NOW)
+    finish(query)
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 6
+
+
 def test_interval_join_bounds(spark, tmp_path):
     write_batches(f"{tmp_path}/v", [[("a", "v", 100_000)]])
     write_batches(f"{tmp_path}/p", [[("a", "p", t, 1) for t in (69_999, 70_000, 400_000, 400_001)]])

@@ -36,7 +36,9 @@ def rapid_purchases(purchases: DataFrame, min_times: int = 3, within: int = 10 *
 
     The work follows the number of alerts: events are ranked inside (user, time cell), which
     spreads a busy user; only events that start or end some run go on; and the pairs are formed in
-    groups of ``RANKS`` starts, so a huge burst is spread over tasks too.
+    groups of ``RANKS`` starts, so a huge burst is spread over tasks too.  Only the ordering of one
+    cell (5 * ``within`` of one user) is a single task; a cell too large for that would hold an
+    unwritable, quadratic number of alerts.
 
     On a stream (with a watermark on ``ts``) the alerts of a cell come when it closes; see
     ``streaming.bursts`` for alerts that do not wait for that.
@@ -47,7 +49,7 @@ def rapid_purchases(purchases: DataFrame, min_times: int = 3, within: int = 10 *
         purchases = purchases.filter(where)
     # events equal in every ordering column are interchangeable, so their order does not matter
     ties = [f"o{i}" for i in range(len(order))]
-    events = (purchases.select("user_id", ms().alias("t"), F.expr(CENTS).alias("amount"),
+    events = (purchases.select("user_id", ms().alias("t"), F.coalesce(F.expr(CENTS), F.lit(0)).alias("amount"),
                                *[F.col(c).alias(o) for c, o in zip(order, ties)])
               .filter(F.col("t").isNotNull() & F.col("user_id").isNotNull()))
     ordered = Window.partitionBy("user_id", "cell").orderBy("t", *ties)

@@ -48,6 +48,16 @@ def window_sums(df: DataFrame, measures: dict[str, str], keys: tuple[str, ...] =
     return sums.select(start, (F.col(start) + size).alias("window_end_ms"), *keys, *measures)
 
 
+def window_aggregate(df: DataFrame, aggregates: list[Column], keys: tuple[str, ...] = (),
+                     size: int = 10 * SECOND, slide: int | None = None) -> DataFrame:
+    """Any aggregates per key and window, with the bounds of the window; for what is not a sum.
+
+    ``aggregates`` are aliased columns; those Spark can fold before the shuffle it does.
+    """
+    grouped = df.groupBy(stream_window(size, slide).alias("w"), *keys).agg(*aggregates)
+    return grouped.select(*bounds("w"), *[c for c in grouped.columns if c != "w"])
+
+
 def tumbling_counts(df: DataFrame, size: int = 10 * SECOND, keys: tuple[str, ...] = ()) -> DataFrame:
     """Events per window (and key)."""
     return window_sums(df, COUNT, keys, size)

@@ -137,6 +137,11 @@ ORACLES: dict[str, str] = {
             ts_ms // {HOUR} * {HOUR} - i * {HOUR} + {3 * HOUR} AS window_end_ms,
             CAST(sum(CAST(amount_usd AS DECIMAL(18, 2))) AS DOUBLE) AS gmv_usd, count(*) AS purchases
             FROM p CROSS JOIN range(3) r(i) GROUP BY ALL"""),
+    "window_aggregate": _with(
+        f"""SELECT ts_ms // {DAY} * {DAY} - i * {DAY} AS window_start_ms,
+            ts_ms // {DAY} * {DAY} - i * {DAY} + {3 * DAY} AS window_end_ms, product_id,
+            min(amount_usd) AS smallest, max(amount_usd) AS largest, count(DISTINCT user_id) AS buyers
+            FROM p CROSS JOIN range(3) r(i) GROUP BY ALL"""),
     "dashboard_counters": _with(
         """SELECT count(*) AS total, count(*) FILTER (event_id % 5 = 0) AS late,
            count(*) FILTER (event_type = 'purchase') AS purchases,

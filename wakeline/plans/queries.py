@@ -125,6 +125,13 @@ def gmv_sliding(spark, sf_dir):
     return windows.gmv(src.purchases(spark, sf_dir), 3 * HOUR, HOUR)
 
 
+@query
+def window_aggregate(spark, sf_dir):
+    spread = [F.min("amount_usd").alias("smallest"), F.max("amount_usd").alias("largest"),
+              F.count_distinct("user_id").alias("buyers")]
+    return windows.window_aggregate(src.purchases(spark, sf_dir), spread, ("product_id",), 3 * DAY, DAY)
+
+
 @query
 def dashboard_counters(spark, sf_dir):
     events = src.activity(spark, sf_dir).filter(F.col("event_type").isin("view", "purchase"))
