@@ -12,14 +12,13 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wakeline.functions.timecols import HOUR
 from wakeline.operators import joins, lateness, patterns, results, topk, windows
-from wakeline.session import get_session
+from wakeline.session import get_session, shared_dir
 from wakeline.sources import activity as src
 
 BASE = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -74,7 +73,7 @@ def main() -> None:
                         spark__sql__adaptive__advisoryPartitionSizeInBytes="4m")
     spark.sparkContext.setLogLevel("ERROR")
     for skewed in (False, True):
-        folder = grow(spark, copies, skewed, tempfile.mkdtemp(prefix="scale-") + "/data")
+        folder = grow(spark, copies, skewed, shared_dir(spark, "scale"))
         for name, df in operators(spark, folder).items():
             if wanted and name not in wanted:
                 continue

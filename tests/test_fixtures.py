@@ -250,6 +250,12 @@ def test_dedup_and_recent(spark):
     assert rows(results.latest_per_type(df, newest, by="kind"), "kind", "user_id") == [("session", "a"), ("tumbling", None)]
 
 
+def test_dedup_first_wins(spark):
+    df = spark.createDataFrame([("tumbling", 0, 10, 5, None, 2), ("tumbling", 0, 10, 4, None, 1), ("session", 0, 9, 1, "a", 3)],
+                               "kind string, window_start_ms bigint, window_end_ms bigint, count bigint, user_id string, seq int")
+    assert rows(results.dedup_windows(df, "seq"), "kind", "count", "seq") == [("session", 1, 3), ("tumbling", 4, 1)]
+
+
 def test_new_accounts_and_threshold(spark):
     bought = events(spark, [("new", "p", t, 60) for t in (1, 2, 3)] + [("old", "p", t, 60) for t in (9001, 9002, 9003)])
     activity = events(spark, [("new", "p", 0), ("old", "p", 0)])

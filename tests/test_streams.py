@@ -215,6 +215,40 @@ def test_recent_results_table(spark, tmp_path):
     assert rows(current.orderBy("position"), "position", "ts_ms") == [(1, 23), (2, 22), (3, 21), (4, 20), (5, 13)]
 
 
+def test_batches_can_be_run_again(spark, tmp_path):
+    """A micro-batch that is repeated after a failure overwrites what it wrote."""
+    first = events(spark, [("u", "p", 15_000)]).withColumn("type", F.lit("view"))
+    second = events(spark, [("u", "p", 9_000), ("u", "p", 40_000)]).withColumn("type", F.lit("view"))
+    paths = [f"{tmp_path}/{name}" for name in ("kept", "late", "marks")]
+    recent, split = keep_recent(f"{tmp_path}/recent", lambda: [F.desc("ts_ms")], 2), split_late(*paths)
+    for work in (recent, split):
+        for batch_id, batch in [(0, first), (0, first), (1, second), (1, second)]:
+            work(batch, batch_id)
+    assert rows(spark.read.parquet(f"{tmp_path}/recent/v=1"), "ts_ms") == [(15_000,), (40_000,)]
+    assert rows(spark.read.parquet(paths[1]), "ts_ms") == [(9_000,)]
+    assert rows(spark.read.parquet(paths[0]), "ts_ms") == [(15_000,), (40_000,)]
+
+
+def test_keyed_counter_resumes_from_its_checkpoint(spark, tmp_path):
+    latest = {}
+
+    def keep(batch, batch_id):
+        latest.update({r["user_id"]: r["n"] for r in batch.collect()})
+
+    def go():
+        counter = stream(spark, f"{tmp_path}/in", schemas.PAGE_VIEW, 0).groupBy("user_id").agg(F.count("*").alias("n"))
+        finish(start(counter, keep, f"{tmp_path}/cp", output_mode="update", trigger=AVAILABLE_NOW))
+
+    write_batches(f"{tmp_path}/in", [[("a", "p", 1), ("b", "p", 2)], [("a", "p", 3)]])
+    go()
+    assert latest == {"a": 2, "b": 1}
+    latest.clear()
+    write_batches(f"{tmp_path}/in", [[("a", "p", 4), ("c", "p", 5)]], first=2)
+    go()
+    # only what changed is emitted, with the counts of before the restart
+    assert latest == {"a": 3, "c": 1}
+
+
 def test_stream_dedup_of_repeated_results(spark, tmp_path):
     write_batches(f"{tmp_path}/in", [[("u", "p", 1_000)], [("u", "p", 1_000), ("v", "p", 1_000)], [("u", "p", 2_000)]])
     seen = stream(spark, f"{tmp_path}/in", schemas.PAGE_VIEW, 5_000).select(

@@ -21,15 +21,22 @@ def latest_per_type(results: DataFrame, order: list[Column], by: str = "type") -
     return recent_n(results, order, 1, by).drop("position")
 
 
-def dedup_windows(results: DataFrame) -> DataFrame:
+def dedup_windows(results: DataFrame, order: str | None = None) -> DataFrame:
     """One row per (kind, window start, user): repeats of a window result are dropped.
 
-    On a stream give the input a watermark on ``ts``; keys are then forgotten once it has passed.
+    ``order`` names a column (arrival number or time) whose smallest value wins on a stored table;
+    without it any of the repeats is kept.  On a stream the first to arrive wins; give the input a
+    watermark on ``ts``, and keys are forgotten once it has passed.
     """
     keyed = results.withColumn("__user", F.coalesce("user_id", F.lit("")))
     keys = ["kind", "window_start_ms", "__user"]
-    unique = keyed.dropDuplicatesWithinWatermark(keys) if results.isStreaming else keyed.dropDuplicates(keys)
-    return unique.drop("__user")
+    if results.isStreaming:
+        return keyed.dropDuplicatesWithinWatermark(keys).drop("__user")
+    if order is None:
+        return keyed.dropDuplicates(keys).drop("__user")
+    # an aggregate rather than a ranking: repeats are folded before the shuffle
+    first = keyed.groupBy(*keys).agg(F.min_by(F.struct(*results.columns), order).alias("r"))
+    return first.select("r.*")
 
 
 def recent_span(results: DataFrame) -> DataFrame:
