@@ -51,6 +51,7 @@ def operators(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "interval_join": joins.interval_join(views, bought),
         "interval_join_salted": joins.interval_join(views, bought, salts=8),
         "window_join": joins.window_join(views, bought, 60_000),
+        "conversion": joins.conversion(views, bought),
         "funnel": joins.funnel(views, bought),
         "rapid_purchases": patterns.rapid_purchases(bought),
         "threshold_anomaly": patterns.threshold_anomaly(bought, 150),

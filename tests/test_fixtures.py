@@ -108,6 +108,9 @@ def test_interval_join_equals_brute_force(spark):
         assert rows(got, "user_id", "view_ts", "purchase_ts", "amount_usd") == want
     converted = {(i, a) for i, a in enumerate(v) for b in p if a[0] == b[0] and 0 <= b[2] - a[2] <= after}
     assert rows(joins.funnel(views, bought, after), "views", "converted") == [(200, len(converted))]
+    matches = joins.interval_join(views, bought, before, after)
+    assert rows(joins.conversion(views, bought, before, after), "*") == rows(joins.same_product_conversion(matches), "*")
+    assert rows(joins.conversion(views, bought, before, after), "matches") == [(len(want),)]
     same = {w: sum(1 for a, b in itertools.product(v, p) if a[0] == b[0] and a[2] // w == b[2] // w) for w in (900,)}
     for salts in (1, 4):
         assert joins.window_join(views, bought, 900, salts).count() == same[900]
@@ -119,6 +122,8 @@ def test_conversion(spark):
     matches = joins.interval_join(views, bought)
     assert rows(joins.same_product_conversion(matches), "matches", "same_product", "conversion_pct") == [(4, 1, 25.0)]
     assert rows(joins.same_product_conversion(matches, latest=2), "matches", "same_product") == [(2, 0)]
+    assert rows(joins.conversion(views, bought), "*") == rows(joins.same_product_conversion(matches), "*")
+    assert rows(joins.conversion(views.filter("false"), bought), "matches", "conversion_pct") == [(0, None)]
     empty = matches.filter("false")
     assert rows(joins.same_product_conversion(empty), "matches", "conversion_pct") == [(0, None)]
 

@@ -75,14 +75,52 @@ def window_join(views: DataFrame, purchases: DataFrame, size: int = 10 * SECOND,
         "window_start_ms", (F.col("window_start_ms") + size).alias("window_end_ms"), *MATCH_COLUMNS)
 
 
+def _with_rate(totals: DataFrame) -> DataFrame:
+    return totals.withColumn("conversion_pct", F.when(
+        F.col("matches") > 0, F.col("same_product").cast("double") / F.col("matches") * 100))
+
+
 def same_product_conversion(matches: DataFrame, latest: int | None = None) -> DataFrame:
-    """Share of matches in which the viewed product was bought, over all or the ``latest`` n."""
+    """Share of given matches in which the viewed product was bought, over all or the ``latest`` n."""
     if latest is not None:
         matches = matches.orderBy(F.desc("purchase_ts"), F.desc("view_ts"), "user_id").limit(latest)
     same = F.col("product_id_viewed") == F.col("product_id_purchased")
-    totals = matches.agg(F.count(F.lit(1)).alias("matches"), F.count_if(same).alias("same_product"))
-    return totals.withColumn("conversion_pct", F.when(
-        F.col("matches") > 0, F.col("same_product").cast("double") / F.col("matches") * 100))
+    return _with_rate(matches.agg(F.count(F.lit(1)).alias("matches"), F.count_if(same).alias("same_product")))
+
+
+def conversion(views: DataFrame, purchases: DataFrame, before: int = 30 * SECOND,
+               after: int = 5 * MINUTE) -> DataFrame:
+    """``same_product_conversion`` of the whole interval join, without forming its pairs.
+
+    Events are folded to one row per user, scope (any product, or one) and millisecond.  In one
+    ordered pass per time cell the running number of purchases is read at both ends of the
+    interval of every view; the difference is the number of its matches.
+    """
+    width = 4 * (before + after + 1)
+    scopes = F.explode(F.array(F.struct(F.lit(False).alias("same"), F.lit(None).cast("string").alias("product")),
+                               F.struct(F.lit(True).alias("same"), F.col("product_id").alias("product"))))
+    scope = ("user_id", "same", "product")
+
+    def fold(events: DataFrame) -> DataFrame:
+        rows = events.select("user_id", ms().alias("t"), scopes.alias("s")).select("user_id", "s.*", "t")
+        return (rows.filter(~F.col("same") | F.col("product").isNotNull())
+                .groupBy(*scope, "t").agg(F.count(F.lit(1)).alias("n")))
+
+    none = F.lit(0).cast("bigint")
+    ends = F.explode(F.array(F.struct((F.col("t") + after).alias("at"), F.col("n").alias("weight")),
+                             F.struct((F.col("t") - (before + 1)).alias("at"), (-F.col("n")).alias("weight"))))
+    probes = (fold(views).select(*scope, floor_to(F.col("t"), width).alias("cell"), ends.alias("e"))
+              .select(*scope, "cell", "e.at", "e.weight", none.alias("bought")))
+    cells = F.explode(F.sequence(floor_to(F.col("t") - after, width), floor_to(F.col("t") + before, width),
+                                 F.lit(width).cast("bigint")))
+    bought = fold(purchases).select(*scope, cells.alias("cell"), F.col("t").alias("at"), none.alias("weight"),
+                                    F.col("n").alias("bought"))
+    # the default frame takes in all rows of the same time
+    so_far = F.sum("bought").over(Window.partitionBy(*scope, "cell").orderBy("at"))
+    matched = probes.unionByName(bought).select("same", (F.col("weight") * so_far).alias("n"))
+    return _with_rate(matched.agg(
+        F.coalesce(F.sum(F.when(~F.col("same"), F.col("n"))), none).alias("matches"),
+        F.coalesce(F.sum(F.when(F.col("same"), F.col("n"))), none).alias("same_product")))
 
 
 def funnel(views: DataFrame, purchases: DataFrame, within: int = 5 * MINUTE) -> DataFrame:

@@ -72,7 +72,7 @@ def topk_sql(views: DataFrame, k: int = 10, size: int = DAY) -> DataFrame:
                  row_number() OVER (PARTITION BY window_start_ms ORDER BY count DESC, product_id) AS rank
           FROM (
             SELECT unix_millis(ts) - pmod(unix_millis(ts), {size}) AS window_start_ms, product_id, count(*) AS count
-            FROM {views} GROUP BY ALL
+            FROM {views} WHERE ts IS NOT NULL GROUP BY ALL
           )
         )
         WHERE rank <= {k}
@@ -97,7 +97,7 @@ def topk_approx(views: DataFrame, k: int = 10, size: int = 10 * SECOND, tracked:
     Exact while a window has at most ``tracked`` products.
     """
     start = floor_to(ms(), size).alias("window_start_ms")
-    sketch = views.groupBy(start).agg(F.expr(f"approx_top_k(product_id, {k}, {tracked})").alias("best"))
+    sketch = views.filter(F.col("ts").isNotNull()).groupBy(start).agg(F.expr(f"approx_top_k(product_id, {k}, {tracked})").alias("best"))
     return (sketch.select("window_start_ms", F.posexplode("best").alias("pos", "e"))
             .select("window_start_ms", (F.col("window_start_ms") + size).alias("window_end_ms"),
                     (F.col("pos") + 1).alias("rank"), F.col("e.item").alias("product_id"),

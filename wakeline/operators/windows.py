@@ -85,7 +85,7 @@ def salted_counts(df: DataFrame, size: int = 10 * SECOND, key: str = "product_id
         partial = df.groupBy(stream_window(size).alias("w"), key, salt).agg(F.count(F.lit(1)).alias("n"))
         return partial.groupBy("w", key).agg(F.sum("n").alias("count")).select(*bounds("w"), key, "count")
     start = floor_to(ms(), size).alias("window_start_ms")
-    partial = df.groupBy(start, key, salt).agg(F.count(F.lit(1)).alias("n"))
+    partial = df.filter(F.col("ts").isNotNull()).groupBy(start, key, salt).agg(F.count(F.lit(1)).alias("n"))
     total = partial.groupBy("window_start_ms", key).agg(F.sum("n").alias("count"))
     return total.select("window_start_ms", (F.col("window_start_ms") + size).alias("window_end_ms"), key, "count")
 

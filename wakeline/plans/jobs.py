@@ -15,7 +15,7 @@ from wakeline.operators import codec, joins, patterns, topk, windows
 from wakeline.streaming.bursts import rapid_purchases_stream
 from wakeline.streaming.run import start
 
-# topics the jobs read
+# topics the jobs read (fixed values)
 VIEWS_TOPIC = "events.page_views"
 PURCHASES_TOPIC = "events.purchases"
 

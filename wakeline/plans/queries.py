@@ -195,8 +195,7 @@ def interval_join(spark, sf_dir):
 
 @query
 def same_product_conversion(spark, sf_dir):
-    matches = joins.interval_join(src.page_views(spark, sf_dir), src.purchases(spark, sf_dir), DAY, 3 * DAY)
-    return joins.same_product_conversion(matches)
+    return joins.conversion(src.page_views(spark, sf_dir), src.purchases(spark, sf_dir), DAY, 3 * DAY)
 
 
 @query

@@ -54,7 +54,7 @@ ALERT = StructType([
     StructField("span_ms", LongType()),
 ])
 
-# topic of a result stream -> message type shown to readers
+# topic of a result stream -> message type shown to readers (fixed values)
 RESULT_TOPICS = {
     "results.topk": "topk",
     "results.windows.tumbling": "tumbling",
