@@ -12,23 +12,26 @@ LATE_MAX = 6 * HOUR
 LATE_STRIDE = 7919
 PARTITIONS = 4
 
-# a backfill of a large table is cut into micro-batches of this size
-BYTES_PER_BATCH = str(256 * 1024**3)
-
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def activity(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+def activity(spark: SparkSession, sf_dir: str, streaming: bool = False,
+             files_per_batch: int | None = None) -> DataFrame:
     """All events: ``event_id, user_id, event_type, product_id, amount_usd, ts_ms, ts``.
 
-    Expects a UTC session: the stored timestamps carry no zone.
+    Expects a UTC session: the stored timestamps carry no zone.  As a stream, what is there at the
+    start is one micro-batch; limit ``files_per_batch`` only if the files follow each other in
+    time, because the watermark of early files drops what later files hold of earlier times.
     """
     path = f"{sf_dir}/events.parquet"
     # the declared schema saves a pass over the file footers
     if streaming:
         # a file stream takes a folder or a pattern; the pattern also fits a table that is one file
-        events = spark.readStream.schema(EVENTS).option("maxBytesPerTrigger", BYTES_PER_BATCH).parquet(path + "*")
+        reader = spark.readStream.schema(EVENTS)
+        if files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
+        events = reader.parquet(path + "*")
     else:
         events = spark.read.schema(EVENTS).parquet(path)
     ts_ms = F.unix_millis(F.col("ts").cast("timestamp"))
