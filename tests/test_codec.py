@@ -51,3 +51,12 @@ def test_relay_keeps_any_layout(spark):
            .unionByName(messages.rows(spark, ['{"b":null}'], "results.fraud")).unionByName(messages.rows(spark, ["{}"], "x")))
     assert rows(codec.relay(raw, schemas.RESULT_TOPICS), "type", "payload") == [
         ("fraud", '{"b":null}'), ("topk", "[1,2]"), ("topk", '{"a":1}')]
+
+
+@pytest.mark.parametrize("on_error", ["fail", "skip", "quarantine"])
+def test_records_are_parsed_once_below_filters_and_joins(spark, on_error):
+    decoded = codec.decode(spark.read.format("text").load("/root/testdata/sf0.001/events.parquet"), schemas.PURCHASE, on_error)
+    other = spark.range(10).select(F.col("id").cast("string").alias("user_id"))
+    joined = decoded.filter("amount_usd > 5 AND product_id <> 'x'").join(other, "user_id")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1

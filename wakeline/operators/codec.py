@@ -28,8 +28,9 @@ def decode(df: DataFrame, schema: StructType, on_error: str = "fail", value: str
     ``on_error``: ``fail`` raises on a malformed record, ``skip`` drops it, ``quarantine`` keeps
     it with its text in ``malformed`` (null on good rows) so that one pass serves both outputs.
 
-    Every record is parsed once: a filter on the parsed record would be moved below the parsing
-    and repeat it, so ``fail`` checks inside the columns and ``skip`` drops by exploding.
+    Every record is parsed once.  Filters on its fields, written or inferred by Spark from joins,
+    would be moved below a plain projection and repeat the parsing for every field they name, so
+    the record comes out of an ``explode``, which they do not cross.
     """
     if on_error not in ("fail", "skip", "quarantine"):
         raise ValueError(f"unknown on_error: {on_error}")
@@ -43,11 +44,10 @@ def decode(df: DataFrame, schema: StructType, on_error: str = "fail", value: str
             bad = bad | (r[f.name].isNotNull() & _cast(r[f.name], f).isNull())
         return bad
 
+    records = F.array(record)
     if on_error == "skip":
-        good = F.filter(F.array(record), lambda r: ~is_bad(r))
-        parsed = df.select("*", F.explode(good).alias("__r"))
-    else:
-        parsed = df.withColumn("__r", record)
+        records = F.filter(records, lambda r: ~is_bad(r))
+    parsed = df.select("*", F.explode(records).alias("__r"))
     bad = is_bad(F.col("__r"))
     refuse = F.raise_error(F.concat(F.lit("malformed record: "), F.coalesce(F.col(value), F.lit("null"))))
 
