@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import mixing, packing, quality, secrets, token_matrices
+from wakeline.llm import embeddings, licenses, minmax, mixing, packing, quality, secrets, token_matrices
 from wakeline.llm.store import keep
 
 
@@ -24,6 +24,10 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def license_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(_documents(spark, sf_dir)).drop("detections")
+
+
 def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -43,6 +47,14 @@ def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.listed(F.col("secret_spans")).alias("spans"))
 
 
+def embedding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def minmax_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_texts(_documents(spark, sf_dir), width=3, percent=85)
+
+
 def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = mixing.queue(_documents(spark, sf_dir).select("doc_id", "text", "source"))
     return turns.select("doc_id", "size", "source_size", "target", F.aggregate(
@@ -51,9 +63,12 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": packing_query,
+    "op2_license_scan": license_query,
     "op4_quality_rules": quality_query,
     "op5_token_matrices": matrices_query,
     "op7_secret_scan": secrets_query,
+    "op8_embedding_near_dup": embedding_query,
     "op9_mixing": mixing_query,
+    "op10_minmax_near_dup": minmax_query,
 }
 ORACLES: dict[str, str] = {}
