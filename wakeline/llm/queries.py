@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import embeddings, licenses, minmax, mixing, packing, quality, secrets, token_matrices
+from wakeline.llm import (embeddings, licenses, line_alignment, minmax, mixing, packing, quality, secrets, suffixes,
+                          token_matrices)
 from wakeline.llm.store import keep
 
 
@@ -28,6 +29,12 @@ def license_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(_documents(spark, sf_dir)).drop("detections")
 
 
+def line_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_alignment.shared_blocks(_documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "partners", "blocks", F.sha2(F.encode(F.coalesce("clean_text", F.lit("")), "UTF-8"), 256)
+                        .alias("kept_sha256"))
+
+
 def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_documents(spark, sf_dir)).select(
         F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -39,6 +46,11 @@ def matrices_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "cu_seqlens", "position_resets", "doc_ids", "doc_starts")
 
 
+def suffix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(_documents(spark, sf_dir).select("doc_id", "text"))
     count = lambda k: F.size(F.filter("base_spans", lambda x: x["kind"] == k)).cast("long")
@@ -61,14 +73,23 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "copies", F.lit(0).cast("long"), lambda a, c: a + c["taken"]).alias("taken"))
 
 
+def pipeline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_packing": packing_query,
     "op2_license_scan": license_query,
+    "op3_line_dedup": line_query,
     "op4_quality_rules": quality_query,
     "op5_token_matrices": matrices_query,
+    "op6_suffix_dedup": suffix_query,
     "op7_secret_scan": secrets_query,
     "op8_embedding_near_dup": embedding_query,
     "op9_mixing": mixing_query,
     "op10_minmax_near_dup": minmax_query,
+    "pipeline": pipeline_query,
 }
 ORACLES: dict[str, str] = {}
