@@ -28,7 +28,7 @@ def _byte_letters() -> dict[int, str]:
 class WordTokenizer:
     """Use ``WordTokenizer.load(path)``: one instance per process and file."""
 
-    LETTERS, PIECES = 500_000, 200_000  # words remembered; a full memory is emptied
+    LETTERS, PIECES = 1_000_000, 600_000  # words remembered; a full memory is emptied
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -58,8 +58,9 @@ class WordTokenizer:
             word = found[1].lower()
             out = self.letters.get(word)
             if out is None:
-                shown = self.shown
-                ids = [t.id for t in self.model.tokenize("".join([shown[b] for b in word.encode()]))]
+                # plain letters stand for themselves
+                shown = word if word.isascii() else "".join(map(self.shown.__getitem__, word.encode()))
+                ids = [t.id for t in self.model.tokenize(shown)]
                 if len(self.letters) >= self.LETTERS:
                     self.letters.clear()
                 out = self.letters[word] = struct.pack(f"<{len(ids)}I", *ids)
