@@ -28,7 +28,7 @@ def _byte_letters() -> dict[int, str]:
 class WordTokenizer:
     """Use ``WordTokenizer.load(path)``: one instance per process and file."""
 
-    LETTERS, PIECES = 1_000_000, 600_000  # words remembered; a full memory is emptied
+    LETTERS, PIECES = 500_000, 300_000  # words remembered; a full memory is emptied
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
