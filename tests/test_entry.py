@@ -32,3 +32,11 @@ def test_table_of_several_files_as_a_stream(spark, tmp_path):
         events = with_watermark(src.activity(spark, str(tmp_path), streaming=True, files_per_batch=files), HOUR)
         got = run(windows.tumbling_counts(events, HOUR), tmp_path, name=f"files-{files}")
         assert rows(got, "*") == rows(stored.filter(f"window_end_ms <= {mark}"), "*")
+
+
+def test_the_stream_reads_no_neighbours(spark, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    for name in ("events.parquet", "events.parquet_old"):
+        events.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    got = run(src.activity(spark, str(tmp_path), streaming=True), tmp_path, name="neighbours")
+    assert got.count() == events.count()

@@ -268,3 +268,26 @@ def test_new_accounts_and_threshold(spark):
     assert rows(patterns.new_account_bursts(alerts, activity, 5_000), "user_id", "account_age_ms") == [("new", 1)]
     assert rows(patterns.threshold_anomaly(bought, 179.99, 10_000), "user_id", "spent_usd") == [("new", 180.0), ("old", 180.0)]
     assert patterns.threshold_anomaly(bought, 180, 10_000).count() == 0
+
+
+def test_small_amounts_add_up(spark):
+    """Sums are not cut to cents, row by row or at the end."""
+    bought = spark.range(1000).selectExpr("'u' AS user_id", "'p' AS product_id", "0.004D AS amount_usd", "5L AS ts_ms",
+                                          "timestamp_millis(5) AS ts")
+    assert rows(windows.gmv(bought, 1000), "gmv_usd", "purchases") == [(4.0, 1000)]
+    assert rows(patterns.threshold_anomaly(bought, 3.9, 1000), "spent_usd") == [(4.0,)]
+    alerts = patterns.rapid_purchases(bought.limit(3), 3, 10)
+    assert rows(alerts, "purchase_count", "total_amount_usd") == [(3, 0.012)]
+
+
+def test_null_users_match_nobody(spark):
+    """As in the interval join, also with null products and times."""
+    events = [(None, "a", 1000), (None, None, 1100), ("u", "a", 1000), ("u", None, 1200), ("u", "b", None)]
+    make = lambda more: spark.createDataFrame(events, "user_id string, product_id string, ts_ms long").withColumn(
+        "ts", F.timestamp_millis("ts_ms")).selectExpr("*", *more)
+    views, bought = make([]), make(["1.0D AS amount_usd"])
+    pairs = joins.interval_join(views, bought, 500, 500)
+    assert rows(joins.conversion(views, bought, 500, 500), "matches", "same_product") == rows(
+        joins.same_product_conversion(pairs), "matches", "same_product") == [(4, 1)]
+    timed = views.filter("ts is not null")
+    assert rows(joins.funnel(timed, bought, 500), "views", "converted") == [(4, 2)]

@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import duck, spark_rows, sql_rows
+from wakeline.plans.oracles import ORACLES
+from wakeline.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -29,6 +31,7 @@ def con():
 
 
 def test_every_query_has_a_counterpart():
+    assert set(ORACLES) == set(QUERIES)
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

@@ -83,7 +83,8 @@ def _with_rate(totals: DataFrame) -> DataFrame:
 def same_product_conversion(matches: DataFrame, latest: int | None = None) -> DataFrame:
     """Share of given matches in which the viewed product was bought, over all or the ``latest`` n."""
     if latest is not None:
-        matches = matches.orderBy(F.desc("purchase_ts"), F.desc("view_ts"), "user_id").limit(latest)
+        matches = matches.orderBy(F.desc("purchase_ts"), F.desc("view_ts"), "user_id", "product_id_viewed",
+                                  "product_id_purchased").limit(latest)
     same = F.col("product_id_viewed") == F.col("product_id_purchased")
     return _with_rate(matches.agg(F.count(F.lit(1)).alias("matches"), F.count_if(same).alias("same_product")))
 
@@ -113,7 +114,8 @@ def conversion(views: DataFrame, purchases: DataFrame, before: int = 30 * SECOND
               .select(*scope, "cell", "e.at", "e.weight", none.alias("bought")))
     cells = F.explode(F.sequence(floor_to(F.col("t") - after, width), floor_to(F.col("t") + before, width),
                                  F.lit(width).cast("bigint")))
-    bought = fold(purchases).select(*scope, cells.alias("cell"), F.col("t").alias("at"), none.alias("weight"),
+    # as in a join, a null user is equal to none
+    bought = fold(purchases.filter("user_id is not null")).select(*scope, cells.alias("cell"), F.col("t").alias("at"), none.alias("weight"),
                                     F.col("n").alias("bought"))
     # the default frame takes in all rows of the same time
     so_far = F.sum("bought").over(Window.partitionBy(*scope, "cell").orderBy("at"))
@@ -134,7 +136,8 @@ def funnel(views: DataFrame, purchases: DataFrame, within: int = 5 * MINUTE) ->
     cell = F.lit(width).cast("bigint")
     v = (views.select("user_id", ms().alias("t")).groupBy("user_id", "t").agg(F.count(F.lit(1)).alias("n"))
          .select("user_id", floor_to(F.col("t"), width).alias("cell"), "t", "n"))
-    p = (purchases.select("user_id", ms().alias("t")).distinct()
+    # as in a join, a null user is equal to none: such views are counted and never converted
+    p = (purchases.filter("user_id is not null").select("user_id", ms().alias("t")).distinct()
          .select("user_id", F.explode(F.sequence(
              floor_to(F.col("t") - within, width), floor_to(F.col("t"), width), cell)).alias("cell"), "t",
              F.lit(0).cast("bigint").alias("n")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wakeline.functions.timecols import DAY, SECOND, duration, floor_to, ms
-from wakeline.operators.windows import CENTS, window_sums
+from wakeline.operators.windows import AMOUNT, window_sums
 
 # ranks per join group when runs are spelled out
 RANKS = 256
@@ -49,7 +49,7 @@ def rapid_purchases(purchases: DataFrame, min_times: int = 3, within: int = 10 *
         purchases = purchases.filter(where)
     # events equal in every ordering column are interchangeable, so their order does not matter
     ties = [f"o{i}" for i in range(len(order))]
-    events = (purchases.select("user_id", ms().alias("t"), F.coalesce(F.expr(CENTS), F.lit(0)).alias("amount"),
+    events = (purchases.select("user_id", ms().alias("t"), F.coalesce(F.expr(AMOUNT), F.lit(0)).alias("amount"),
                                *[F.col(c).alias(o) for c, o in zip(order, ties)])
               .filter(F.col("t").isNotNull() & F.col("user_id").isNotNull()))
     ordered = Window.partitionBy("user_id", "cell").orderBy("t", *ties)
@@ -83,8 +83,13 @@ def above_watermark(where: Column) -> Column:
     return F.when(where, F.col("ts")) == F.col("ts")
 
 
-def cents_to_usd(cents: Column) -> Column:
-    return (cents.cast("decimal(20,0)") / 100).cast("double")
+def units() -> Column:
+    """The amount in billionths as a long, for sums kept in state; one alert's sum may reach nine billion."""
+    return (F.expr(AMOUNT) * F.lit(10 ** 9).cast("decimal(10,0)")).cast("bigint")
+
+
+def units_to_usd(units: Column) -> Column:
+    return (units.cast("decimal(20,0)") * F.expr("0.000000001BD")).cast("double")
 
 
 def _runs_of_closed_cells(purchases: DataFrame, min_times: int, within: int, where: Column | None,
@@ -96,7 +101,7 @@ def _runs_of_closed_cells(purchases: DataFrame, min_times: int, within: int, whe
     width = 2 * within
     reach = F.window("ts", duration(width + within), duration(width), duration(width - within))
     event = F.struct(ms().alias("t"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
-                     (F.expr(CENTS) * 100).cast("bigint").alias("cents"))
+                     units().alias("units"))
     closed = (purchases.filter(F.col("user_id").isNotNull()).groupBy("user_id", reach.alias("w"))
               .agg(F.collect_list(event).alias("events"), F.count(F.lit(1)).cast("int").alias("n"))
               .filter(F.col("n") >= min_times))
@@ -104,21 +109,21 @@ def _runs_of_closed_cells(purchases: DataFrame, min_times: int, within: int, whe
                             F.sort_array("events").alias("e"))
     # paid[i] is the sum of the first i events
     paid = ordered.withColumn("paid", F.expr(
-        "aggregate(e, array(0L), (acc, x) -> array_append(acc, acc[size(acc) - 1] + coalesce(x.cents, 0L)))"))
+        "aggregate(e, array(0L), (acc, x) -> array_append(acc, acc[size(acc) - 1] + coalesce(x.units, 0L)))"))
     far = min_times - 1
     ends = (paid.withColumn("j", F.explode(F.expr(f"sequence({far}, n - 1)")))
             .filter(F.expr(f"e[j].t >= cell AND e[j].t - e[j - {far}].t < {within}")))
     return ends.select("user_id", F.col("e")[F.col("j")]["t"].alias("last_ts"), F.inline(F.expr(f"""
         transform(filter(sequence(0, j - {far}), i -> e[j].t - e[i].t < {within}),
-                  i -> struct(j - i + 1 AS purchase_count, paid[j + 1] - paid[i] AS cents, e[i].t AS first_ts))"""))).select(
-        "user_id", "purchase_count", cents_to_usd(F.col("cents")).alias("total_amount_usd"), "first_ts", "last_ts",
+                  i -> struct(j - i + 1 AS purchase_count, paid[j + 1] - paid[i] AS units, e[i].t AS first_ts))"""))).select(
+        "user_id", "purchase_count", units_to_usd(F.col("units")).alias("total_amount_usd"), "first_ts", "last_ts",
         (F.col("last_ts") - F.col("first_ts")).alias("span_ms"))
 
 
 def threshold_anomaly(purchases: DataFrame, threshold: float, size: int = DAY) -> DataFrame:
     """Users whose purchases in one window add up to more than ``threshold``."""
-    sums = window_sums(purchases, {"spent": CENTS, "purchases": "1L"}, ("user_id",), size)
-    return sums.filter(F.col("spent") > F.lit(threshold).cast("decimal(18,2)")).select(
+    sums = window_sums(purchases, {"spent": AMOUNT, "purchases": "1L"}, ("user_id",), size)
+    return sums.filter(F.col("spent") > F.lit(threshold).cast("decimal(28,9)")).select(
         "window_start_ms", "window_end_ms", "user_id", "purchases", F.col("spent").cast("double").alias("spent_usd"))
 
 

@@ -66,11 +66,11 @@ def _match(before: int, after: int) -> str:
 
 def _alerts(where: str = "true", name: str = "alerts") -> str:
     return f"""ranked AS (
-  SELECT *, row_number() OVER w AS rn, sum(CAST(amount_usd AS DECIMAL(18, 2))) OVER w AS cum
+  SELECT *, row_number() OVER w AS rn, sum(CAST(amount_usd AS DECIMAL(38, 9))) OVER w AS cum
   FROM p WHERE {where} WINDOW w AS (PARTITION BY user_id ORDER BY ts_ms, event_id)),
 {name} AS (
   SELECT b.user_id, CAST(b.rn - a.rn + 1 AS INTEGER) AS purchase_count,
-         CAST(b.cum - a.cum + CAST(a.amount_usd AS DECIMAL(18, 2)) AS DOUBLE) AS total_amount_usd,
+         CAST(b.cum - a.cum + CAST(a.amount_usd AS DECIMAL(38, 9)) AS DOUBLE) AS total_amount_usd,
          a.ts_ms AS first_ts, b.ts_ms AS last_ts, b.ts_ms - a.ts_ms AS span_ms
   FROM ranked a JOIN ranked b ON a.user_id = b.user_id AND b.rn >= a.rn + 2 AND b.ts_ms < a.ts_ms + {DAY})"""
 
@@ -131,11 +131,11 @@ ORACLES: dict[str, str] = {
     "session_metrics": _with("SELECT * FROM sess", _SESSIONS),
     "gmv_per_window": _with(
         f"""SELECT ts_ms // {HOUR} * {HOUR} AS window_start_ms, ts_ms // {HOUR} * {HOUR} + {HOUR} AS window_end_ms,
-            CAST(sum(CAST(amount_usd AS DECIMAL(18, 2))) AS DOUBLE) AS gmv_usd, count(*) AS purchases FROM p GROUP BY ALL"""),
+            CAST(sum(CAST(amount_usd AS DECIMAL(38, 9))) AS DOUBLE) AS gmv_usd, count(*) AS purchases FROM p GROUP BY ALL"""),
     "gmv_sliding": _with(
         f"""SELECT ts_ms // {HOUR} * {HOUR} - i * {HOUR} AS window_start_ms,
             ts_ms // {HOUR} * {HOUR} - i * {HOUR} + {3 * HOUR} AS window_end_ms,
-            CAST(sum(CAST(amount_usd AS DECIMAL(18, 2))) AS DOUBLE) AS gmv_usd, count(*) AS purchases
+            CAST(sum(CAST(amount_usd AS DECIMAL(38, 9))) AS DOUBLE) AS gmv_usd, count(*) AS purchases
             FROM p CROSS JOIN range(3) r(i) GROUP BY ALL"""),
     "window_aggregate": _with(
         f"""SELECT ts_ms // {DAY} * {DAY} - i * {DAY} AS window_start_ms,
@@ -185,8 +185,8 @@ ORACLES: dict[str, str] = {
     "rapid_purchase_filtered": _with("SELECT * FROM alerts", _alerts("amount_usd >= 20")),
     "threshold_anomaly": _with(
         f"""SELECT ts_ms // {DAY} * {DAY} AS window_start_ms, ts_ms // {DAY} * {DAY} + {DAY} AS window_end_ms, user_id,
-            count(*) AS purchases, CAST(sum(CAST(amount_usd AS DECIMAL(18, 2))) AS DOUBLE) AS spent_usd
-            FROM p GROUP BY 1, 2, 3 HAVING sum(CAST(amount_usd AS DECIMAL(18, 2))) > 150"""),
+            count(*) AS purchases, CAST(sum(CAST(amount_usd AS DECIMAL(38, 9))) AS DOUBLE) AS spent_usd
+            FROM p GROUP BY 1, 2, 3 HAVING sum(CAST(amount_usd AS DECIMAL(38, 9))) > 150"""),
     "new_account_burst": _with(
         f"""SELECT alerts.*, first_ts - first_seen AS account_age_ms FROM alerts
             JOIN (SELECT user_id, min(ts_ms) AS first_seen FROM act GROUP BY user_id) USING (user_id)

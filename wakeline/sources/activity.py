@@ -27,11 +27,11 @@ def activity(spark: SparkSession, sf_dir: str, streaming: bool = False,
     path = f"{sf_dir}/events.parquet"
     # the declared schema saves a pass over the file footers
     if streaming:
-        # a file stream takes a folder or a pattern; the pattern also fits a table that is one file
+        # a file stream takes a folder or a pattern; this pattern fits the table only, be it one file or a folder
         reader = spark.readStream.schema(EVENTS)
         if files_per_batch:
             reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
-        events = reader.parquet(path + "*")
+        events = reader.parquet(f"{sf_dir}/[e]vents.parquet")
     else:
         events = spark.read.schema(EVENTS).parquet(path)
     ts_ms = F.unix_millis(F.col("ts").cast("timestamp"))

@@ -14,13 +14,12 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from wakeline.functions.timecols import SECOND, ms
-from wakeline.operators.patterns import above_watermark, cell_width, cents_to_usd, spread_over_cells
-from wakeline.operators.windows import CENTS
+from wakeline.operators.patterns import above_watermark, cell_width, spread_over_cells, units, units_to_usd
 
 _EVENT = StructType([StructField("t", LongType()), StructField("product_id", StringType()),
-                     StructField("cents", LongType()), StructField("done", BooleanType())])
+                     StructField("units", LongType()), StructField("done", BooleanType())])
 _RUN = StructType([StructField("user_id", StringType()), StructField("purchase_count", IntegerType()),
-                   StructField("total_cents", LongType()), StructField("first_ts", LongType()),
+                   StructField("total_units", LongType()), StructField("first_ts", LongType()),
                    StructField("last_ts", LongType())])
 
 
@@ -43,7 +42,7 @@ class BurstProcessor(StatefulProcessor):
         self.events = handle.getListState("events", _EVENT)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        fresh = [(row.t, row.product_id, row.cents, False) for row in rows]
+        fresh = [(row.t, row.product_id, row.units, False) for row in rows]
         held = list(self.events.get())
         self.events.appendList(fresh)
         if not held:
@@ -57,18 +56,18 @@ class BurstProcessor(StatefulProcessor):
         now = timerValues.getCurrentWatermarkInMs()
         events = sorted(self.events.get(), key=lambda e: (e[0], e[1] or "", e[2] or 0))
         live, waiting = [], []
-        for t, product, cents, done in events:
+        for t, product, units, done in events:
             if t > now:
-                waiting.append((t, product, cents, done))
+                waiting.append((t, product, units, done))
                 continue
-            live = [e for e in live if t - e[0] < self.within] + [(t, product, cents, True)]
+            live = [e for e in live if t - e[0] < self.within] + [(t, product, units, True)]
             if done or t < cell:
                 continue  # reported before, or a copy whose runs end in its own cell
             total = 0
             for count, (first, _, paid, _) in enumerate(reversed(live), start=1):
                 total += paid or 0
                 if count >= self.min_times:
-                    yield Row(user_id=user, purchase_count=count, total_cents=total, first_ts=first, last_ts=t)
+                    yield Row(user_id=user, purchase_count=count, total_units=total, first_ts=first, last_ts=t)
         kept = [e for e in live if now - e[0] < self.within and now < cell + self.width] + waiting
         if kept:
             self.events.put(kept)
@@ -85,11 +84,11 @@ def rapid_purchases_stream(purchases: DataFrame, min_times: int = 3, within: int
     if where is not None:
         purchases = purchases.filter(above_watermark(where))
     events = purchases.select("user_id", "ts", ms().alias("t"), "product_id",
-                              (F.expr(CENTS) * 100).cast("bigint").alias("cents"))
+                              units().alias("units"))
     cells = spread_over_cells(events.filter(F.col("t").isNotNull() & F.col("user_id").isNotNull()), within)
     runs = cells.groupBy("user_id", "cell").transformWithState(
         BurstProcessor(min_times, within, cell_width(within)), outputStructType=_RUN, outputMode="append",
         timeMode="eventTime")
     return runs.select("user_id", "purchase_count",
-                       cents_to_usd(F.col("total_cents")).alias("total_amount_usd"),
+                       units_to_usd(F.col("total_units")).alias("total_amount_usd"),
                        "first_ts", "last_ts", (F.col("last_ts") - F.col("first_ts")).alias("span_ms"))
