@@ -181,3 +181,12 @@ def test_mixing_edges(spark):
     assert mixed(spark.createDataFrame([(1, None, None), (2, "", "a")], schema)) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
     twice = spark.createDataFrame([(None, "a b", "s"), (None, "a b", "s"), (1, "c", "s")], schema)
     assert sorted(r[4] for r in mixed(twice)) == [1, 2, 2]
+
+
+def test_mixing_table_against_sql(spark):
+    from tests.compare import duck, spark_rows, sql_rows
+    from wakeline.llm.queries import ORACLES, QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    got, want = spark_rows(QUERIES["op9_mixing"](spark, sf)), sql_rows(duck(sf), ORACLES["op9_mixing"])
+    assert got == want and len(got[1]) == 1000

@@ -92,4 +92,27 @@ QUERIES = {
     "op10_minmax_near_dup": minmax_query,
     "pipeline": pipeline_query,
 }
-ORACLES: dict[str, str] = {}
+#: Equal to the operator's order and targets: sources in code point order, queues by digest of the id.
+MIXING_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, md5('mix|' || CAST(doc_id AS VARCHAR)) AS k,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+             [1, 2, 3][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1] AS weight FROM d GROUP BY source),
+o AS (SELECT *, row_number() OVER w AS n, sum(weight) OVER (ORDER BY source_size * 6 // weight, encode(source) NULLS LAST
+               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights,
+             sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER (ORDER BY source_size * 6 // weight, encode(source) NULLS LAST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest
+      FROM s WINDOW w AS (ORDER BY source_size * 6 // weight, encode(source) NULLS LAST)),
+f AS (SELECT min(n) AS n FROM o WHERE 3 * source_size * weights > weight * rest),
+t AS (SELECT o.source, o.source_size, CASE WHEN o.n >= f.n THEN CAST(o.weight * g.rest AS DOUBLE) / CAST(g.weights AS DOUBLE)
+             ELSE CAST(3 * o.source_size AS DOUBLE) END AS target
+      FROM o, f LEFT JOIN o AS g ON g.n = f.n),
+q AS (SELECT d.doc_id, d.source, d.size, sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id, d.size ROWS UNBOUNDED PRECEDING)
+             - d.size AS ahead FROM d)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(
+  greatest(0, least(size, floor(target) - ahead)) + greatest(0, least(size, floor(target) - source_size - ahead))
+  + greatest(0, least(size, floor(target) - 2 * source_size - ahead)) AS BIGINT) AS taken
+FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source"""
+
+ORACLES: dict[str, str] = {"op9_mixing": MIXING_SQL}
