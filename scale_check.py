@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wakeline.functions.timecols import HOUR
 from wakeline.operators import joins, lateness, patterns, results, topk, windows
 from wakeline.session import get_session, shared_dir
+from wakeline.plans.arrivals import PARTITIONS, arrival_log
 from wakeline.sources import activity as src
 
 BASE = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -39,7 +40,7 @@ def grow(spark: SparkSession, copies: int, skewed: bool, folder: str) -> str:
 
 def operators(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     views, bought = src.page_views(spark, folder), src.purchases(spark, folder)
-    log = src.arrival_log(spark, folder, batch_rows=1000)
+    log = arrival_log(spark, folder, batch_rows=1000)
     sessions = windows.session_counts(views)
     return {
         "tumbling_by_product": windows.counts_by_product(views, HOUR),
@@ -57,7 +58,7 @@ def operators(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "threshold_anomaly": patterns.threshold_anomaly(bought, 150),
         "late_counts": lateness.late_counts(log, HOUR),
         "late_dropped_windows": lateness.late_dropped_windows(log, HOUR, HOUR),
-        "min_watermark": lateness.min_watermark(log, list(range(src.PARTITIONS)), HOUR),
+        "min_watermark": lateness.min_watermark(log, list(range(PARTITIONS)), HOUR),
         "max_concurrent_sessions": results.max_concurrent(sessions),
     }
 

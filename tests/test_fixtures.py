@@ -37,8 +37,20 @@ def test_topk_variants_agree(spark):
     salted = windows.salted_counts(views, 20_000, salt_on="ts")
     assert rows(topk.rank_counts(salted, 5), *columns) == plain
     approx = topk.topk_approx(views, 5, 20_000)
-    assert rows(approx, "window_start_ms", "rank", "count") == sorted(
-        ((w, r, c) for w, _, r, _, c in plain), key=repr)
+    assert rows(approx, *columns) == plain
+    assert {r["unlisted_max"] for r in approx.collect()} == {0}
+
+
+def test_approximate_board_counts_its_candidates_exactly(spark):
+    views = events(spark, [("u", f"hot{i % 3}", i) for i in range(3000)] + [("u", f"p{i}", i) for i in range(2000)])
+    board = topk.topk_approx(views, 3, 10_000, tracked=64).collect()
+    assert [(r["product_id"], r["count"]) for r in sorted(board, key=lambda r: r["rank"])] == [(f"hot{i}", 1000) for i in range(3)]
+    assert all(1 <= r["unlisted_max"] <= 2000 for r in board)
+
+
+def test_key_skew_of_the_latest_window(spark):
+    got = topk.key_skew_latest(events(spark, [("u", "A", 1), ("u", "A", 11), ("u", "B", 12), ("u", "A", 13)]), size=10)
+    assert rows(got, "product_id", "count", "heat") == [("A", 2, 1.0), ("B", 1, 0.5)]
 
 
 def test_session_gap(spark):

@@ -20,8 +20,10 @@ EXPECTED = {
     "funnel": 1, "rapid_purchases": 153, "rapid_purchase_filtered": 35, "threshold_anomaly": 122,
     "new_account_burst": 48, "watermark_replay": 10000, "min_watermark": 200, "late_counts": 2,
     "late_side_output": 863, "late_dropped_windows": 345, "allowed_lateness": None, "watermark_lag_bands": 3,
-    "event_vs_arrival": 720, "latest_per_type": 3, "recent_n": 150, "dedup_windows": 3162, "recent_span": 3,
+    "event_vs_arrival": 720, "latest_per_type": 6, "recent_n": 280, "dedup_windows": 3162, "recent_span": 3,
     "max_concurrent_sessions": 1, "recent_windows": 90, "gmv_sliding": None, "window_aggregate": None, "result_feed": 30 + 3162 + 236 + 153,
+    "stream_tumbling_count": 667, "stream_sliding_count": 722, "stream_session_count": 1773, "stream_topk_products": 300,
+    "stream_interval_join": 236, "stream_rapid_purchases": 153, "stream_rapid_purchases_timers": 153,
 }
 
 

@@ -92,16 +92,24 @@ def topk_two_level(views: DataFrame, k: int = 10, size: int = 10 * SECOND, bucke
 
 
 def topk_approx(views: DataFrame, k: int = 10, size: int = 10 * SECOND, tracked: int = 10_000) -> DataFrame:
-    """Approximate heavy hitters: a bounded sketch per window instead of a counter per product.
+    """Heavy hitters: a bounded sketch per window names up to ``tracked`` candidates, which are then
+    counted and ranked exactly (stored tables).
 
-    Exact while a window has at most ``tracked`` products.
+    ``unlisted_max`` is the number of events of products that are no candidates: no such product
+    has a larger count.  It is 0, and the board exact, while a window has at most ``tracked`` products.
     """
-    start = floor_to(ms(), size).alias("window_start_ms")
-    sketch = views.filter(F.col("ts").isNotNull()).groupBy(start).agg(F.expr(f"approx_top_k(product_id, {k}, {tracked})").alias("best"))
-    return (sketch.select("window_start_ms", F.posexplode("best").alias("pos", "e"))
-            .select("window_start_ms", (F.col("window_start_ms") + size).alias("window_end_ms"),
-                    (F.col("pos") + 1).alias("rank"), F.col("e.item").alias("product_id"),
-                    F.col("e.count").alias("count")))
+    rows = views.filter(F.col("ts").isNotNull()).select(floor_to(ms(), size).alias("window_start_ms"), "product_id")
+    sketch = rows.groupBy("window_start_ms").agg(
+        F.expr(f"approx_top_k(product_id, {tracked}, {tracked})").alias("best"), F.count(F.lit(1)).alias("all"))
+    candidates = sketch.select(F.col("window_start_ms").alias("w"), F.explode("best.item").alias("item"))
+    listed = (rows.join(candidates, (F.col("window_start_ms") == F.col("w")) & F.col("product_id").eqNullSafe(F.col("item")),
+                        "left_semi")
+              .groupBy("window_start_ms", "product_id").agg(F.count(F.lit(1)).alias("count"))
+              .withColumn("window_end_ms", F.col("window_start_ms") + size))
+    known = listed.groupBy("window_start_ms").agg(F.sum("count").alias("known"))
+    rest = (sketch.select("window_start_ms", "all").join(known, "window_start_ms")
+            .select("window_start_ms", (F.col("all") - F.col("known")).alias("unlisted_max")))
+    return rank_counts(listed, k).join(rest, "window_start_ms")
 
 
 def rank_movement(board: DataFrame, chunk: int = 64 * DAY) -> DataFrame:
@@ -133,3 +141,9 @@ def key_skew(events: DataFrame, key: str = "product_id") -> DataFrame:
     totals = counts.agg(F.struct(F.sum("count").alias("all"), F.max("count").alias("top"))).scalar()
     n = F.col("count").cast("double")
     return counts.select(key, "count", (n / totals["all"]).alias("share"), (n / totals["top"]).alias("heat"))
+
+
+def key_skew_latest(events: DataFrame, key: str = "product_id", size: int = 10 * SECOND) -> DataFrame:
+    """``key_skew`` of the newest window that has events."""
+    start = floor_to(ms(), size)
+    return key_skew(events.filter(start == events.agg(F.max(start)).scalar()), key)

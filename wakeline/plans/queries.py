@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wakeline import schemas
 from wakeline.functions.timecols import DAY, HOUR
 from wakeline.operators import codec, joins, lateness, patterns, results, topk, windows
+from wakeline.plans import arrivals
 from wakeline.sources import activity as src
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,7 +35,7 @@ def _as_messages(df: DataFrame, *columns: str | Column) -> DataFrame:
 
 @query
 def decode_page_views(spark, sf_dir):
-    views = src.page_views(spark, sf_dir).withColumn("late", F.col("event_id") % src.LATE_EVERY == 0)
+    views = src.page_views(spark, sf_dir).withColumn("late", F.col("event_id") % arrivals.LATE_EVERY == 0)
     messages = _as_messages(views, "user_id", "product_id", "ts_ms", "late", "event_id")
     return codec.decode(messages, schemas.PAGE_VIEW).drop("ts")
 
@@ -47,6 +48,12 @@ def decode_purchases(spark, sf_dir):
     return codec.decode(messages, schemas.PURCHASE).drop("ts")
 
 
+@query
+def page_views_in_range(spark, sf_dir):
+    views = src.page_views(spark, sf_dir, start="2024-01-10", end="2024-01-20")
+    return views.select("event_id", "user_id", "product_id", "ts_ms")
+
+
 @query
 def event_time_fallback(spark, sf_dir):
     views = src.page_views(spark, sf_dir)
@@ -69,13 +76,15 @@ def _window_results(spark, sf_dir) -> DataFrame:
         windows.as_window_results(session_count(spark, sf_dir), "session")])
 
 
+def _topic(kind: Column) -> Column:
+    return F.create_map(*[F.lit(x) for topic, name in schemas.RESULT_TOPICS.items() for x in (name, topic)])[kind]
+
+
 @query
 def results_union(spark, sf_dir):
     known = _window_results(spark, sf_dir)
-    topic = F.when(F.col("kind") == "session", F.lit("results.windows.sessions")).otherwise(
-        F.concat(F.lit("results.windows."), "kind"))
     fields = F.struct(*schemas.WINDOW_RESULT.names)
-    messages = known.select(topic.alias("topic"), F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
+    messages = known.select(_topic(F.col("kind")).alias("topic"), F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
     # the same messages under an unknown topic and cut short: none of them may come through
     unknown = messages.withColumn("topic", F.lit("results.other"))
     broken = messages.withColumn("value", F.expr("left(value, length(value) - 2)"))
@@ -135,7 +144,7 @@ def window_aggregate(spark, sf_dir):
 @query
 def dashboard_counters(spark, sf_dir):
     events = src.activity(spark, sf_dir).filter(F.col("event_type").isin("view", "purchase"))
-    return windows.dashboard_counters(events, F.col("event_id") % src.LATE_EVERY == 0, F.col("amount_usd") > 200)
+    return windows.dashboard_counters(events, F.col("event_id") % arrivals.LATE_EVERY == 0, F.col("amount_usd") > 200)
 
 
 # --- leaderboards -----------------------------------------------------------------------------
@@ -162,8 +171,7 @@ def topk_sliding(spark, sf_dir):
 
 @query
 def topk_approx(spark, sf_dir):
-    # which of several products with equal counts is listed is open, so compare the counts
-    return topk.topk_approx(src.page_views(spark, sf_dir), 10, DAY).drop("product_id")
+    return topk.topk_approx(src.page_views(spark, sf_dir), 10, DAY)
 
 
 @query
@@ -186,6 +194,11 @@ def key_skew(spark, sf_dir):
     return topk.key_skew(src.page_views(spark, sf_dir))
 
 
+@query
+def key_skew_latest(spark, sf_dir):
+    return topk.key_skew_latest(src.page_views(spark, sf_dir), size=DAY)
+
+
 # --- joins ------------------------------------------------------------------------------------
 
 @query
@@ -240,95 +253,97 @@ def new_account_burst(spark, sf_dir):
 
 @query
 def watermark_replay(spark, sf_dir):
-    return lateness.replay_watermarks(src.arrival_log(spark, sf_dir), HOUR).select(
+    return lateness.replay_watermarks(arrivals.arrival_log(spark, sf_dir), HOUR).select(
         "event_id", "batch", F.unix_millis("ts").alias("event_ms"), "watermark_ms", "is_late", "lag_ms")
 
 
 @query
 def min_watermark(spark, sf_dir):
-    return lateness.min_watermark(src.arrival_log(spark, sf_dir), list(range(src.PARTITIONS)), HOUR)
+    return lateness.min_watermark(arrivals.arrival_log(spark, sf_dir), list(range(arrivals.PARTITIONS)), HOUR)
 
 
 @query
 def late_counts(spark, sf_dir):
-    return lateness.late_counts(src.arrival_log(spark, sf_dir), HOUR)
+    return lateness.late_counts(arrivals.arrival_log(spark, sf_dir), HOUR)
 
 
 @query
 def late_side_output(spark, sf_dir):
-    return lateness.late_side_output(src.arrival_log(spark, sf_dir), HOUR, HOUR).select(
+    return lateness.late_side_output(arrivals.arrival_log(spark, sf_dir), HOUR, HOUR).select(
         "event_id", "user_id", "product_id", "ts_ms", "window_end_ms", "watermark_ms")
 
 
 @query
 def late_dropped_windows(spark, sf_dir):
-    return lateness.late_dropped_windows(src.arrival_log(spark, sf_dir), HOUR, HOUR)
+    return lateness.late_dropped_windows(arrivals.arrival_log(spark, sf_dir), HOUR, HOUR)
 
 
 @query
 def allowed_lateness(spark, sf_dir):
-    return lateness.allowed_lateness(src.arrival_log(spark, sf_dir), HOUR, HOUR, 2 * HOUR)
+    return lateness.allowed_lateness(arrivals.arrival_log(spark, sf_dir), HOUR, HOUR, 2 * HOUR)
 
 
 @query
 def watermark_lag_bands(spark, sf_dir):
-    return lateness.watermark_lag_bands(src.arrival_log(spark, sf_dir), HOUR, 2 * HOUR, 4 * HOUR)
+    return lateness.watermark_lag_bands(arrivals.arrival_log(spark, sf_dir), HOUR, 2 * HOUR, 4 * HOUR)
 
 
 @query
 def event_vs_arrival(spark, sf_dir):
-    return lateness.event_vs_arrival(src.arrival_log(spark, sf_dir), HOUR)
+    return lateness.event_vs_arrival(arrivals.arrival_log(spark, sf_dir), HOUR)
 
 
 # --- result tables ----------------------------------------------------------------------------
 
-def _typed_results(spark, sf_dir) -> DataFrame:
-    join = interval_join(spark, sf_dir).select(
-        F.lit("join").alias("type"), F.col("purchase_ts").alias("result_ms"), F.col("view_ts").alias("start_ms"),
-        "user_id", F.lit(1).cast("bigint").alias("events"))
-    session = session_count(spark, sf_dir).select(
-        F.lit("session").alias("type"), F.col("window_end_ms").alias("result_ms"),
-        F.col("window_start_ms").alias("start_ms"), "user_id", F.col("count").alias("events"))
-    fraud = rapid_purchases(spark, sf_dir).select(
-        F.lit("fraud").alias("type"), F.col("last_ts").alias("result_ms"), F.col("first_ts").alias("start_ms"),
-        "user_id", F.col("purchase_count").cast("bigint").alias("events"))
-    return join.unionByName(session).unionByName(fraud)
+def _results(spark, sf_dir) -> DataFrame:
+    """The results of all six types as (type, result_ms, start_ms, user_id, payload), the payload as sent."""
+    typed = {
+        "topk": topk.nest_board(topk_products(spark, sf_dir)),
+        "tumbling": windows.as_window_results(tumbling_count(spark, sf_dir), "tumbling"),
+        "sliding": windows.as_window_results(sliding_count(spark, sf_dir), "sliding"),
+        "session": windows.as_window_results(session_count(spark, sf_dir), "session"),
+        "join": interval_join(spark, sf_dir),
+        "fraud": rapid_purchases(spark, sf_dir),
+    }
+    times = {"join": ("purchase_ts", "view_ts"), "fraud": ("last_ts", "first_ts")}
+
+    def row(kind: str, df: DataFrame) -> DataFrame:
+        end, begin = times.get(kind, ("window_end_ms", "window_start_ms"))
+        user = F.col("user_id") if "user_id" in df.columns else F.lit(None).cast("string")
+        return df.select(F.lit(kind).alias("type"), F.col(end).alias("result_ms"), F.col(begin).alias("start_ms"),
+                         user.alias("user_id"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("payload"))
+
+    return reduce(DataFrame.unionByName, [row(*item) for item in typed.items()])
 
 
 def _newest() -> list[Column]:
-    return [F.desc("result_ms"), F.desc("start_ms"), F.asc("user_id")]
+    return [F.desc("result_ms"), F.desc("start_ms"), F.asc("user_id"), F.asc("payload")]
 
 
 @query
 def result_feed(spark, sf_dir):
     """All six result streams as messages of their topics, brought together by type."""
-    streams = {
-        "results.topk": topk.nest_board(topk_products(spark, sf_dir)),
-        "results.windows.tumbling": windows.as_window_results(tumbling_count(spark, sf_dir), "tumbling"),
-        "results.windows.sliding": windows.as_window_results(sliding_count(spark, sf_dir), "sliding"),
-        "results.windows.sessions": windows.as_window_results(session_count(spark, sf_dir), "session"),
-        "results.joins": interval_join(spark, sf_dir),
-        "results.fraud": rapid_purchases(spark, sf_dir),
-    }
-    messages = reduce(DataFrame.unionByName, [
-        codec.encode(df).select(F.lit(topic).alias("topic"), "value") for topic, df in streams.items()])
-    return codec.relay(messages, schemas.RESULT_TOPICS)
+    sent = _results(spark, sf_dir).select(_topic(F.col("type")).alias("topic"), F.col("payload").alias("value"))
+    return codec.relay(sent, schemas.RESULT_TOPICS)
 
 
 @query
 def latest_per_type(spark, sf_dir):
-    return results.latest_per_type(_typed_results(spark, sf_dir), _newest())
+    return results.latest_per_type(_results(spark, sf_dir), _newest())
 
 
 @query
 def recent_n(spark, sf_dir):
-    return results.recent_n(_typed_results(spark, sf_dir), _newest(), 50)
+    return results.recent_n(_results(spark, sf_dir), _newest(), 50)
 
 
 @query
 def dedup_windows(spark, sf_dir):
+    """Every window result arrives twice with different counts; ``seq`` is the order of arrival."""
     once = _window_results(spark, sf_dir)
-    return results.dedup_windows(once.unionByName(once))
+    again = once.withColumn("count", F.col("count") + 1).withColumn(
+        "seq", F.when(F.col("window_start_ms") % (2 * HOUR) == 0, 1).otherwise(3).cast("bigint"))
+    return results.dedup_windows(once.withColumn("seq", F.lit(2).cast("bigint")).unionByName(again), "seq")
 
 
 @query

@@ -1,13 +1,16 @@
 """Streaming runs over the stored ``events`` table, checked like the stored-table queries.
 
-Each reads the table as a file stream, works off what there is, and returns what reached the
-exactly-once Parquet sink.  Windows that the final watermark has not passed stay open, as on a
-live stream, and give no row.
+Each reads the table as a file stream, works off what there is, then takes one flush event of a far
+later time, and returns what reached the exactly-once Parquet sink.  The flush moves the watermark
+past every window of the table, so the result is that of the whole table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
 
 from wakeline.functions.timecols import DAY, HOUR, with_watermark
 from wakeline.operators import joins, patterns, topk, windows
@@ -17,53 +20,67 @@ from wakeline.sources import activity as src
 from wakeline.streaming.bursts import rapid_purchases_stream
 from wakeline.streaming.run import AVAILABLE_NOW, finish, start
 
-def _run(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+#: After every event of the table; the windows the flush events themselves fall into stay open.
+FLUSH_TIME = datetime(2200, 1, 1)
+
+
+def _run(spark: SparkSession, sf_dir: str, label: str, build: Callable[..., DataFrame]) -> DataFrame:
+    """Run ``build(views, purchases)`` over the table, then go on from its checkpoint with the flush."""
     folder = shared_dir(spark, label)
     for key, value in DEFAULTS.items():
         if key.startswith("spark.sql.streaming."):
             spark.conf.set(key, value)
-    finish(start(df, "parquet", f"{folder}/checkpoint", f"{folder}/out", trigger=AVAILABLE_NOW))
-    return spark.read.schema(df.schema).parquet(f"{folder}/out")
+    flush_dir = f"{folder}/flush"
+    flush_table = f"{flush_dir}/events.parquet"
+    spark.createDataFrame([], src.EVENTS).write.parquet(flush_table)
 
+    def source(read: Callable[..., DataFrame]) -> DataFrame:
+        both = read(spark, sf_dir, streaming=True).unionByName(read(spark, flush_dir, streaming=True))
+        return with_watermark(both, HOUR)
 
-def _views(spark, sf_dir) -> DataFrame:
-    return with_watermark(src.page_views(spark, sf_dir, streaming=True), HOUR)
+    df = build(lambda: source(src.page_views), lambda: source(src.purchases))
 
+    def work_off() -> None:
+        finish(start(df, "parquet", f"{folder}/checkpoint", f"{folder}/out", trigger=AVAILABLE_NOW))
 
-def _purchases(spark, sf_dir) -> DataFrame:
-    return with_watermark(src.purchases(spark, sf_dir, streaming=True), HOUR)
+    work_off()
+    # users of their own, so that the two meet neither each other nor anyone in the table
+    spark.createDataFrame([(-1, FLUSH_TIME, -1, "view", None, None), (-2, FLUSH_TIME, -2, "purchase", None, None)],
+                          src.EVENTS).coalesce(1).write.mode("append").parquet(flush_table)
+    work_off()
+    return spark.read.schema(df.schema).parquet(f"{folder}/out")
 
 
 @query
 def stream_tumbling_count(spark, sf_dir):
-    return _run(spark, windows.tumbling_counts(_views(spark, sf_dir), HOUR), "tumbling")
+    return _run(spark, sf_dir, "tumbling", lambda views, purchases: windows.tumbling_counts(views(), HOUR))
 
 
 @query
 def stream_sliding_count(spark, sf_dir):
-    return _run(spark, windows.sliding_counts(_views(spark, sf_dir), 3 * HOUR, HOUR), "sliding")
+    return _run(spark, sf_dir, "sliding", lambda views, purchases: windows.sliding_counts(views(), 3 * HOUR, HOUR))
 
 
 @query
 def stream_session_count(spark, sf_dir):
-    return _run(spark, windows.session_counts(_views(spark, sf_dir), 6 * HOUR), "session")
+    return _run(spark, sf_dir, "session", lambda views, purchases: windows.session_counts(views(), 6 * HOUR))
 
 
 @query
 def stream_topk_products(spark, sf_dir):
-    return _run(spark, topk.topk_products(_views(spark, sf_dir), 10, DAY), "topk")
+    return _run(spark, sf_dir, "topk", lambda views, purchases: topk.topk_products(views(), 10, DAY))
 
 
 @query
 def stream_interval_join(spark, sf_dir):
-    return _run(spark, joins.interval_join(_views(spark, sf_dir), _purchases(spark, sf_dir), HOUR, 6 * HOUR), "join")
+    return _run(spark, sf_dir, "join", lambda views, purchases: joins.interval_join(views(), purchases(), HOUR, 6 * HOUR))
 
 
 @query
 def stream_rapid_purchases(spark, sf_dir):
-    return _run(spark, patterns.rapid_purchases(_purchases(spark, sf_dir), 3, DAY), "bursts")
+    return _run(spark, sf_dir, "bursts", lambda views, purchases: patterns.rapid_purchases(purchases(), 3, DAY))
 
 
 @query
 def stream_rapid_purchases_timers(spark, sf_dir):
-    return _run(spark, rapid_purchases_stream(_purchases(spark, sf_dir), 3, DAY), "timers")
+    return _run(spark, sf_dir, "timers", lambda views, purchases: rapid_purchases_stream(purchases(), 3, DAY))

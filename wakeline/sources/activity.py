@@ -1,28 +1,21 @@
-"""The stored ``events`` table as page views, purchases and an arrival log."""
+"""The stored ``events`` table as page views and purchases."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wakeline.functions.timecols import HOUR
-
-# deterministic lateness: one event in LATE_EVERY is up to LATE_MAX ms behind its arrival
-LATE_EVERY = 5
-LATE_MAX = 6 * HOUR
-LATE_STRIDE = 7919
-PARTITIONS = 4
-
-
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
 def activity(spark: SparkSession, sf_dir: str, streaming: bool = False,
-             files_per_batch: int | None = None) -> DataFrame:
+             files_per_batch: int | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
     """All events: ``event_id, user_id, event_type, product_id, amount_usd, ts_ms, ts``.
 
     Expects a UTC session: the stored timestamps carry no zone.  As a stream, what is there at the
     start is one micro-batch; limit ``files_per_batch`` only if the files follow each other in
     time, because the watermark of early files drops what later files hold of earlier times.
+    ``start`` (inclusive) and ``end`` (exclusive), dates or times in text, limit what is read: they
+    filter the stored column, so the scan skips row groups outside the range.
     """
     path = f"{sf_dir}/events.parquet"
     # the declared schema saves a pass over the file footers
@@ -34,6 +27,10 @@ def activity(spark: SparkSession, sf_dir: str, streaming: bool = False,
         events = reader.parquet(f"{sf_dir}/[e]vents.parquet")
     else:
         events = spark.read.schema(EVENTS).parquet(path)
+    if start is not None:
+        events = events.filter(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        events = events.filter(F.col("ts") < F.lit(end).cast("timestamp_ntz"))
     ts_ms = F.unix_millis(F.col("ts").cast("timestamp"))
     return events.select(
         "event_id", F.col("user_id").cast("string").alias("user_id"), "event_type",
@@ -41,23 +38,9 @@ def activity(spark: SparkSession, sf_dir: str, streaming: bool = False,
         F.col("value").alias("amount_usd"), ts_ms.alias("ts_ms"), F.timestamp_millis(ts_ms).alias("ts"))
 
 
-def page_views(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    return activity(spark, sf_dir, streaming).filter(F.col("event_type") == "view").drop("event_type", "amount_usd")
-
-
-def purchases(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    return activity(spark, sf_dir, streaming).filter(F.col("event_type") == "purchase").drop("event_type")
+def page_views(spark: SparkSession, sf_dir: str, streaming: bool = False, **limits) -> DataFrame:
+    return activity(spark, sf_dir, streaming, **limits).filter(F.col("event_type") == "view").drop("event_type", "amount_usd")
 
 
-def arrival_log(spark: SparkSession, sf_dir: str, batch_rows: int = 50) -> DataFrame:
-    """Events in arrival order (``batch``, ``arrival_ms``), some with an earlier event time."""
-    shift = F.when(F.col("event_id") % LATE_EVERY == 0, F.col("event_id") * LATE_STRIDE % LATE_MAX).otherwise(F.lit(0))
-    late_flag = F.col("event_id") % LATE_EVERY == 0
-    number = F.substring_index("product_id", "_", -1).cast("int")
-    return (activity(spark, sf_dir)
-            .withColumn("arrival_ms", F.col("ts_ms"))
-            .withColumn("ts_ms", F.col("ts_ms") - shift)
-            .withColumn("ts", F.timestamp_millis("ts_ms"))
-            .withColumn("late_flag", late_flag)
-            .withColumn("partition", F.pmod(number, F.lit(PARTITIONS)))
-            .withColumn("batch", F.expr(f"event_id div {batch_rows}")))
+def purchases(spark: SparkSession, sf_dir: str, streaming: bool = False, **limits) -> DataFrame:
+    return activity(spark, sf_dir, streaming, **limits).filter(F.col("event_type") == "purchase").drop("event_type")
