@@ -107,7 +107,7 @@ def test_interval_bounds_inclusive(spark):
         assert rows(got, "user_id", "purchase_ts", "delta_ms") == [("a", 400_000, 300_000), ("a", 70_000, -30_000)]
 
 
-def test_interval_join_equals_brute_force(spark):
+def test_interval_join_equals_brute_force(spark, monkeypatch):
     rng = random.Random(3)
     v = [(f"u{rng.randrange(4)}", f"p{rng.randrange(5)}", rng.randrange(-60_000, 60_000)) for _ in range(200)]
     p = [(f"u{rng.randrange(4)}", f"p{rng.randrange(5)}", rng.randrange(-60_000, 60_000), i) for i in range(200)]
@@ -123,6 +123,14 @@ def test_interval_join_equals_brute_force(spark):
     matches = joins.interval_join(views, bought, before, after)
     assert rows(joins.conversion(views, bought, before, after), "*") == rows(joins.same_product_conversion(matches), "*")
     assert rows(joins.conversion(views, bought, before, after), "matches") == [(len(want),)]
+    # stretches shorter than the interval, so that totals are carried
+    monkeypatch.setattr(joins, "STRETCH", 400)
+    assert rows(joins.funnel(views, bought, after), "views", "converted") == [(200, len(converted))]
+    assert rows(joins.conversion(views, bought, before, after), "*") == rows(joins.same_product_conversion(matches), "*")
+    for latest in (1, 7, 10_000):
+        assert rows(joins.latest_conversion(views, bought, before, after, latest), "*") == rows(
+            joins.same_product_conversion(matches, latest), "*")
+    assert rows(joins.latest_conversion(views, bought.filter("false")), "matches") == [(0,)]
     same = {w: sum(1 for a, b in itertools.product(v, p) if a[0] == b[0] and a[2] // w == b[2] // w) for w in (900,)}
     for salts in (1, 4):
         assert joins.window_join(views, bought, 900, salts).count() == same[900]

@@ -107,8 +107,9 @@ BOTH_FORMS = pytest.mark.parametrize("alerts", [rapid_purchases_stream, patterns
 
 
 @BOTH_FORMS
-@pytest.mark.parametrize("min_times,within", [(3, 4_000), (2, 1_000)])
-def test_bursts_equal_brute_force(spark, tmp_path, alerts, min_times, within):
+@pytest.mark.parametrize("min_times,within,ranks", [(3, 4_000, 256), (2, 1_000, 256), (3, 4_000, 2), (5, 9_000, 3)])
+def test_bursts_equal_brute_force(spark, monkeypatch, tmp_path, alerts, min_times, within, ranks):
+    monkeypatch.setattr(patterns, "RANKS", ranks)
     data = shuffled(8, 300, 4_000)
     write_batches(f"{tmp_path}/in", in_files(data, 6) + [FLUSH])
     got = run(alerts(stream(spark, f"{tmp_path}/in", schemas.PURCHASE, 5_000), min_times, within), tmp_path)

@@ -89,64 +89,98 @@ def same_product_conversion(matches: DataFrame, latest: int | None = None) -> Da
     return _with_rate(matches.agg(F.count(F.lit(1)).alias("matches"), F.count_if(same).alias("same_product")))
 
 
+#: Width of the stretches in which events are counted; what came before one is carried in as a total.
+STRETCH = 10 * MINUTE
+
+
+def _weighted_counts(rows: DataFrame, *keys: str) -> DataFrame:
+    """Per (keys, stretch) the sums of ``n`` and of ``total``: the ``weight`` of each row times the sum
+    of ``n`` over all rows of its keys with ``at`` not after its own.
+
+    Rows are ordered inside a stretch only; the pass over a whole key sees one row per stretch.
+    """
+    rows = rows.withColumn("stretch", floor_to(F.col("at"), STRETCH))
+    # the default frame takes in all rows of the same time
+    so_far = F.sum("n").over(Window.partitionBy(*keys, "stretch").orderBy("at"))
+    stretches = (rows.select(*keys, "stretch", "weight", "n", (F.col("weight") * so_far).alias("inside"))
+                 .groupBy(*keys, "stretch").agg(*[F.sum(c).alias(c) for c in ("weight", "n", "inside")]))
+    earlier = Window.partitionBy(*keys).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    return stretches.select(*keys, "n", (F.col("inside") + F.col("weight") * carried).alias("total"))
+
+
 def conversion(views: DataFrame, purchases: DataFrame, before: int = 30 * SECOND,
                after: int = 5 * MINUTE) -> DataFrame:
     """``same_product_conversion`` of the whole interval join, without forming its pairs.
 
-    Events are folded to one row per user, scope (any product, or one) and millisecond.  In one
-    ordered pass per time cell the running number of purchases is read at both ends of the
-    interval of every view; the difference is the number of its matches.
+    Events are folded to one row per user, scope (any product, or one) and millisecond.  The running
+    number of purchases is read at both ends of the interval of every view; the difference is the
+    number of its matches.  No group grows with the interval.
     """
-    width = 4 * (before + after + 1)
     scopes = F.explode(F.array(F.struct(F.lit(False).alias("same"), F.lit(None).cast("string").alias("product")),
                                F.struct(F.lit(True).alias("same"), F.col("product_id").alias("product"))))
     scope = ("user_id", "same", "product")
 
     def fold(events: DataFrame) -> DataFrame:
         rows = events.select("user_id", ms().alias("t"), scopes.alias("s")).select("user_id", "s.*", "t")
-        return (rows.filter(~F.col("same") | F.col("product").isNotNull())
+        # as in a join, a null user, product or time is equal to none
+        return (rows.filter("user_id is not null and t is not null and (not same or product is not null)")
                 .groupBy(*scope, "t").agg(F.count(F.lit(1)).alias("n")))
 
     none = F.lit(0).cast("bigint")
     ends = F.explode(F.array(F.struct((F.col("t") + after).alias("at"), F.col("n").alias("weight")),
                              F.struct((F.col("t") - (before + 1)).alias("at"), (-F.col("n")).alias("weight"))))
-    probes = (fold(views).select(*scope, floor_to(F.col("t"), width).alias("cell"), ends.alias("e"))
-              .select(*scope, "cell", "e.at", "e.weight", none.alias("bought")))
-    cells = F.explode(F.sequence(floor_to(F.col("t") - after, width), floor_to(F.col("t") + before, width),
-                                 F.lit(width).cast("bigint")))
-    # as in a join, a null user is equal to none
-    bought = fold(purchases.filter("user_id is not null")).select(*scope, cells.alias("cell"), F.col("t").alias("at"), none.alias("weight"),
-                                    F.col("n").alias("bought"))
-    # the default frame takes in all rows of the same time
-    so_far = F.sum("bought").over(Window.partitionBy(*scope, "cell").orderBy("at"))
-    matched = probes.unionByName(bought).select("same", (F.col("weight") * so_far).alias("n"))
+    probes = fold(views).select(*scope, ends.alias("e")).select(*scope, "e.at", "e.weight", none.alias("n"))
+    bought = fold(purchases).select(*scope, F.col("t").alias("at"), none.alias("weight"), "n")
+    matched = _weighted_counts(probes.unionByName(bought), *scope)
     return _with_rate(matched.agg(
-        F.coalesce(F.sum(F.when(~F.col("same"), F.col("n"))), none).alias("matches"),
-        F.coalesce(F.sum(F.when(F.col("same"), F.col("n"))), none).alias("same_product")))
+        F.coalesce(F.sum(F.when(~F.col("same"), F.col("total"))), none).alias("matches"),
+        F.coalesce(F.sum(F.when(F.col("same"), F.col("total"))), none).alias("same_product")))
+
+
+def latest_conversion(views: DataFrame, purchases: DataFrame, before: int = 30 * SECOND, after: int = 5 * MINUTE,
+                      latest: int = 12) -> DataFrame:
+    """``same_product_conversion`` of the ``latest`` matches of the interval join.
+
+    The last view that can belong to each purchase is looked up without pairs.  Only purchases from
+    the ``latest``-th newest matched time on can be in the result, so only those are joined.
+    """
+    seen = views.select("user_id", ms().alias("at"), ms().alias("seen"), F.lit(None).cast("bigint").alias("t"))
+    asked = purchases.select("user_id", (ms() + before).alias("at"), F.lit(None).cast("bigint").alias("seen"), ms().alias("t"))
+    rows = (seen.unionByName(asked).filter("user_id is not null and at is not null").distinct()
+            .withColumn("stretch", floor_to(F.col("at"), STRETCH)))
+    inside = rows.withColumn("near", F.max("seen").over(Window.partitionBy("user_id", "stretch").orderBy("at")))
+    earlier = Window.partitionBy("user_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    carried = rows.groupBy("user_id", "stretch").agg(F.max("seen").alias("seen")).select(
+        "user_id", "stretch", F.max("seen").over(earlier).alias("carried"))
+    matched = (inside.filter("t is not null").join(carried, ["user_id", "stretch"])
+               .filter(F.coalesce("near", "carried") >= F.col("t") - after))
+    newest = matched.select("t").distinct().orderBy(F.desc("t")).limit(latest)
+    since = newest.agg(F.min("t")).scalar()
+    return same_product_conversion(
+        interval_join(views.filter(ms() >= since - after), purchases.filter(ms() >= since), before, after), latest)
 
 
 def funnel(views: DataFrame, purchases: DataFrame, within: int = 5 * MINUTE) -> DataFrame:
     """Views, views followed by a purchase of the same user within ``within`` ms, and the rate.
 
-    No pairs are formed: views and purchases are folded to one row per user and millisecond,
-    and one ordered pass per (user, time cell) finds the next purchase of every view.  A group
-    holds at most two rows per millisecond of its cell.
+    No pairs are formed: a purchase converts the views of the ``within`` ms up to it, save those that
+    the purchase before it has converted, and the running number of views is read at both ends of
+    that stretch of time.  No group grows with ``within``.
     """
-    width = 4 * (within + 1)
-    cell = F.lit(width).cast("bigint")
-    v = (views.select("user_id", ms().alias("t")).groupBy("user_id", "t").agg(F.count(F.lit(1)).alias("n"))
-         .select("user_id", floor_to(F.col("t"), width).alias("cell"), "t", "n"))
+    v = views.select("user_id", ms().alias("at")).groupBy("user_id", "at").agg(F.count(F.lit(1)).alias("n"))
     # as in a join, a null user is equal to none: such views are counted and never converted
-    p = (purchases.filter("user_id is not null").select("user_id", ms().alias("t")).distinct()
-         .select("user_id", F.explode(F.sequence(
-             floor_to(F.col("t") - within, width), floor_to(F.col("t"), width), cell)).alias("cell"), "t",
-             F.lit(0).cast("bigint").alias("n")))
-    # latest first; at equal times the purchase (n = 0) comes before the view
-    ahead = (Window.partitionBy("user_id", "cell").orderBy(F.desc("t"), "n")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    nearest = v.unionByName(p).withColumn(
-        "next", F.min(F.when(F.col("n") == 0, F.col("t"))).over(ahead))
-    hit = F.when(F.col("next") - F.col("t") <= within, F.col("n")).otherwise(F.lit(0))
-    totals = nearest.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("views"),
-                         F.coalesce(F.sum(hit), F.lit(0)).alias("converted"))
+    p = (purchases.select("user_id", ms().alias("t")).filter("user_id is not null and t is not null").distinct()
+         .withColumn("stretch", floor_to(F.col("t"), STRETCH)))
+    following = p.select("user_id", "t", F.lag("t").over(Window.partitionBy("user_id", "stretch").orderBy("t")).alias("prev"))
+    # the first purchase of a stretch follows the last one of the stretch before
+    leading = p.groupBy("user_id", "stretch").agg(F.min("t").alias("t"), F.max("t").alias("last")).select(
+        "user_id", "t", F.lag("last").over(Window.partitionBy("user_id").orderBy("stretch")).alias("prev"))
+    ends = F.explode(F.array(
+        F.struct(F.col("t").alias("at"), F.lit(1).alias("weight")),
+        F.struct(F.greatest("prev", F.col("t") - (within + 1)).alias("at"), F.lit(-1).alias("weight"))))
+    probes = (following.filter("prev is not null").unionByName(leading)
+              .select("user_id", ends.alias("e")).select("user_id", "e.*", F.lit(0).alias("n")))
+    counted = _weighted_counts(v.withColumn("weight", F.lit(0)).unionByName(probes), "user_id")
+    totals = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("views"), F.coalesce(F.sum("total"), F.lit(0)).alias("converted"))
     return totals.withColumn("rate", F.when(F.col("views") > 0, F.col("converted").cast("double") / F.col("views")))

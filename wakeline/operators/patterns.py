@@ -94,8 +94,9 @@ def units_to_usd(units: Column) -> Column:
 
 def _runs_of_closed_cells(purchases: DataFrame, min_times: int, within: int, where: Column | None,
                           order: tuple[str, ...]) -> DataFrame:
-    """The streaming form: events are gathered per (user, cell and the stretch before it), and the
-    runs of each group are spelled out in array expressions once the watermark closes it."""
+    """The streaming form: events are gathered per (user, cell and the stretch before it); once the
+    watermark closes it, the group is cut into parts of ``RANKS`` events, and each pair of parts that
+    can hold both ends of a run is spelled out by itself."""
     if where is not None:
         purchases = purchases.filter(above_watermark(where))
     width = 2 * within
@@ -105,17 +106,30 @@ def _runs_of_closed_cells(purchases: DataFrame, min_times: int, within: int, whe
     closed = (purchases.filter(F.col("user_id").isNotNull()).groupBy("user_id", reach.alias("w"))
               .agg(F.collect_list(event).alias("events"), F.count(F.lit(1)).cast("int").alias("n"))
               .filter(F.col("n") >= min_times))
-    ordered = closed.select("user_id", (ms(F.col("w.end")) - width).alias("cell"), "n",
-                            F.sort_array("events").alias("e"))
-    # paid[i] is the sum of the first i events
-    paid = ordered.withColumn("paid", F.expr(
-        "aggregate(e, array(0L), (acc, x) -> array_append(acc, acc[size(acc) - 1] + coalesce(x.units, 0L)))"))
-    far = min_times - 1
-    ends = (paid.withColumn("j", F.explode(F.expr(f"sequence({far}, n - 1)")))
-            .filter(F.expr(f"e[j].t >= cell AND e[j].t - e[j - {far}].t < {within}")))
-    return ends.select("user_id", F.col("e")[F.col("j")]["t"].alias("last_ts"), F.inline(F.expr(f"""
-        transform(filter(sequence(0, j - {far}), i -> e[j].t - e[i].t < {within}),
-                  i -> struct(j - i + 1 AS purchase_count, paid[j + 1] - paid[i] AS units, e[i].t AS first_ts))"""))).select(
+    cut = closed.select("user_id", (ms(F.col("w.end")) - width).alias("cell"), F.sort_array("events").alias("e")).withColumn(
+        "parts", F.expr(f"transform(sequence(0, (size(e) - 1) div {RANKS}), k -> slice(e, k * {RANKS} + 1, {RANKS}))"))
+    paid_in = F.transform("parts", lambda p: F.aggregate(p, F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x["units"], F.lit(0))))
+    # each part with the sum of what was paid before it; both ends of a run come from such parts
+    parts = F.posexplode(F.arrays_zip("parts", "paid_in")).alias("kb", "b")
+    ends = cut.withColumn("paid_in", paid_in).select("user_id", "cell", "parts", "paid_in", parts).select(
+        "user_id", "cell", "paid_in", "kb", F.col("b.parts").alias("eb"), F.explode(F.expr(f"""
+            filter(transform(slice(parts, 1, kb + 1), (p, k) -> struct(k AS ka, p AS ea)),
+                   a -> (kb - a.ka) * {RANKS} + size(b.parts) - 1 >= {min_times - 1}
+                        AND b.parts[0].t - element_at(a.ea, -1).t < {within}
+                        AND element_at(b.parts, -1).t >= cell)""")).alias("a"))
+    running = "aggregate({e}, array({base}), (acc, x) -> array_append(acc, element_at(acc, -1) + coalesce(x.units, 0L)))"
+    total = "aggregate(slice(paid_in, 1, {k}), 0L, (s, x) -> s + x)"
+    # one row per pair of parts, of a bounded size, so that a large burst goes to many tasks
+    pairs = ends.select("user_id", "cell", "kb", "eb", "a.ka", "a.ea", F.expr(total.format(k="a.ka")).alias("base_a"),
+                        F.expr(total.format(k="kb")).alias("base_b")).repartition("user_id", "cell", "ka", "kb")
+    marked = pairs.select("user_id", "cell", "ka", "kb", "ea", "eb", F.expr(running.format(e="ea", base="base_a")).alias("paid_a"),
+                          F.posexplode(F.expr(running.format(e="eb", base="base_b"))).alias("j", "paid"))
+    last = marked.filter("j > 0").select("user_id", "cell", "ka", "ea", "paid_a", "paid", F.expr("eb[j - 1].t").alias("last_ts"),
+                                         F.expr(f"(kb - ka) * {RANKS} + j - 1").alias("ahead")).filter("last_ts >= cell")
+    # ``ahead``: places from the first event of the part to the last one of the run
+    return last.select("user_id", "last_ts", F.inline(F.expr(f"""
+        transform(filter(sequence(0, size(ea) - 1), i -> ahead - i >= {min_times - 1} AND last_ts - ea[i].t < {within}),
+                  i -> struct(ahead - i + 1 AS purchase_count, paid - paid_a[i] AS units, ea[i].t AS first_ts))"""))).select(
         "user_id", "purchase_count", units_to_usd(F.col("units")).alias("total_amount_usd"), "first_ts", "last_ts",
         (F.col("last_ts") - F.col("first_ts")).alias("span_ms"))
 

@@ -213,8 +213,7 @@ def same_product_conversion(spark, sf_dir):
 
 @query
 def same_product_conversion_latest(spark, sf_dir):
-    matches = joins.interval_join(src.page_views(spark, sf_dir), src.purchases(spark, sf_dir), DAY, 3 * DAY)
-    return joins.same_product_conversion(matches, latest=12)
+    return joins.latest_conversion(src.page_views(spark, sf_dir), src.purchases(spark, sf_dir), DAY, 3 * DAY, latest=12)
 
 
 @query

@@ -7,7 +7,9 @@ and is for alerts that cannot wait for the cell.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -55,19 +57,18 @@ class BurstProcessor(StatefulProcessor):
         user, cell = key
         now = timerValues.getCurrentWatermarkInMs()
         events = sorted(self.events.get(), key=lambda e: (e[0], e[1] or "", e[2] or 0))
-        live, waiting = [], []
-        for t, product, units, done in events:
-            if t > now:
-                waiting.append((t, product, units, done))
-                continue
-            live = [e for e in live if t - e[0] < self.within] + [(t, product, units, True)]
+        reached = bisect_right(events, now, key=lambda e: e[0])
+        waiting = [tuple(e) for e in events[reached:]]
+        paid = list(accumulate((e[2] or 0 for e in events[:reached]), initial=0))
+        start = 0  # the first event less than ``within`` before the current one
+        for j, (t, _, _, done) in enumerate(events[:reached]):
+            while t - events[start][0] >= self.within:
+                start += 1
             if done or t < cell:
                 continue  # reported before, or a copy whose runs end in its own cell
-            total = 0
-            for count, (first, _, paid, _) in enumerate(reversed(live), start=1):
-                total += paid or 0
-                if count >= self.min_times:
-                    yield Row(user_id=user, purchase_count=count, total_units=total, first_ts=first, last_ts=t)
+            for i in range(j - self.min_times + 1, start - 1, -1):
+                yield Row(user_id=user, purchase_count=j - i + 1, total_units=paid[j + 1] - paid[i], first_ts=events[i][0], last_ts=t)
+        live = [(t, product, amount, True) for t, product, amount, _ in events[start:reached]]
         kept = [e for e in live if now - e[0] < self.within and now < cell + self.width] + waiting
         if kept:
             self.events.put(kept)
