@@ -4,6 +4,8 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import pytest
+
 from wakeline.llm import line_alignment, suffixes
 from wakeline.llm.queries import QUERIES
 
@@ -139,7 +141,9 @@ def plain_clean(rows, min_words=20, rare=100):
     return out
 
 
-def test_line_dedup(spark):
+@pytest.mark.parametrize("spread", [512, 1])
+def test_line_dedup(spark, monkeypatch, spread):
+    monkeypatch.setattr(line_alignment, "SPREAD", spread)
     rng = random.Random(6)
     sentence = lambda n: " ".join(f"{rng.choice('abcdefg')}{rng.randrange(500)}" for _ in range(n))
     common = [sentence(4) for _ in range(5)]
