@@ -76,6 +76,22 @@ def test_frequent_lines(spark):
     assert quality.clean(docs).columns == docs.columns
 
 
+def own(name, i, n=30):
+    return " ".join(f"{name}{ALPHA(i)}k{ALPHA(k)}" for k in range(n))
+
+
+def test_footers_of_several_lines(spark):
+    """Boilerplate longer than the body's lines: two long lines, and a banner with a menu of short lines."""
+    two = own("terms", 0) + "\n" + own("privacy", 0)
+    menu = own("banner", 0) + "\nhome\nabout us\nsite map"
+    rows = [(i, own("a", i, 15) + "\n" + own("b", i, 25) + "\n" + own("c", i, 25) + "\n" + two, "two", None, None) for i in range(12)]
+    rows += [(100 + i, own("d", i, 15) + "\n" + own("e", i, 25) + "\n" + menu, "menu", None, None) for i in range(12)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r["id"]: (len(r["removed_lines"] or []), r["left_words"]) for r in quality.verdicts(docs, max_documents=10).collect()}
+    assert got == {i: (2, 65) for i in range(12)} | {100 + i: (4, 40) for i in range(12)}
+    assert all(r["removed_lines"] is None for r in quality.verdicts(docs, max_documents=12).collect())
+
+
 def test_depleted(spark):
     rows = [(i, " ".join(f"u{ALPHA(i)}k{ALPHA(k)}" for k in range(40)) + "\n" + " ".join(["menu"] + [f"m{ALPHA(k)}" for k in range(20)]), "a", None, None)
             for i in range(12)] + [(99, " ".join(f"own{ALPHA(k)}" for k in range(12)) + "\n" + " ".join(["menu"] + [f"m{ALPHA(k)}" for k in range(20)]), "a", None, None)]

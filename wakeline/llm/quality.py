@@ -2,8 +2,8 @@
 
 Lines are normalised and hashed; a line that many different documents of one host carry is removed,
 and a document that has little else is rejected.  Copies of one document are not different
-documents: seen from a line, documents are told apart by their longest other line, which copies and
-most near copies share, so a copied document does not make its own lines look like boilerplate.
+documents: texts are told apart by the hash of the whole text, so a copied document does not make its
+own lines look like boilerplate.
 """
 
 from __future__ import annotations
@@ -103,15 +103,12 @@ def text_facts(docs: DataFrame, text_column: str = "text") -> DataFrame:
 def frequent_lines(facts: DataFrame, max_documents: int) -> DataFrame:
     """(host, line) that more than ``max_documents`` different documents of the host carry.
 
-    The first fold is by line and longest other line (``sketch``), so a line of a third of all rows
-    is spread; the second folds sketches before its shuffle.
+    The first fold is by line and text, so a line of a third of all rows is spread; the second folds texts
+    before its shuffle.
     """
-    lines = F.sort_array(F.array_distinct(F.transform("text_lines", lambda x: F.struct(x["words"], x["line"]))), asc=False)
-    rows = facts.select("host", bind(lines, lambda s: F.transform(s, lambda x, i: F.struct(
-        x["line"].alias("line"), F.get(s, F.when(i == 0, 1).otherwise(0))["line"].alias("sketch")))).alias("_l"))
-    rows = rows.select("host", F.explode("_l").alias("_l")).select("host", "_l.*")
-    by_sketch = rows.groupBy("host", "line", "sketch").agg(F.count("*").alias("n"))
-    return by_sketch.groupBy("host", "line").agg(F.count("*").alias("texts"), F.sum("n").alias("documents")) \
+    rows = facts.select("host", "text_hash", F.explode(F.array_distinct("text_lines.line")).alias("line"))
+    by_text = rows.groupBy("host", "line", "text_hash").agg(F.count("*").alias("n"))
+    return by_text.groupBy("host", "line").agg(F.count("*").alias("texts"), F.sum("n").alias("documents")) \
         .filter((F.col("texts") > max_documents) & (2 * F.col("texts") >= F.col("documents"))).select("host", "line")
 
 
