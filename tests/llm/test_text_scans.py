@@ -92,6 +92,16 @@ def test_footers_of_several_lines(spark):
     assert all(r["removed_lines"] is None for r in quality.verdicts(docs, max_documents=12).collect())
 
 
+def test_copies_hide_no_boilerplate(spark):
+    """Twelve different documents and forty copies of another, all with one banner."""
+    rows = [(i, own("a", i) + "\nshared banner", "s", None, None) for i in range(12)]
+    rows += [(100 + i, own("copied", 0) + "\nshared banner", "s", None, None) for i in range(40)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for r in quality.verdicts(docs, max_documents=12).collect():
+        assert r["kept"] and len(r["removed_lines"]) == 1 and r["left_words"] == 30
+    assert all(r["removed_lines"] is None for r in quality.verdicts(docs, max_documents=13).collect())
+
+
 def test_depleted(spark):
     rows = [(i, " ".join(f"u{ALPHA(i)}k{ALPHA(k)}" for k in range(40)) + "\n" + " ".join(["menu"] + [f"m{ALPHA(k)}" for k in range(20)]), "a", None, None)
             for i in range(12)] + [(99, " ".join(f"own{ALPHA(k)}" for k in range(12)) + "\n" + " ".join(["menu"] + [f"m{ALPHA(k)}" for k in range(20)]), "a", None, None)]
