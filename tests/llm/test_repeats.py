@@ -166,6 +166,55 @@ def test_line_dedup(spark, monkeypatch, spread):
     assert out.columns == docs.columns and out.count() == len(rows)
 
 
+def plain_blocks(rows, min_words=20):
+    """doc_id -> text without the runs of lines that any earlier document has: every pair of documents, every run."""
+    out, before = {}, []
+    for d, t in sorted(rows):
+        raw = (t or "").split("\n")
+        lines = [x.strip() for x in raw]
+        gone = set()
+        for other in before:
+            for i in range(len(lines)):
+                for j in range(len(other)):
+                    k = 0
+                    while i + k < len(lines) and j + k < len(other) and lines[i + k] == other[j + k]:
+                        k += 1
+                    if sum(len(x.split()) for x in lines[i:i + k]) >= min_words:
+                        gone |= set(range(i, i + k))
+        before.append(lines)
+        out[d] = "\n".join(x for i, x in enumerate(raw) if i not in gone)
+    return out
+
+
+def cleaned(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return {r["doc_id"]: r["clean_text"] for r in line_alignment.shared_blocks(docs).collect()}
+
+
+def test_frequent_block_goes(spark):
+    """Four short lines in 150 documents, half of which share a rarer line with a document that has nothing else."""
+    header = "\n".join(" ".join(f"h{i}x{k}" for k in range(8)) for i in range(4))
+    rows = [(d, f"rare {d}\nnothing else in {d}") for d in range(75)]
+    rows += [(100 + d, f"{header}\nbody {d} of its own" + (f"\nrare {d // 2}" if d % 2 else "")) for d in range(150)]
+    got = cleaned(spark, rows)
+    assert header in got[100] and all("h0x0" not in got[100 + d] for d in range(1, 150)) and got == plain_blocks(rows)
+
+
+def test_blocks_against_all_pairs(spark):
+    rng = random.Random(7)
+    lines = ["", " "] + [" ".join(f"{rng.choice('abc')}{rng.randrange(99)}" for _ in range(rng.choice((1, 3, 7, 12, 19, 20, 25)))) for _ in range(12)]
+    for min_words in (1, 20):
+        for _ in range(200):
+            words = [rng.choice((0, 0, 1, 3, 9, 25)) for _ in range(rng.randrange(0, 12))]
+            runs = line_alignment.short_runs(words, min_words)
+            for a in range(len(words)):
+                for b in range(a + 1, len(words) + 1):
+                    inside = {k for x, y in runs if a <= x and y <= b for k in range(x, y)}
+                    assert inside == (set(range(a, b)) if sum(words[a:b]) >= min_words else set())
+    rows = [(d, "\n".join(rng.choice(lines) if rng.random() < 0.8 else f"own {d} {k}" for k in range(rng.randrange(0, 14)))) for d in range(120)]
+    assert cleaned(spark, rows) == plain_blocks(rows)
+
+
 def test_line_dedup_edges(spark):
     schema = "doc_id long, text string, lang string"
     long = "\n".join(f"line {i} of a long text" for i in range(3000))
