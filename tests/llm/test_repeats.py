@@ -200,6 +200,14 @@ def test_frequent_block_goes(spark):
     assert header in got[100] and all("h0x0" not in got[100 + d] for d in range(1, 150)) and got == plain_blocks(rows)
 
 
+def test_repeated_passage_goes(spark):
+    """A passage that stands twice in the earlier document, or twice in the later one."""
+    p, q = ("\n".join(" ".join(f"{c}{i}x{k}" for k in range(8)) for i in range(4)) for c in "pq")
+    rows = [(1, f"x\n{p}\ny\n{p}\nz"), (2, f"b0\n{p}\nb1"), (3, q), (4, f"c0\n{q}\nc1\n{q}\nc2"), (5, f"{q}\nd\n{p}")]
+    got = cleaned(spark, rows)
+    assert got == {1: rows[0][1], 2: "b0\nb1", 3: q, 4: "c0\nc1\nc2", 5: "d"} == plain_blocks(rows)
+
+
 def test_blocks_against_all_pairs(spark):
     rng = random.Random(7)
     lines = ["", " "] + [" ".join(f"{rng.choice('abc')}{rng.randrange(99)}" for _ in range(rng.choice((1, 3, 7, 12, 19, 20, 25)))) for _ in range(12)]
