@@ -208,6 +208,14 @@ def test_repeated_passage_goes(spark):
     assert got == {1: rows[0][1], 2: "b0\nb1", 3: q, 4: "c0\nc1\nc2", 5: "d"} == plain_blocks(rows)
 
 
+def test_block_of_lines_seen_apart_goes(spark):
+    """The lines of the block stand first in different documents, none of which has the block."""
+    lines = [" ".join(f"l{i}x{k}" for k in range(8)) for i in range(3)]
+    rows = [(i, f"start {i}\n{x}\nend {i}") for i, x in enumerate(lines)] + [(10, "b\n" + "\n".join(lines)), (11, "\n".join(lines) + "\nc")]
+    got = cleaned(spark, rows)
+    assert got[10] == rows[3][1] and got[11] == "c" and got == plain_blocks(rows)
+
+
 def test_blocks_against_all_pairs(spark):
     rng = random.Random(7)
     lines = ["", " "] + [" ".join(f"{rng.choice('abc')}{rng.randrange(99)}" for _ in range(rng.choice((1, 3, 7, 12, 19, 20, 25)))) for _ in range(12)]
