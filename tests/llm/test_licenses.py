@@ -1,0 +1,78 @@
+"""Licence rules: keywords against samples of every pattern, and notices broken over lines."""
+
+import random
+import re
+from re import _constants as C
+from re import _parser
+
+import pytest
+
+from wakeline.llm import licenses
+
+
+def sample(tree, rng):
+    """A random text for a parsed pattern; what it looks at but does not take is left out."""
+    out = []
+    for op, arg in tree:
+        if op is C.LITERAL:
+            out.append(chr(arg))
+        elif op in (C.ANY, C.NOT_LITERAL):
+            out.append("a")
+        elif op is C.IN:
+            chars = [chr(x) for k, v in arg for x in ([v] if k is C.LITERAL else range(v[0], v[1] + 1) if k is C.RANGE else [97])
+                     if k is not C.NEGATE]
+            out.append(rng.choice(chars))
+        elif op is C.BRANCH:
+            out.append(sample(rng.choice(arg[1]), rng))
+        elif op is C.SUBPATTERN:
+            out.append(sample(arg[3], rng))
+        elif op in (C.MAX_REPEAT, C.MIN_REPEAT):
+            low, high, part = arg
+            out += [sample(part, rng) for _ in range(rng.randint(low, min(int(high), low + 3)))]
+        else:
+            assert op in (C.AT, C.ASSERT, C.ASSERT_NOT), op
+    return "".join(out)
+
+
+def test_keyword_in_every_match(monkeypatch):
+    rng = random.Random(8)
+    rules = licenses.RULES
+    monkeypatch.setattr(licenses, "GAP", "[ ]")
+    plain = licenses._rules()
+    assert [r[:3] for r in plain] == [r[:3] for r in rules]
+    for (_, label, word, pattern, _), (*_, narrow, _) in zip(rules, plain):
+        n = 0
+        for _ in range(60):
+            text = sample(_parser.parse(narrow.pattern), rng)
+            for t in (text, text.replace(" ", "\n"), text.replace(" ", " *\n * "), text.replace(" ", "\r\n//  ")):
+                m = pattern.search(t)
+                n += m is not None
+                assert m is None or word in licenses.folded(m[0]), (label, word, t)
+            assert (narrow.search(text) is None) == (pattern.search(text.replace(" ", "\n# ")) is None), (label, text)
+        assert n, (label, narrow.pattern)
+
+
+ISC = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted"
+CASES = [
+    ("isc", ISC), ("isc", ISC.replace("\n", "\n * ")), ("isc", ISC.replace(" ", " *\n * ")), ("isc", ISC.replace("with or", "with\n# or")),
+    ("bsd-3-clause", "may be used to endorse or promote products derived from\n// this software without"),
+    ("mpl-2.0", "under the Mozilla\n  Public License, version\n  2.0"), ("gpl", "the GNU\r\nGeneral Public\tLicense"),
+    ("cc0", "To the extent possible under law, A. Person\nhas waived all\ncopyright"),
+    ("gfdl", "https://www.gnu.org/copyleft/fdl.html"), ("odc-by", "https://opendatacommons.org/licenses/by/summary"),
+    ("python", "https://www.python.org/license"), ("ncsa", "https://opensource.org/licenses/UoI-NCSA"),
+]
+
+
+def test_wrapped_notices_and_addresses(spark):
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(CASES)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.license_scan(docs).collect()}
+    for i, (label, text) in enumerate(CASES):
+        assert label in got[i]["labels"].split(","), (label, text)
+        assert all(0 <= d["start"] < d["end"] <= len(text) for d in got[i]["detections"])
+    assert got[1]["detections"][0]["end"] == CASES[1][1].index(" is hereby")
+
+
+@pytest.mark.parametrize("text", ["free of charge" + " \n" * 20_000 + "x", "with or" + "\n# " * 20_000, "* " * 20_000 + "\n"])
+def test_long_gaps_are_linear(text):
+    assert licenses.detect(text, {r[2] for r in licenses.RULES}) == []
+    assert re.fullmatch(r"[\s\S]*", licenses.folded(text))

@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 from wakeline.llm import hashes
 from wakeline.llm.store import text
 
+#: What may stand between two words of a pattern: white space, line ends with comment marks around them.
+GAP = r"(?>(?:[^\S\n]+|(?:[#*%;|]+[^\S\n]*)?\n[^\S\n]*(?:[#*%;!>|]+|//+|--+|(?:dnl|rem)\b)?)+)"
+
 #: (label, keyword of the name, name, SPDX identifiers, keyword of the address, address).  All in lower
-#: case; a keyword stands in every text its pattern can match.
+#: case; a space stands for a ``GAP``; a keyword stands in every text its pattern can match, gaps made one space.
 FAMILIES = (
     ("mit", "mit", r"\b(?:the )?mit (?:open source )?licen[sc]e\b|\bmit/expat\b", "mit", "licenses/mit", r"opensource\.org/licenses/mit\b"),
     ("mit-0", "mit", r"\bmit no attribution\b", "mit-0", "mit-0", r"github\.com/aws/mit-0\b"),
@@ -48,16 +51,16 @@ FAMILIES = (
     ("cc-by-nc", "by-nc", r"\bcc[ -]by-nc(?: [1-4]\.[0-5])?(?!-)", r"cc-by-nc-[1-4]\.[0-5]", "licenses/by-nc/", r"creativecommons\.org/licenses/by-nc/[1-4]\.[0-5]"),
     ("cc-by-nc-sa", "by-nc-sa", r"\bcc[ -]by-nc-sa(?: [1-4]\.[0-5])?\b", r"cc-by-nc-sa-[1-4]\.[0-5]", "licenses/by-nc-sa/", r"creativecommons\.org/licenses/by-nc-sa/[1-4]\.[0-5]"),
     ("cc-by-nc-nd", "by-nc-nd", r"\bcc[ -]by-nc-nd(?: [1-4]\.[0-5])?\b", r"cc-by-nc-nd-[1-4]\.[0-5]", "licenses/by-nc-nd/", r"creativecommons\.org/licenses/by-nc-nd/[1-4]\.[0-5]"),
-    ("gfdl", "free documentation", r"\bgnu free documentation licen[sc]e\b", r"gfdl-1\.[123](?:-only|-or-later)?", "licenses/fdl", r"gnu\.org/(?:licenses|copyleft)/fdl"),
+    ("gfdl", "free documentation", r"\bgnu free documentation licen[sc]e\b", r"gfdl-1\.[123](?:-only|-or-later)?", "gnu.org", r"gnu\.org/(?:licenses|copyleft)/fdl"),
     ("odbl", "open database", r"\bopen database licen[sc]e\b", r"odbl-1\.0", "licenses/odbl", r"opendatacommons\.org/licenses/odbl"),
-    ("odc-by", "open data commons", r"\bopen data commons attribution licen[sc]e\b", r"odc-by-1\.0", "licenses/by/1", r"opendatacommons\.org/licenses/by"),
+    ("odc-by", "open data commons", r"\bopen data commons attribution licen[sc]e\b", r"odc-by-1\.0", "opendatacommons.org", r"opendatacommons\.org/licenses/by"),
     ("pddl", "public domain dedication", r"\bpublic domain dedication and licen[sc]e\b", r"pddl-1\.0", "licenses/pddl", r"opendatacommons\.org/licenses/pddl"),
     ("eupl", "european union public", r"\beuropean union public licen[sc]e\b", r"eupl-1\.[012]", "eupl", r"joinup\.ec\.europa\.eu/\S{0,60}eupl"),
     ("cecill", "cecill", r"\bcecill(?:-[bc])?(?: licen[sc]e)?\b", r"cecill(?:-[bc]|-2\.[01])?", "cecill.info", r"cecill\.info/licen[sc]"),
     ("ms-pl", "microsoft public", r"\bmicrosoft public licen[sc]e\b", "ms-pl", "licenses/ms-pl", r"opensource\.org/licenses/ms-pl"),
     ("ms-rl", "microsoft reciprocal", r"\bmicrosoft reciprocal licen[sc]e\b", "ms-rl", "licenses/ms-rl", r"opensource\.org/licenses/ms-rl"),
     ("ofl", "open font", r"\b(?:sil )?open font licen[sc]e\b", r"ofl-1\.[01]", "scripts.sil.org", r"scripts\.sil\.org/ofl"),
-    ("python", "python software", r"\bpython software foundation licen[sc]e\b", r"(?:python|psf)-2\.0", "psf/license", r"python\.org/(?:psf/)?license"),
+    ("python", "python software", r"\bpython software foundation licen[sc]e\b", r"(?:python|psf)-2\.0", "python.org", r"python\.org/(?:psf/)?license"),
     ("php", "php", r"\bphp licen[sc]e\b", r"php-3\.0[01]?", "php.net/license", r"php\.net/license"),
     ("ruby", "ruby", r"\bruby licen[sc]e\b", "ruby", "ruby-lang.org", r"ruby-lang\.org/\S{0,20}license"),
     ("openssl", "openssl", r"\bopenssl licen[sc]e\b", "openssl", "openssl.org", r"openssl\.org/source/license"),
@@ -67,7 +70,7 @@ FAMILIES = (
     ("elastic", "elastic", r"\belastic licen[sc]e\b", r"elastic-2\.0", "elastic-license", r"elastic\.co/licensing/elastic-license"),
     ("osl", "open software", r"\bopen software licen[sc]e\b", r"osl-[123]\.[01]", "licenses/osl", r"opensource\.org/licenses/osl"),
     ("afl", "academic free", r"\bacademic free licen[sc]e\b", r"afl-[123]\.[01]", "licenses/afl", r"opensource\.org/licenses/afl"),
-    ("ncsa", "ncsa", r"\b(?:university of illinois/)?ncsa open source licen[sc]e\b", "ncsa", "licenses/ncsa", r"opensource\.org/licenses/(?:uoi-)?ncsa"),
+    ("ncsa", "ncsa", r"\b(?:university of illinois/)?ncsa open source licen[sc]e\b", "ncsa", "ncsa", r"opensource\.org/licenses/(?:uoi-)?ncsa"),
     ("upl", "universal permissive", r"\buniversal permissive licen[sc]e\b", r"upl-1\.0", "licenses/upl", r"oss\.oracle\.com/licenses/upl"),
     ("w3c", "w3c", r"\bw3c software (?:notice and )?licen[sc]e\b", "w3c", "consortium/legal", r"w3\.org/consortium/legal"),
     ("x11", "x11", r"\bx11 licen[sc]e\b", "x11", "x.org/", r"x\.org/\S{0,30}licen[sc]e"),
@@ -96,7 +99,7 @@ NOTICES = (
     ("epl", "eclipse", r"made available under the terms of the eclipse public licen[sc]e", 1.0),
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain", 1.0),
     ("public-domain", "public domain", r"\b(?:released into|dedicated to|placed in|in) the public domain\b", 0.7),
-    ("cc0", "cc0", r"to the extent possible under law, .{1,80} has waived all copyright", 0.8),
+    ("cc0", "waived all copyright", r"to the extent possible under law, [\s\S]{1,80} has waived all copyright", 0.8),
     ("cc-by", "creative commons", r"\bcreative commons attribution(?: [1-4]\.[0-5])?(?: international)?(?: licen[sc]e)?(?!-)", 0.9),
     ("cc-by-sa", "sharealike", r"\bcreative commons attribution-sharealike\b", 0.95),
     ("cc-by-nc", "noncommercial", r"\bcreative commons attribution-noncommercial\b(?!-)", 0.95),
@@ -106,7 +109,7 @@ NOTICES = (
     ("wtfpl", "what the", r"do what the f\w+ you want to public licen[sc]e", 1.0),
     ("proprietary", "all rights", r"\ball rights reserved\b", 0.4),
     ("proprietary", "proprietary", r"\bproprietary and confidential\b", 0.8),
-    ("proprietary", "unauthorized", r"\bunauthori[sz]ed (?:copying|reproduction|distribution|use)\b", 0.7),
+    ("proprietary", "unauthori", r"\bunauthori[sz]ed (?:copying|reproduction|distribution|use)\b", 0.7),
     ("warranty-disclaimer", "as is", r"\b(?:is )?provided \"?as is\"?,? without (?:any )?warrant(?:y|ies)", 0.3),
 )
 
@@ -114,6 +117,13 @@ NOTICES = (
 PHRASES = ((("mit", "license"), "mit"), (("apache", "license"), "apache"), (("general", "public", "license"), "gpl"))
 
 
+def _wrapped(pattern: str) -> str:
+    """``pattern`` with gaps for its spaces."""
+    for one, alone in ((r"\s+", " "), ("[ -]", "(?: |-)"), ("[- ]", "(?: |-)")):
+        pattern = pattern.replace(one, alone)
+    return pattern.replace(" ", GAP)
+
+
 def _rules() -> list[tuple[int, str, str, re.Pattern, float]]:
     """(priority, label, keyword, pattern, weight), highest priority first: tags, then addresses,
     notices, names after "licensed under", plain names."""
@@ -124,10 +134,16 @@ def _rules() -> list[tuple[int, str, str, re.Pattern, float]]:
                 (2, label, word, rf"(?:licen[sc]ed|released|distributed|available) under (?:the )?(?:terms of )?(?:the )?(?:{name})", 0.9),
                 (1, label, word, name, 0.7)]
     out += [(3, label, word, pattern, weight) for label, word, pattern, weight in NOTICES]
-    return [(p, label, word, re.compile(pattern), weight) for p, label, word, pattern, weight in sorted(out, key=lambda r: -r[0])]
+    return [(p, label, word, re.compile(_wrapped(pattern)), weight) for p, label, word, pattern, weight in sorted(out, key=lambda r: -r[0])]
 
 
 RULES = _rules()
+_GAPS = re.compile(GAP)
+
+
+def folded(low: str) -> str:
+    """``low`` with each gap between words made one space, as the keywords have it."""
+    return _GAPS.sub(" ", low)
 
 
 def detect(low: str, keywords: set[str]) -> list[tuple[int, int, str, float]]:
@@ -191,7 +207,7 @@ def license_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             rows = []
             for n, raw_text in zip(counts, texts):
                 low = raw_text.decode()
-                words = {w for _, w in gate.iter(low)}
+                words = {w for _, w in gate.iter(folded(low))}
                 # a keyword that ends inside or equals the end of another is found as well; none is lost
                 found = detect(low, words) if words else []
                 starts, labels = _base(low) if "license" in words else ([], set())
