@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import (embeddings, licenses, line_alignment, minmax, mixing, packing, quality, secrets, suffixes,
+from wakeline.llm import (embeddings, licenses, line_alignment, minmax, mixing, packing, periods, quality, secrets, suffixes,
                           token_matrices)
 from wakeline.llm.store import keep
 
@@ -73,6 +73,37 @@ def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "copies", F.lit(0).cast("long"), lambda a, c: a + c["taken"]).alias("taken"))
 
 
+def _replanted(rows):
+    """Texts of which every tenth (by checksum of its id) repeats a stretch of its own words to the end."""
+    import re
+    import zlib
+
+    import pyarrow as pa
+
+    out = []
+    for i, t in zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()):
+        h = zlib.crc32(str(i).encode()) if i is not None else 1
+        if t and h % 10 == 0 and (words := re.findall(r"[^\x20\x09-\x0D]+", t)):
+            n, g = len(words), h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            t = " ".join(words[:a] + (words[a:a + p] * ((n - a) // p + 1))[:n - a])
+        out.append(t)
+    return pa.array(out, pa.large_string())
+
+
+def runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.word_runs(_documents(spark, sf_dir), least=6, times=4, prepare=_replanted)
+    # greatest length, then smallest start, then smallest period
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    return found.withColumn("top", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.col2")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.col3")).alias("period"), F.expr("1000 * top.length div -top.col3").alias("exponent_milli"),
+        F.sha2(F.encode(listed, "UTF-8"), 256).alias("runs_sha256"), F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"))
+
+
 def pipeline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,6 +121,7 @@ QUERIES = {
     "op8_embedding_near_dup": embedding_query,
     "op9_mixing": mixing_query,
     "op10_minmax_near_dup": minmax_query,
+    "op11_word_runs": runs_query,
     "pipeline": pipeline_query,
 }
 #: Equal to the operator's order and targets: sources in code point order, queues by digest of the id.
