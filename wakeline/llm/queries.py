@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import (embeddings, licenses, line_alignment, minmax, mixing, packing, periods, quality, secrets, suffixes,
+from wakeline.llm import (collocations, embeddings, licenses, line_alignment, minmax, mixing, packing, periods, quality, secrets, suffixes,
                           token_matrices)
 from wakeline.llm.store import keep
 
@@ -104,6 +104,10 @@ def runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode(listed, "UTF-8"), 256).alias("runs_sha256"), F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"))
 
 
+def collocation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir), least=100, longest=5, top=2000, share=100)
+
+
 def pipeline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -122,6 +126,7 @@ QUERIES = {
     "op9_mixing": mixing_query,
     "op10_minmax_near_dup": minmax_query,
     "op11_word_runs": runs_query,
+    "op12_collocations": collocation_query,
     "pipeline": pipeline_query,
 }
 #: Equal to the operator's order and targets: sources in code point order, queues by digest of the id.
