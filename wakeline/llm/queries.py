@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wakeline.llm import (collocations, embeddings, licenses, line_alignment, minmax, mixing, packing, periods, quality, secrets, suffixes,
+from wakeline.llm import (byte_net, collocations, embeddings, licenses, line_alignment, minmax, mixing, packing, periods, quality, secrets, suffixes,
                           token_matrices)
 from wakeline.llm.store import keep
 
@@ -108,6 +108,12 @@ def collocation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_documents(spark, sf_dir), least=100, longest=5, top=2000, share=100)
 
 
+def quality_net_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = byte_net.quality_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.select("doc_id", F.coalesce(byte_net.remainder() == 1, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def pipeline_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -127,6 +133,7 @@ QUERIES = {
     "op10_minmax_near_dup": minmax_query,
     "op11_word_runs": runs_query,
     "op12_collocations": collocation_query,
+    "op13_quality_net": quality_net_query,
     "pipeline": pipeline_query,
 }
 #: Equal to the operator's order and targets: sources in code point order, queues by digest of the id.
