@@ -103,6 +103,19 @@ def test_words_across_texts_and_characters():
     assert got.first.tolist() == [0, 2, 2, 2, 3, 4, 4, 5]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([None, "", "Ab c", "x", "É Q.", " "]), max_size=9), st.integers(0, 9), st.integers(0, 9), st.booleans())
+def test_words_of_slices(texts, first, n, large):
+    import pyarrow as pa
+
+    rows = pa.array(texts, pa.large_string() if large else pa.string()).slice(first, n)
+    for t in (rows, pa.chunked_array([rows, rows]).combine_chunks()):
+        words = [re.findall("[^ .]+", "".join(c.lower() if c < "\x80" else c for c in x or "")) for x in t.to_pylist()]
+        got = split(t, b" ", b".", lower=True)
+        assert got.words.to_pylist() == [w for ws in words for w in ws]
+        assert got.first.tolist() == [sum(map(len, words[:k])) for k in range(len(words) + 1)]
+
+
 def test_query_rows(spark, tmp_path):
     rep = [(i, f"start {i} " + "one two three " * (i % 7) + "end") for i in range(120)]
     rows = [*rep, (7, "again " * 9), (7, "again " * 9), (None, "n " * 8), (500, None), (501, ""), (502, " \n"), (503, "é " * 4000 + "x"),

@@ -51,7 +51,7 @@ _LONGS, _STRINGS = pa.list_(pa.int64()), pa.list_(pa.string())
 def _coded(rows: pa.RecordBatch) -> tuple[np.ndarray, pa.Array, pa.Array]:
     """Codes of all words with -1 between pieces, and the language and word of each code."""
     langs = pc.fill_null(rows.column("lang").cast(pa.large_string()), "und").dictionary_encode()
-    found = split(pc.ascii_lower(rows.column("text").cast(pa.large_string())), SPACES, BREAKS)
+    found = split(rows.column("text"), SPACES, BREAKS, lower=True)
     coded = found.words.dictionary_encode()
     doc = np.repeat(np.arange(rows.num_rows), np.diff(found.first))
     n = max(len(coded.dictionary), 1)

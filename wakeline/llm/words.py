@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SPACES = b" \t\n\x0b\x0c\r"
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
 class Words(NamedTuple):
@@ -18,14 +19,16 @@ class Words(NamedTuple):
     piece: np.ndarray  #: number of break characters before each word
 
 
-def split(texts: pa.Array, separators: bytes = SPACES, breaks: bytes = b"") -> Words:
+def split(texts: pa.Array, separators: bytes = SPACES, breaks: bytes = b"", lower: bool = False) -> Words:
     """Cut texts (null: empty) at runs of ``separators`` and ``breaks``, all of them ASCII, so that no
-    byte of a longer UTF-8 character is taken for one."""
+    byte of a longer UTF-8 character is taken for one; with ``lower``, A-Z become a-z."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     _, ends, data = texts.buffers()
     at = np.frombuffer(ends, np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
     raw = np.frombuffer(data or b"", np.uint8)[at[0]:at[-1]]
     at = at - at[0]
+    if lower:
+        raw = _LOWER[raw]
     is_word = np.ones(256, bool)
     is_word[list(separators + breaks)] = False
     inside = is_word[raw]
