@@ -193,6 +193,15 @@ ORACLES: dict[str, str] = {
                   AS hit FROM v)"""),
     "rapid_purchases": _with("SELECT * FROM alerts", _alerts()),
     "rapid_purchase_filtered": _with("SELECT * FROM alerts", _alerts("amount_usd >= 20")),
+    "rapid_purchase_staged": _with(
+        f"""SELECT a.user_id, CAST(1 + count(*) AS INTEGER) AS purchase_count,
+            CAST(CAST(a.amount_usd AS DECIMAL(38, 9)) + sum(CAST(m.amount_usd AS DECIMAL(38, 9))) AS DOUBLE) AS total_amount_usd,
+            a.ts_ms AS first_ts, b.ts_ms AS last_ts, b.ts_ms - a.ts_ms AS span_ms
+            FROM e a JOIN e b ON b.user_id = a.user_id AND b.rn > a.rn AND b.ts_ms - a.ts_ms < {DAY} AND b.amount_usd >= 10
+            JOIN e m ON m.user_id = a.user_id AND m.rn > a.rn AND m.rn <= b.rn AND m.amount_usd >= 10
+            WHERE a.amount_usd < 20
+            GROUP BY a.user_id, a.rn, b.rn, a.amount_usd, a.ts_ms, b.ts_ms HAVING count(*) >= 2""",
+        "e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts_ms, product_id, amount_usd) AS rn FROM p)"),
     "threshold_anomaly": _with(
         f"""SELECT ts_ms // {DAY} * {DAY} AS window_start_ms, ts_ms // {DAY} * {DAY} + {DAY} AS window_end_ms, user_id,
             count(*) AS purchases, CAST(sum(CAST(amount_usd AS DECIMAL(38, 9))) AS DOUBLE) AS spent_usd
@@ -258,4 +267,5 @@ ORACLES: dict[str, str] = {
 # The flush at the end of a bounded stream closes every window, so streams give the rows of the table.
 ORACLES |= {"stream_" + name: ORACLES[name] for name in (
     "tumbling_count", "sliding_count", "session_count", "topk_products", "interval_join", "rapid_purchases")}
+ORACLES["stream_rapid_purchase_staged"] = ORACLES["rapid_purchase_staged"]
 ORACLES["stream_rapid_purchases_timers"] = ORACLES["rapid_purchases"]

@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wakeline.functions.timecols import DAY, HOUR, with_watermark
-from wakeline.operators import joins, patterns, topk, windows
+from wakeline.operators import joins, patterns, stages, topk, windows
 from wakeline.plans.queries import query
 from wakeline.session import DEFAULTS, shared_dir
 from wakeline.sources import activity as src
@@ -84,3 +84,9 @@ def stream_rapid_purchases(spark, sf_dir):
 @query
 def stream_rapid_purchases_timers(spark, sf_dir):
     return _run(spark, sf_dir, "timers", lambda views, purchases: rapid_purchases_stream(purchases(), 3, DAY))
+
+
+@query
+def stream_rapid_purchase_staged(spark, sf_dir):
+    return _run(spark, sf_dir, "staged", lambda views, purchases: stages.staged_purchases(
+        purchases(), F.col("amount_usd") < 20, F.col("amount_usd") >= 10, 2, DAY))
