@@ -267,5 +267,19 @@ ORACLES: dict[str, str] = {
 # The flush at the end of a bounded stream closes every window, so streams give the rows of the table.
 ORACLES |= {"stream_" + name: ORACLES[name] for name in (
     "tumbling_count", "sliding_count", "session_count", "topk_products", "interval_join", "rapid_purchases")}
+ORACLES["stream_window_stats"] = _with("SELECT * FROM unioned", _SESSIONS, _TUMBLING, _SLIDING, _UNION)
+ORACLES["stream_session_lateness"] = ORACLES["session_count"]
+# Pieces by time of arrival; a window is closed for a piece when the largest time of the pieces before, less an hour, is past it.
+ORACLES["stream_allowed_lateness"] = _with(
+    f"""SELECT window_start_ms, window_start_ms + {HOUR} AS window_end_ms, CAST(arg_min(n, g) AS BIGINT) AS first_count,
+        CAST(sum(n) AS BIGINT) AS count, count(*) AS firings
+        FROM (SELECT ts_ms // {HOUR} * {HOUR} AS window_start_ms, count(*) AS n,
+                     CASE WHEN ts_ms // {HOUR} * {HOUR} + {HOUR} <= mark THEN piece ELSE -1 END AS g
+              FROM fed LEFT JOIN marks USING (piece) GROUP BY 1, 3) GROUP BY 1""",
+    f"""timed AS (SELECT v.*, v.ts_ms + CASE WHEN event_id % 10 = 0 THEN {6 * HOUR} ELSE 0 END AS arrival, low, high
+                  FROM v, (SELECT min(ts_ms) AS low, max(ts_ms) AS high FROM act))""",
+    "fed AS (SELECT *, least(5, floor((arrival - low) * 6 / (high - low + 1))) AS piece FROM timed)",
+    f"""marks AS (SELECT piece, max(max(ts_ms)) OVER (ORDER BY piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {HOUR} AS mark
+                  FROM fed GROUP BY piece)""")
 ORACLES["stream_rapid_purchase_staged"] = ORACLES["rapid_purchase_staged"]
 ORACLES["stream_rapid_purchases_timers"] = ORACLES["rapid_purchases"]

@@ -11,12 +11,14 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from wakeline.functions.timecols import DAY, HOUR, with_watermark
 from wakeline.operators import joins, patterns, stages, topk, windows
 from wakeline.plans.queries import query
 from wakeline.session import DEFAULTS, shared_dir
 from wakeline.sources import activity as src
+from wakeline.streaming import fanout, late_sessions, refiring
 from wakeline.streaming.bursts import rapid_purchases_stream
 from wakeline.streaming.run import AVAILABLE_NOW, finish, start
 
@@ -24,12 +26,50 @@ from wakeline.streaming.run import AVAILABLE_NOW, finish, start
 FLUSH_TIME = datetime(2200, 1, 1)
 
 
-def _run(spark: SparkSession, sf_dir: str, label: str, build: Callable[..., DataFrame]) -> DataFrame:
-    """Run ``build(views, purchases)`` over the table, then go on from its checkpoint with the flush."""
-    folder = shared_dir(spark, label)
+#: A tenth of the events of a fed stream arrive that much later than they happened.
+LATE = 6 * HOUR
+PIECES = 6
+
+
+def _stream_settings(spark: SparkSession) -> None:
     for key, value in DEFAULTS.items():
         if key.startswith("spark.sql.streaming."):
             spark.conf.set(key, value)
+
+
+def _flush_rows(spark: SparkSession) -> DataFrame:
+    # users of their own, so that the two meet neither each other nor anyone in the table
+    return spark.createDataFrame([(-1, FLUSH_TIME, -1, "view", None, None), (-2, FLUSH_TIME, -2, "purchase", None, None)],
+                                 src.EVENTS).coalesce(1)
+
+
+def _feed(spark: SparkSession, sf_dir: str, folder: str, start_query: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Run a query over the page views in ``PIECES`` micro-batches by time of arrival, then over the flush.
+
+    A piece is a range of arrival times, appended to a folder that the query reads; the query goes on from its
+    checkpoint each time.  Event ids that end in 0 arrive ``LATE``; the watermark allows for them.
+    """
+    _stream_settings(spark)
+    events = spark.read.schema(src.EVENTS).parquet(f"{sf_dir}/events.parquet")
+    at = F.unix_millis(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    arrival = at + F.when(F.col("event_id") % 10 == 0, LATE).otherwise(0)
+    piece = F.least(F.lit(PIECES - 1), F.floor((arrival - (low or 0)) * PIECES / ((high or 0) - (low or 0) + 1)))
+    spark.createDataFrame([], src.EVENTS).write.parquet(f"{folder}/in/events.parquet")
+    for k in range(PIECES + 1):
+        rows = events.filter(piece == k) if k < PIECES else _flush_rows(spark)
+        rows.write.mode("append").parquet(f"{folder}/in/events.parquet")
+        finish(start_query(with_watermark(src.page_views(spark, f"{folder}/in", streaming=True), HOUR + LATE)))
+
+
+def _run(spark: SparkSession, sf_dir: str, label: str, build: Callable[..., DataFrame],
+         sink: Callable[[str], Callable[[DataFrame, int], None]] | None = None) -> DataFrame:
+    """Run ``build(views, purchases)`` over the table, then go on from its checkpoint with the flush.
+
+    ``sink`` makes a sink for the folder whose sub-folders are to be read, instead of one Parquet table.
+    """
+    folder = shared_dir(spark, label)
+    _stream_settings(spark)
     flush_dir = f"{folder}/flush"
     flush_table = f"{flush_dir}/events.parquet"
     spark.createDataFrame([], src.EVENTS).write.parquet(flush_table)
@@ -41,14 +81,14 @@ def _run(spark: SparkSession, sf_dir: str, label: str, build: Callable[..., Data
     df = build(lambda: source(src.page_views), lambda: source(src.purchases))
 
     def work_off() -> None:
-        finish(start(df, "parquet", f"{folder}/checkpoint", f"{folder}/out", trigger=AVAILABLE_NOW))
+        finish(start(df, sink(f"{folder}/out") if sink else "parquet", f"{folder}/checkpoint", None if sink else f"{folder}/out",
+                     trigger=AVAILABLE_NOW))
 
     work_off()
-    # users of their own, so that the two meet neither each other nor anyone in the table
-    spark.createDataFrame([(-1, FLUSH_TIME, -1, "view", None, None), (-2, FLUSH_TIME, -2, "purchase", None, None)],
-                          src.EVENTS).coalesce(1).write.mode("append").parquet(flush_table)
+    _flush_rows(spark).write.mode("append").parquet(flush_table)
     work_off()
-    return spark.read.schema(df.schema).parquet(f"{folder}/out")
+    out = spark.read.schema(df.schema)
+    return out.option("recursiveFileLookup", "true").parquet(f"{folder}/out") if sink else out.parquet(f"{folder}/out")
 
 
 @query
@@ -90,3 +130,32 @@ def stream_rapid_purchases_timers(spark, sf_dir):
 def stream_rapid_purchase_staged(spark, sf_dir):
     return _run(spark, sf_dir, "staged", lambda views, purchases: stages.staged_purchases(
         purchases(), F.col("amount_usd") < 20, F.col("amount_usd") >= 10, 2, DAY))
+
+
+@query
+def stream_window_stats(spark, sf_dir):
+    """Three results of one query that reads the table once, from a folder each."""
+    return _run(spark, sf_dir, "stats", lambda views, purchases: fanout.window_stats(views(), HOUR, 3 * HOUR, 6 * HOUR),
+                sink=lambda out: fanout.route({kind: f"{out}/{kind}" for kind in ("tumbling", "sliding", "session")}))
+
+
+@query
+def stream_allowed_lateness(spark, sf_dir):
+    """Windows that fire again for late rows: the count at the first and the last firing."""
+    folder = shared_dir(spark, "lateness")
+    _feed(spark, sf_dir, folder, lambda views: start(
+        refiring.refiring_counts(views, HOUR), refiring.upsert(f"{folder}/table", HOUR), f"{folder}/checkpoint",
+        output_mode="update", trigger=AVAILABLE_NOW))
+    fired = refiring.firings(spark, f"{folder}/table", delay=HOUR)
+    return fired.groupBy("window_start_ms", "window_end_ms").agg(
+        F.min_by("count", "firing").alias("first_count"), F.max_by("count", "firing").alias("count"), F.count(F.lit(1)).alias("firings"))
+
+
+@query
+def stream_session_lateness(spark, sf_dir):
+    """Sessions after late rows have changed, joined or made some of them."""
+    folder = shared_dir(spark, "late-sessions")
+    _feed(spark, sf_dir, folder, lambda views: start(
+        late_sessions.session_changes(views, 6 * HOUR, LATE), "parquet", f"{folder}/checkpoint", f"{folder}/out", trigger=AVAILABLE_NOW))
+    changes = spark.read.parquet(f"{folder}/out")
+    return late_sessions.standing(changes).select("window_start_ms", "window_end_ms", "user_id", "count")

@@ -44,8 +44,3 @@ def finish(*queries: StreamingQuery) -> None:
     """Wait for queries started with ``AVAILABLE_NOW`` and raise what stopped them, if anything."""
     for query in queries:
         query.awaitTermination()
-
-
-def dropped_by_watermark(query: StreamingQuery) -> int:
-    """State rows dropped as late, over the progress reports that are still held."""
-    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
