@@ -67,6 +67,26 @@ def test_suffix_rows_repeat(spark):
     assert sorted((r["n_bytes"], r["n_removed"]) for r in suffixes.remove_repeats(docs).collect()) == [(230, 230), (230, 230), (250, 250)]
 
 
+def test_unique_text_beside_one_of_equal_short_hash(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(320)) for _ in range(200_000)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    twins = frame.groupBy(F.hash("text")).agg(F.min("text").alias("a"), F.max("text").alias("b")).filter("a <> b").orderBy("a").first()
+    docs = spark.createDataFrame([(None, twins["a"]), (1, twins["a"]), (None, twins["b"])], "doc_id long, text string")
+    assert sorted(r["n_removed"] for r in suffixes.remove_repeats(docs).collect()) == [0, 320, 320]
+
+
+def test_many_equal_rows(spark):
+    text = "".join(chr(97 + i * i % 23) for i in range(500))
+    docs = spark.range(3_000).selectExpr("CAST(NULL AS long) AS doc_id", f"'{text}' AS text")
+    got = suffixes.remove_repeats(docs).groupBy("n_bytes", "n_removed").count().collect()
+    assert [tuple(r) for r in got] == [(500, 500, 3_000)]
+
+
 def test_long_text_in_parts(spark, monkeypatch):
     rng = random.Random(3)
     t = "".join(rng.choice("abcdefgh") for _ in range(1_400_000))

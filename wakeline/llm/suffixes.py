@@ -201,7 +201,7 @@ def repeated_starts(group: list[tuple], prefixes: list[int]) -> list[list[tuple[
     return found
 
 
-_PAYLOAD = struct.Struct("<?qiqBB")  # id is null, id, h, anchor, least and greatest lead; then the bytes before
+_PAYLOAD = struct.Struct("<?q16sqBB")  # id is null, id, h, anchor, least and greatest lead; then the bytes before
 
 
 def _runs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -238,7 +238,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settle(rows, group, prefixes)
         columns = list(zip(*set(rows))) or [()] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-            columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64()))], names=["id", "h", "first", "last"])
+            columns, (pa.int64(), pa.binary(), pa.int64(), pa.int64()))], names=["id", "h", "first", "last"])
 
     bucket, held = None, []
     for batch in batches:
@@ -268,7 +268,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stretches(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    types = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, types)],
                                       names=["id", "h", "key", "place", "body"])
 
@@ -288,7 +288,7 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _string_batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+    types = (pa.int64(), pa.binary(), pa.int64(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 4, types)],
                                       names=["id", "h", "first", "digest"])
 
@@ -332,9 +332,10 @@ def remove_repeats(docs: DataFrame, group_limit: int = 2000, bucket_bytes: int =
     rows repeat each other; other columns are ignored; an empty table gives no rows.  An anchor with more
     than ``group_limit`` different stretches is settled string by string instead of in one task.
     """
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.hash(text(text_column)).alias("h"), text(text_column).alias("text"))
+    # a row is named by its id and 128 bits of its text; rows equal in both are one for all that follows
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), digest(text(text_column)).alias("h"), text(text_column).alias("text"))
     found = rows.filter(F.octet_length("text") >= LENGTH).mapInArrow(
-        _find, "id long, h int, key long, whole long, place long")
+        _find, "id long, h binary, key long, whole long, place long")
     again = keep(found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "repeated-anchors")
     some = keep(found.join(again, "key"), "shared-stretches")
     kinds = keep(some.groupBy("key", "whole").agg(F.count("*").alias("n"), F.min(F.struct("id", "h", "place")).alias("one")), "stretch-kinds")
@@ -349,25 +350,30 @@ def remove_repeats(docs: DataFrame, group_limit: int = 2000, bucket_bytes: int =
     same = F.col("id").eqNullSafe(F.col("i_id")) & (F.col("h") == F.col("i_h"))
     # equal rows would give their stretches twice, which changes nothing that is not settled already
     bodies = keep(rows.join(by_doc, same).select("id", "h", "text", "items").mapInArrow(
-        _cut, "id long, h int, key long, place long, body binary"), "stretch-bytes")
+        _cut, "id long, h binary, key long, place long, body binary"), "stretch-bytes")
     sized = bodies.join(groups, "key")
     small = sized.filter(F.col("members") <= group_limit).drop("members")
     total = bodies.agg(F.sum(F.length("body"))).first()[0] or 0
     buckets = 1 + total // bucket_bytes * 4
     runs = small.mapInArrow(lambda b: _runs(b, buckets), "bucket long, run binary")
-    starts.append(runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge, "id long, h int, first long, last long"))
+    starts.append(runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge, "id long, h binary, first long, last long"))
     strings = sized.filter(F.col("members") > group_limit).drop("members").mapInArrow(
-        _strings, "id long, h int, first long, digest binary")
+        _strings, "id long, h binary, first long, digest binary")
     twice = keep(strings.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"), "repeated-strings")
     starts.append(strings.join(twice, "digest").select("id", "h", "first", F.col("first").alias("last")))
 
     ranges = keep(starts[0].unionByName(starts[1]).unionByName(starts[2]).groupBy("id", "h").agg(
-        F.collect_list(F.struct("first", "last")).alias("starts")), "repeated-starts")
+        F.collect_set(F.struct("first", "last")).alias("starts")), "repeated-starts")
     ranges = ranges.select(F.col("id").alias("i_id"), F.col("h").alias("i_h"), "starts")
     return rows.join(ranges, same, "left").select("id", "text", "starts").mapInArrow(
         _remove, "doc_id long, n_bytes long, n_removed long, kept binary, spans array<struct<start:long,end:long>>")
 
 
+def digest(column):
+    """16 bytes that tell texts apart."""
+    return F.unhex(F.md5(F.encode(column, "UTF-8")))
+
+
 def unpack_columns():
     first = F.shiftright("place", 16)
     return first, first + F.shiftright("place", 8).bitwiseAND(255), first + F.col("place").bitwiseAND(255)
