@@ -184,3 +184,29 @@ def funnel(views: DataFrame, purchases: DataFrame, within: int = 5 * MINUTE) ->
     counted = _weighted_counts(v.withColumn("weight", F.lit(0)).unionByName(probes), "user_id")
     totals = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("views"), F.coalesce(F.sum("total"), F.lit(0)).alias("converted"))
     return totals.withColumn("rate", F.when(F.col("views") > 0, F.col("converted").cast("double") / F.col("views")))
+
+
+def funnel_stream(views: DataFrame, purchases: DataFrame, within: int = 5 * MINUTE) -> DataFrame:
+    """The funnel on streams with watermarks: (user_id, view_ts, views, purchase_ts), one row per user and millisecond
+    with views, once no purchase can come for them any more; ``purchase_ts`` is the first that follows, or null.
+
+    Both sides are folded per user and millisecond before they are joined, and the matches of a view to their first one
+    behind it.  State is held for ``within`` and the delays.
+    """
+    cell = F.window("ts", "1 millisecond").alias("w")
+    v = (views.groupBy(F.col("user_id").alias("v_user"), cell).agg(F.count(F.lit(1)).alias("views"))
+         .select("v_user", F.window_time("w").alias("v_ts"), "views"))
+    p = purchases.filter(F.col("user_id").isNotNull()).groupBy(F.col("user_id").alias("p_user"), cell).agg(F.count(F.lit(1))).select(
+        "p_user", F.window_time("w").alias("p_ts"))
+    near = (F.col("v_user") == F.col("p_user")) & (F.col("p_ts") >= F.col("v_ts")) & (
+        F.col("p_ts") <= F.col("v_ts") + F.expr(f"INTERVAL {within} MILLISECONDS"))
+    matched = v.join(p, near, "left_outer").groupBy(F.window("v_ts", "1 millisecond").alias("vw"), "v_user").agg(
+        F.max("views").alias("views"), F.min("p_ts").alias("p_ts"))
+    return matched.select(F.col("v_user").alias("user_id"), ms(F.col("vw.start")).alias("view_ts"), "views", ms(F.col("p_ts")).alias("purchase_ts"))
+
+
+def funnel_totals(rows: DataFrame) -> DataFrame:
+    """``funnel`` of the rows of ``funnel_stream``."""
+    totals = rows.agg(F.coalesce(F.sum("views"), F.lit(0)).alias("views"),
+                      F.coalesce(F.sum(F.when(F.col("purchase_ts").isNotNull(), F.col("views"))), F.lit(0)).alias("converted"))
+    return totals.withColumn("rate", F.when(F.col("views") > 0, F.col("converted").cast("double") / F.col("views")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wakeline.functions.running import running
 from wakeline.functions.timecols import DAY, SECOND, bounds, floor_to, ms
@@ -91,6 +91,26 @@ def topk_two_level(views: DataFrame, k: int = 10, size: int = 10 * SECOND, bucke
     return rank_counts(kept, k)
 
 
+def sketch_error(tracked: int, total: Column) -> Column:
+    """Bound of a sketch's error: 3.5 times the total over its number of slots, the power of two above 4 / 3 ``tracked``."""
+    slots = 1 << (4 * tracked // 3).bit_length()
+    return F.floor(total * 3.5 / slots).cast("bigint")
+
+
+def topk_approx_stream(views: DataFrame, k: int = 10, size: int = 10 * SECOND, tracked: int = 10_000) -> DataFrame:
+    """Heavy hitters on a stream: one sketch per window is all the state, whatever the number of products.
+
+    A hot window costs one sketch per task before the shuffle.  ``count`` exceeds the true count by at most ``error_max``; a product that is not among the
+    ``tracked`` has at most ``error_max`` events.  Ties go to the smaller product id.
+    """
+    sketched = views.groupBy(stream_window(size).alias("w")).agg(
+        F.expr(f"approx_top_k(product_id, {tracked}, {tracked})").alias("best"), F.count(F.lit(1)).alias("all"))
+    ordered = F.slice(F.sort_array(F.transform("best", lambda x: F.struct((-x["count"]).alias("c"), x["item"].alias("p")))), 1, k)
+    return sketched.select(*bounds("w"), sketch_error(tracked, F.col("all")).alias("error_max"), F.posexplode(ordered).alias("i", "e")).select(
+        "window_start_ms", "window_end_ms", (F.col("i") + 1).alias("rank"), F.col("e.p").alias("product_id"),
+        (-F.col("e.c")).alias("count"), "error_max")
+
+
 def topk_approx(views: DataFrame, k: int = 10, size: int = 10 * SECOND, tracked: int = 10_000) -> DataFrame:
     """Heavy hitters: a bounded sketch per window names up to ``tracked`` candidates, which are then
     counted and ranked exactly (stored tables).

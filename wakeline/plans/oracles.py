@@ -193,6 +193,9 @@ ORACLES: dict[str, str] = {
                   AS hit FROM v)"""),
     "rapid_purchases": _with("SELECT * FROM alerts", _alerts()),
     "rapid_purchase_filtered": _with("SELECT * FROM alerts", _alerts("amount_usd >= 20")),
+    "custom_quantile": _with(
+        f"""SELECT ts_ms // {DAY} * {DAY} AS window_start_ms, ts_ms // {DAY} * {DAY} + {DAY} AS window_end_ms,
+            quantile_disc(amount_usd, 0.9) AS value, count(amount_usd) AS n FROM p GROUP BY 1, 2"""),
     "rapid_purchase_staged": _with(
         f"""SELECT a.user_id, CAST(1 + count(*) AS INTEGER) AS purchase_count,
             CAST(CAST(a.amount_usd AS DECIMAL(38, 9)) + sum(CAST(m.amount_usd AS DECIMAL(38, 9))) AS DOUBLE) AS total_amount_usd,
@@ -281,5 +284,9 @@ ORACLES["stream_allowed_lateness"] = _with(
     "fed AS (SELECT *, least(5, floor((arrival - low) * 6 / (high - low + 1))) AS piece FROM timed)",
     f"""marks AS (SELECT piece, max(max(ts_ms)) OVER (ORDER BY piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {HOUR} AS mark
                   FROM fed GROUP BY piece)""")
+ORACLES["stream_topk_approx"] = _with(
+    f"""SELECT board.*, CAST(floor(n * 3.5 / 16384) AS BIGINT) AS error_max
+        FROM board JOIN (SELECT ts_ms // {DAY} * {DAY} AS window_start_ms, count(*) AS n FROM v GROUP BY 1) USING (window_start_ms)""", _BOARD)
+ORACLES["stream_funnel"] = ORACLES["funnel"]
 ORACLES["stream_rapid_purchase_staged"] = ORACLES["rapid_purchase_staged"]
 ORACLES["stream_rapid_purchases_timers"] = ORACLES["rapid_purchases"]

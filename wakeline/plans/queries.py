@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wakeline import schemas
 from wakeline.functions.timecols import DAY, HOUR
-from wakeline.operators import codec, joins, lateness, patterns, results, stages, topk, windows
+from wakeline.operators import codec, custom, joins, lateness, patterns, results, stages, topk, windows
 from wakeline.plans import arrivals
 from wakeline.sources import activity as src
 
@@ -238,6 +238,11 @@ def rapid_purchase_filtered(spark, sf_dir):
     return patterns.rapid_purchases(src.purchases(spark, sf_dir), 3, DAY, where=F.col("amount_usd") >= 20)
 
 
+@query
+def custom_quantile(spark, sf_dir):
+    return custom.quantile_per_window(src.purchases(spark, sf_dir), 0.9, DAY)
+
+
 @query
 def rapid_purchase_staged(spark, sf_dir):
     """A small purchase, then two larger ones; those between the two amounts may be either."""

@@ -8,7 +8,7 @@ past every window of the table, so the result is that of the whole table.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -159,3 +159,14 @@ def stream_session_lateness(spark, sf_dir):
         late_sessions.session_changes(views, 6 * HOUR, LATE), "parquet", f"{folder}/checkpoint", f"{folder}/out", trigger=AVAILABLE_NOW))
     changes = spark.read.parquet(f"{folder}/out")
     return late_sessions.standing(changes).select("window_start_ms", "window_end_ms", "user_id", "count")
+
+
+@query
+def stream_topk_approx(spark, sf_dir):
+    return _run(spark, sf_dir, "approx", lambda views, purchases: topk.topk_approx_stream(views(), 10, DAY))
+
+
+@query
+def stream_funnel(spark, sf_dir):
+    return joins.funnel_totals(_run(spark, sf_dir, "funnel", lambda views, purchases: joins.funnel_stream(views(), purchases(), 6 * HOUR)).filter(
+        F.col("view_ts") < int(FLUSH_TIME.replace(tzinfo=timezone.utc).timestamp()) * 1000))
