@@ -42,6 +42,30 @@ def test_ids_equal_the_tokenizer(direct):
         assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) + [2] == direct(text), text
 
 
+def test_ids_of_a_batch(direct):
+    import pyarrow as pa
+
+    words = WordTokenizer(PATH)
+    words.LETTERS = words.PIECES = 5
+    texts = ODD + ["The cat, the Cat. THE cat the,", "", "a\x1cb \x85 c\u3000d e\xa0f", "漢字" * 300, "x" * 500]
+    for array in (pa.array(texts), pa.array(["cut off", *texts]).slice(1)):
+        assert [list(struct.unpack(f"<{len(b) // 4}I", b)) + [2] for b in words.batch(array)] == [direct(t) for t in texts]
+    assert words.batch(pa.array([], pa.string())) == [] and words.batch(pa.array(["", " "])) == [b"", b""]
+    assert max(map(len, words.pieces)) <= words.SHORT
+
+
+def test_a_very_long_document_is_cut_in_one_walk():
+    import time
+
+    windows = packing.Windows(4096, 4, 0)
+    ids = bytes(4 * 20_000_001)
+    began = time.process_time()
+    windows.add(1, 0, ids, 20_000_001)
+    assert time.process_time() - began < 5
+    windows.finish()
+    assert sum(r[2] for r in windows.rows) == 20_000_001 and [r[1] for r in windows.rows[:3]] == [0, 4096, 8192]
+
+
 def check_pieces(pieces, want):
     """Every id in exactly one piece, sequences gapless and full or powers of two."""
     by_doc, by_seq = defaultdict(list), defaultdict(list)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from wakeline.llm.store import keep, text
 from wakeline.llm.tokens import WordTokenizer
+from wakeline.llm.words import parts
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long")
@@ -43,11 +44,12 @@ class Windows:
 
     def add(self, doc, start: int, ids: bytes, total: int) -> None:
         size, windows = self.size, self.open
-        while len(ids) >= 4 * size:
-            self.emit([(doc, start, ids[:4 * size], total)])
-            ids, start = ids[4 * size:], start + size
-        while ids:
-            n, best = len(ids) // 4, None
+        at, end = 0, len(ids) // 4
+        while end - at >= size:
+            self.emit([(doc, start + at, ids[4 * at:4 * (at + size)], total)])
+            at += size
+        while at < end:
+            n, best = end - at, None
             for w in windows:
                 if n <= w[0] and (best is None or w[0] < best[0]):
                     best = w
@@ -57,12 +59,12 @@ class Windows:
             if best is None:
                 best = min(windows, key=lambda w: w[0])
                 cut = best[0]
-            best[1].append((doc, start, ids[:4 * cut], total))
+            best[1].append((doc, start + at, ids[4 * at:4 * (at + cut)], total))
             best[0] -= cut
             if not best[0]:
                 self.emit(best[1])
                 windows.remove(best)
-            ids, start = ids[4 * cut:], start + cut
+            at += cut
 
     def merge(self) -> list[tuple]:
         """Fill windows from what is open, fullest first; the pieces that fill no window remain."""
@@ -118,11 +120,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = 4096, open_win
         task = TaskContext.get().partitionId()
         windows = Windows(window, open_windows, task << 32)
         for batch in batches:
-            for doc, body in zip(batch.column(0), batch.column(1)):
-                ids = words.ids(body.as_py()) + end
-                windows.add(doc.as_py(), 0, ids, len(ids) // 4)
-                if len(windows.rows) >= 2000:
-                    yield windows.batch(group=-1)
+            for rows in parts(batch):
+                for doc, body in zip(rows.column(0).to_pylist(), words.batch(rows.column(1))):
+                    ids = body + end
+                    windows.add(doc, 0, ids, len(ids) // 4)
+                    if len(windows.rows) >= 2000:
+                        yield windows.batch(group=-1)
         rest = windows.merge()
         yield windows.batch(group=-1)
         windows.emit(rest)

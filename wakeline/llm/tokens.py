@@ -3,7 +3,8 @@
 The tokenizer drops white space and never joins characters across it, so a text's ids are those of
 its white-space separated pieces in order.  A piece of plain letters with at most one stop or comma
 is taken apart and its letters go straight to the vocabulary model; any other piece goes through the
-whole tokenizer.  Both results are remembered per process, within the limits below.
+whole tokenizer.  Both results are remembered per process, within the limits below.  A piece that holds other white space
+than the ASCII characters goes through the whole tokenizer too, so cutting at those alone is enough.
 """
 
 from __future__ import annotations
@@ -11,6 +12,11 @@ from __future__ import annotations
 import re
 import struct
 
+import numpy as np
+import pyarrow as pa
+
+from wakeline.llm.words import split
+
 _LOADED: dict[str, "WordTokenizer"] = {}
 _SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
 _CONTROL = re.compile("[\x1c-\x1f]").search
@@ -29,6 +35,7 @@ class WordTokenizer:
     """Use ``WordTokenizer.load(path)``: one instance per process and file."""
 
     LETTERS, PIECES = 500_000, 300_000  # words remembered; a full memory is emptied
+    SHORT = 64  # characters of the longest piece remembered
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -50,7 +57,23 @@ class WordTokenizer:
         ids = self.whole.encode(piece, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def batch(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text of an array without nulls: pieces are cut and told apart by Arrow, each different piece
+        is looked up once, and the ids of all pieces are laid out by ``take``."""
+        found = split(texts)
+        coded = found.words.dictionary_encode()
+        known, ids = self.pieces.get, []
+        for piece in coded.dictionary.to_pylist():
+            ids.append(known(piece) or self._piece(piece))
+        laid = pa.array(ids, pa.large_binary()).take(coded.indices)
+        _, ends, data = laid.buffers()
+        at = np.frombuffer(ends, np.int64)[laid.offset:laid.offset + len(laid) + 1][found.first] if len(laid) else np.zeros(len(texts) + 1, np.int64)
+        raw = memoryview(data) if data is not None else memoryview(b"")
+        return [bytes(raw[a:z]) for a, z in zip(at[:-1].tolist(), at[1:].tolist())]
+
     def _piece(self, piece: str) -> bytes:
+        if len(piece) > self.SHORT:
+            return self._whole(piece)
         found = _SIMPLE(piece)
         if not found:
             out = self._whole(piece)
