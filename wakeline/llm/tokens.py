@@ -31,6 +31,33 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
 
 
+def plain_letters(words: pa.Array, longest: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """For words (large strings, none empty): which are plain letters with at most one stop or comma behind and no
+    more than ``longest`` bytes; those in lower case without it; and 0, 1 or 2 for none, a stop or a comma."""
+    _, ends, data = words.buffers()
+    at = np.frombuffer(ends, np.int64)[words.offset:words.offset + len(words) + 1]
+    raw = np.frombuffer(data, np.uint8)[at[0]:at[-1]]
+    at = at - at[0]
+    size, last = np.diff(at), at[1:] - 1
+    # letters from U+00C0 to U+00FF are the byte C3 and one more; D7 and F7 (bytes 97, B7) are signs
+    latin = np.zeros(len(raw), bool)
+    latin[1:] = raw[:-1] == 0xC3
+    latin &= (raw != 0x97) & (raw != 0xB7)
+    ascii_upper = (raw >= 65) & (raw <= 90)
+    fine = ascii_upper | ((raw >= 97) & (raw <= 122)) | (raw == 0xC3) | latin
+    stop = np.select([raw[last] == 46, raw[last] == 44], [1, 2], 0)
+    fine[last[stop > 0]] = True
+    bare = size - (stop > 0)
+    plain = np.logical_and.reduceat(fine, at[:-1]) & (bare > 0) & (size <= longest)
+    stop[~plain] = 0
+    lower = raw + ((ascii_upper | (latin & (raw <= 0x9E))) * np.uint8(32))
+    kept = np.repeat(plain, size)
+    kept[last[stop > 0]] = False
+    offsets = np.zeros(int(plain.sum()) + 1, np.int64)
+    np.cumsum(bare[plain], out=offsets[1:])
+    return plain, pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(lower[kept])), stop
+
+
 class WordTokenizer:
     """Use ``WordTokenizer.load(path)``: one instance per process and file."""
 
@@ -58,18 +85,37 @@ class WordTokenizer:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def batch(self, texts: pa.Array) -> list[bytes]:
-        """Ids of each text of an array without nulls: pieces are cut and told apart by Arrow, each different piece
-        is looked up once, and the ids of all pieces are laid out by ``take``."""
+        """Ids of each text of an array without nulls: pieces are cut, lower-cased and told apart in whole arrays, each
+        different one is looked up once, and the ids of all pieces are laid out by ``take``."""
         found = split(texts)
-        coded = found.words.dictionary_encode()
-        known, ids = self.pieces.get, []
-        for piece in coded.dictionary.to_pylist():
-            ids.append(known(piece) or self._piece(piece))
-        laid = pa.array(ids, pa.large_binary()).take(coded.indices)
+        if not len(found.words):
+            return [b""] * len(texts)
+        plain, bases, stop = plain_letters(found.words, self.SHORT)
+        coded, others = bases.dictionary_encode(), found.words.filter(pa.array(~plain)).dictionary_encode()
+        known, make = self.letters.get, self._letters
+        ids = [known(w) or make(w) for w in coded.dictionary.to_pylist()]
+        known, make = self.pieces.get, self._piece
+        ids += [known(p) or make(p) for p in others.dictionary.to_pylist()]
+        # a piece is laid out as its letters and its stop
+        where = np.empty((len(plain), 2), np.int64)
+        where[plain, 0] = coded.indices.to_numpy()
+        where[~plain, 0] = len(coded.dictionary) + others.indices.to_numpy()
+        where[:, 1] = len(ids) + stop
+        ids += [b"", self.stops["."], self.stops[","]]
+        laid = pa.array(ids, pa.large_binary()).take(pa.array(where.ravel()))
         _, ends, data = laid.buffers()
-        at = np.frombuffer(ends, np.int64)[laid.offset:laid.offset + len(laid) + 1][found.first] if len(laid) else np.zeros(len(texts) + 1, np.int64)
-        raw = memoryview(data) if data is not None else memoryview(b"")
-        return [bytes(raw[a:z]) for a, z in zip(at[:-1].tolist(), at[1:].tolist())]
+        at = np.frombuffer(ends, np.int64)[laid.offset:laid.offset + len(laid) + 1][2 * found.first].tolist()
+        raw = memoryview(data)
+        return [bytes(raw[a:z]) for a, z in zip(at, at[1:])]
+
+    def _letters(self, word: str) -> bytes:
+        """Ids of lower-case letters, which stand for themselves in the vocabulary if they are plain."""
+        shown = word if word.isascii() else "".join(map(self.shown.__getitem__, word.encode()))
+        ids = [t.id for t in self.model.tokenize(shown)]
+        if len(self.letters) >= self.LETTERS:
+            self.letters.clear()
+        out = self.letters[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return out
 
     def _piece(self, piece: str) -> bytes:
         if len(piece) > self.SHORT:
@@ -79,15 +125,7 @@ class WordTokenizer:
             out = self._whole(piece)
         else:
             word = found[1].lower()
-            out = self.letters.get(word)
-            if out is None:
-                # plain letters stand for themselves
-                shown = word if word.isascii() else "".join(map(self.shown.__getitem__, word.encode()))
-                ids = [t.id for t in self.model.tokenize(shown)]
-                if len(self.letters) >= self.LETTERS:
-                    self.letters.clear()
-                out = self.letters[word] = struct.pack(f"<{len(ids)}I", *ids)
-            out = out + self.stops[found[2]]
+            out = (self.letters.get(word) or self._letters(word)) + self.stops[found[2]]
         if len(self.pieces) >= self.PIECES:
             self.pieces.clear()
         self.pieces[piece] = out
