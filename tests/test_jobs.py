@@ -46,6 +46,16 @@ def test_window_stats_job(spark, tmp_path):
         {"kind": "session", "window_start_ms": 65_000, "window_end_ms": 95_000, "count": 1, "user_id": "u"}]
 
 
+def test_window_stats_in_one_query(spark, tmp_path):
+    write_batches(f"{tmp_path}/in", [[("u", "p", t) for t in (1_000, 2_000, 65_000)], FLUSH])
+    finish(jobs.launch_window_stats(raw(spark, f"{tmp_path}/in"), f"{tmp_path}/cp", f"{tmp_path}/out", trigger=AVAILABLE_NOW))
+    read = lambda topic: spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/out/{topic}").orderBy("window_start_ms").collect()
+    assert [(r["window_start_ms"], r["count"]) for r in read("results.windows.tumbling")] == [(0, 2), (60_000, 1)]
+    assert len(read("results.windows.sliding")) == 6
+    assert [(r["window_start_ms"], r["window_end_ms"], r["user_id"]) for r in read("results.windows.sessions")] == [
+        (1_000, 32_000, "u"), (65_000, 95_000, "u")]
+
+
 def test_join_job(spark, tmp_path):
     write_batches(f"{tmp_path}/v", [[("a", "x", 100_000)]])
     write_batches(f"{tmp_path}/p", [[("a", "y", 70_000, 9.5), ("a", "y", 400_001, 1)]])

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wakeline import schemas
 from wakeline.functions.timecols import DEFAULT_DELAY, MINUTE, SECOND, with_watermark
 from wakeline.operators import codec, joins, patterns, topk, windows
+from wakeline.streaming import fanout
 from wakeline.streaming.bursts import rapid_purchases_stream
 from wakeline.streaming.run import start
 
@@ -46,6 +47,14 @@ def window_stats_job(raw_views: DataFrame, size: int = 10 * SECOND, long_size: i
     }
 
 
+def launch_window_stats(raw_views: DataFrame, checkpoint: str, folder: str, size: int = 10 * SECOND, long_size: int = 30 * SECOND,
+                        gap: int = 30 * SECOND, **kwargs) -> StreamingQuery:
+    """``window_stats_job`` as one query that reads and parses its source once, with a Parquet folder per result topic."""
+    topics = {"tumbling": "results.windows.tumbling", "sliding": "results.windows.sliding", "session": "results.windows.sessions"}
+    sink = fanout.route({kind: f"{folder}/{topic}" for kind, topic in topics.items()})
+    return start(fanout.window_stats(read_views(raw_views), size, long_size, gap), sink, checkpoint, **kwargs)
+
+
 def join_job(raw_views: DataFrame, raw_purchases: DataFrame, before: int = 30 * SECOND,
              after: int = 5 * MINUTE, salts: int = 1) -> dict[str, DataFrame]:
     """Purchases matched to the views of the same user around them."""
