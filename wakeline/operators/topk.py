@@ -26,9 +26,9 @@ def _slice(column: str, k: int):
     return F.slice(F.sort_array(column), 1, k)
 
 
-def topk_stream(views: DataFrame, k: int = 10, size: int = 10 * SECOND, slide: int | None = None,
-                buckets: int = BUCKETS) -> DataFrame:
-    """Boards of a streaming input as a streaming DataFrame (append: once per closed window).
+def board_stream(views: DataFrame, k: int = 10, size: int = 10 * SECOND, slide: int | None = None,
+                 buckets: int = BUCKETS) -> DataFrame:
+    """(w, best) of each closed window: the window and its ``k`` best entries (neg, product_id).
 
     Three chained aggregations: count per product, best ``k`` of each product bucket, best ``k``
     of the window.  No group holds more than the products of one bucket, or buckets * k rows.
@@ -38,8 +38,13 @@ def topk_stream(views: DataFrame, k: int = 10, size: int = 10 * SECOND, slide: i
     entry = F.struct((-F.col("n")).alias("neg"), "product_id")
     partial = (counts.groupBy("w", F.pmod(F.xxhash64("product_id"), F.lit(buckets)).alias("bucket"))
                .agg(_slice(F.collect_list(entry), k).alias("best")))
-    board = partial.groupBy("w").agg(_slice(F.flatten(F.collect_list("best")), k).alias("best"))
-    return board.select(*bounds("w"), F.transform(
+    return partial.groupBy("w").agg(_slice(F.flatten(F.collect_list("best")), k).alias("best"))
+
+
+def topk_stream(views: DataFrame, k: int = 10, size: int = 10 * SECOND, slide: int | None = None,
+                buckets: int = BUCKETS) -> DataFrame:
+    """Boards of a streaming input as a streaming DataFrame (append: once per closed window)."""
+    return board_stream(views, k, size, slide, buckets).select(*bounds("w"), F.transform(
         "best", lambda e: F.struct(e["product_id"].alias("product_id"), (-e["neg"]).alias("count"))).alias("top"))
 
 

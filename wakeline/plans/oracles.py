@@ -290,3 +290,8 @@ ORACLES["stream_topk_approx"] = _with(
 ORACLES["stream_funnel"] = ORACLES["funnel"]
 ORACLES["stream_rapid_purchase_staged"] = ORACLES["rapid_purchase_staged"]
 ORACLES["stream_rapid_purchases_timers"] = ORACLES["rapid_purchases"]
+ORACLES["stream_rank_movement"] = ORACLES["rank_movement"]
+ORACLES["stream_new_account_burst"] = ORACLES["new_account_burst"]
+ORACLES["stream_concurrent_sessions"] = _with(
+    """SELECT at_ms, CAST(sum(sum(d)) OVER (ORDER BY at_ms) AS BIGINT) AS open
+       FROM (SELECT window_start_ms AS at_ms, 1 AS d FROM sess UNION ALL SELECT window_end_ms, -1 FROM sess) GROUP BY at_ms""", _SESSIONS)

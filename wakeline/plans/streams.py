@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +19,7 @@ from wakeline.operators import joins, patterns, stages, topk, windows
 from wakeline.plans.queries import query
 from wakeline.session import DEFAULTS, shared_dir
 from wakeline.sources import activity as src
-from wakeline.streaming import fanout, late_sessions, refiring
+from wakeline.streaming import accounts, concurrency, fanout, late_sessions, movement, refiring
 from wakeline.streaming.bursts import rapid_purchases_stream
 from wakeline.streaming.run import AVAILABLE_NOW, finish, start
 
@@ -63,8 +64,8 @@ def _feed(spark: SparkSession, sf_dir: str, folder: str, start_query: Callable[[
 
 
 def _run(spark: SparkSession, sf_dir: str, label: str, build: Callable[..., DataFrame],
-         sink: Callable[[str], Callable[[DataFrame, int], None]] | None = None) -> DataFrame:
-    """Run ``build(views, purchases)`` over the table, then go on from its checkpoint with the flush.
+         sink: Callable[[str], Callable[[DataFrame, int], None]] | None = None, reads: tuple = (src.page_views, src.purchases)) -> DataFrame:
+    """Run ``build(views, purchases)``, or what ``reads`` names, over the table, then go on from its checkpoint with the flush.
 
     ``sink`` makes a sink for the folder whose sub-folders are to be read, instead of one Parquet table.
     """
@@ -78,7 +79,7 @@ def _run(spark: SparkSession, sf_dir: str, label: str, build: Callable[..., Data
         both = read(spark, sf_dir, streaming=True).unionByName(read(spark, flush_dir, streaming=True))
         return with_watermark(both, HOUR)
 
-    df = build(lambda: source(src.page_views), lambda: source(src.purchases))
+    df = build(*[partial(source, read) for read in reads])
 
     def work_off() -> None:
         finish(start(df, sink(f"{folder}/out") if sink else "parquet", f"{folder}/checkpoint", None if sink else f"{folder}/out",
@@ -170,3 +171,19 @@ def stream_topk_approx(spark, sf_dir):
 def stream_funnel(spark, sf_dir):
     return joins.funnel_totals(_run(spark, sf_dir, "funnel", lambda views, purchases: joins.funnel_stream(views(), purchases(), 6 * HOUR)).filter(
         F.col("view_ts") < int(FLUSH_TIME.replace(tzinfo=timezone.utc).timestamp()) * 1000))
+
+
+@query
+def stream_concurrent_sessions(spark, sf_dir):
+    return _run(spark, sf_dir, "concurrency", lambda views, purchases: concurrency.concurrent_sessions(views(), 6 * HOUR, HOUR))
+
+
+@query
+def stream_rank_movement(spark, sf_dir):
+    return _run(spark, sf_dir, "movement", lambda views, purchases: movement.rank_movement_stream(views(), 10, DAY, chunk=7 * DAY))
+
+
+@query
+def stream_new_account_burst(spark, sf_dir):
+    return _run(spark, sf_dir, "accounts", lambda activity, purchases: accounts.new_account_bursts_stream(
+        rapid_purchases_stream(purchases(), 3, DAY, timed=True), activity(), 7 * DAY), reads=(src.activity, src.purchases))

@@ -7,89 +7,23 @@ and is for alerts that cannot wait for the cell.
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Iterator
-from itertools import accumulate
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
+from wakeline.functions.timecols import SECOND
+from wakeline.operators.patterns import above_watermark
+from wakeline.streaming.stages import staged_purchases_stream
 
-from wakeline.functions.timecols import SECOND, ms
-from wakeline.operators.patterns import above_watermark, cell_width, spread_over_cells, units, units_to_usd
 
-_EVENT = StructType([StructField("t", LongType()), StructField("product_id", StringType()),
-                     StructField("units", LongType()), StructField("done", BooleanType())])
-_RUN = StructType([StructField("user_id", StringType()), StructField("purchase_count", IntegerType()),
-                   StructField("total_units", LongType()), StructField("first_ts", LongType()),
-                   StructField("last_ts", LongType())])
-
-
-class BurstProcessor(StatefulProcessor):
-    """Buffers events until the watermark reaches them, then extends the open runs in time order.
+def rapid_purchases_stream(purchases: DataFrame, min_times: int = 3, within: int = 10 * SECOND,
+                           where: Column | None = None, timed: bool = False) -> DataFrame:
+    """The alerts of ``patterns.rapid_purchases`` (``min_times`` of two or more) without delay: two-stage patterns of which every
+    event meets both conditions.
 
-    State per (user, time cell): the events, each with a mark once it has been worked off; empty
-    again when the cell is over.  Spark drops rows at or behind the watermark of the batch before,
-    which is exactly as far as events have been worked off, so no row arrives for a time that is
-    already done.  A cell with too few events for a run costs one write and one timer.
+    Needs a watermark on ``ts`` and the RocksDB state store.  A call reads the events of the last ``within`` ms, not those
+    of the whole cell.  ``timed``: the alerts have an event time ``ts``, that of their last event.
     """
-
-    def __init__(self, min_times: int, within: int, width: int):
-        self.min_times = min_times
-        self.within = within
-        self.width = width
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.events = handle.getListState("events", _EVENT)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        fresh = [(row.t, row.product_id, row.units, False) for row in rows]
-        held = list(self.events.get())
-        self.events.appendList(fresh)
-        if not held:
-            self.handle.registerTimer(key[1] + self.width)
-        if len(held) + len(fresh) >= self.min_times:
-            self.handle.registerTimer(min(e[0] for e in held + fresh if not e[3]))
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        user, cell = key
-        now = timerValues.getCurrentWatermarkInMs()
-        events = sorted(self.events.get(), key=lambda e: (e[0], e[1] or "", e[2] or 0))
-        reached = bisect_right(events, now, key=lambda e: e[0])
-        waiting = [tuple(e) for e in events[reached:]]
-        paid = list(accumulate((e[2] or 0 for e in events[:reached]), initial=0))
-        start = 0  # the first event less than ``within`` before the current one
-        for j, (t, _, _, done) in enumerate(events[:reached]):
-            while t - events[start][0] >= self.within:
-                start += 1
-            if done or t < cell:
-                continue  # reported before, or a copy whose runs end in its own cell
-            for i in range(j - self.min_times + 1, start - 1, -1):
-                yield Row(user_id=user, purchase_count=j - i + 1, total_units=paid[j + 1] - paid[i], first_ts=events[i][0], last_ts=t)
-        live = [(t, product, amount, True) for t, product, amount, _ in events[start:reached]]
-        kept = [e for e in live if now - e[0] < self.within and now < cell + self.width] + waiting
-        if kept:
-            self.events.put(kept)
-        elif events:
-            self.events.clear()
-        if waiting and len(kept) >= self.min_times:
-            self.handle.registerTimer(waiting[0][0])
-
-
-def rapid_purchases_stream(purchases: DataFrame, min_times: int = 3, within: int = 10 * SECOND,
-                           where: Column | None = None) -> DataFrame:
-    """The alerts of ``patterns.rapid_purchases`` without delay; needs a watermark on ``ts`` and
-    the RocksDB state store."""
+    if min_times < 2:
+        raise ValueError("min_times must be at least 2")
     if where is not None:
         purchases = purchases.filter(above_watermark(where))
-    events = purchases.select("user_id", "ts", ms().alias("t"), "product_id",
-                              units().alias("units"))
-    cells = spread_over_cells(events.filter(F.col("t").isNotNull() & F.col("user_id").isNotNull()), within)
-    runs = cells.groupBy("user_id", "cell").transformWithState(
-        BurstProcessor(min_times, within, cell_width(within)), outputStructType=_RUN, outputMode="append",
-        timeMode="eventTime")
-    return runs.select("user_id", "purchase_count",
-                       units_to_usd(F.col("total_units")).alias("total_amount_usd"),
-                       "first_ts", "last_ts", (F.col("last_ts") - F.col("first_ts")).alias("span_ms"))
+    return staged_purchases_stream(purchases, F.lit(True), F.lit(True), min_times - 1, within, timed=timed)

@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType)
+from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType, TimestampType)
 
 from wakeline.functions.timecols import ms
 from wakeline.operators.patterns import above_watermark, cell_width, spread_over_cells, units, units_to_usd
 from wakeline.operators.stages import flags
+from wakeline.streaming.clock import moment
 
 _SLOT = StructType([StructField("start", LongType())])
 _EVENTS = StructType([StructField("events", ArrayType(StructType([
@@ -19,7 +20,7 @@ _EVENTS = StructType([StructField("events", ArrayType(StructType([
     StructField("more", BooleanType()), StructField("units", LongType())])))])
 _TIME = StructType([StructField("t", LongType())])
 _MATCH = StructType([StructField("user_id", StringType()), StructField("purchase_count", IntegerType()),
-                     StructField("total_units", LongType()), StructField("first_ts", LongType()), StructField("last_ts", LongType())])
+                     StructField("total_units", LongType()), StructField("first_ts", LongType()), StructField("last_ts", LongType()), StructField("ts", TimestampType())])
 
 
 class StagedProcessor(StatefulProcessor):
@@ -102,7 +103,7 @@ class StagedProcessor(StatefulProcessor):
                     low = bisect_right(times, t - self.within)
                     high = bisect_right(counts, mores - self.min_more)
                     for at, n, base in starts[low:high]:
-                        yield Row(user_id=user, purchase_count=mores - n + 1, total_units=paid - base, first_ts=at, last_ts=t)
+                        yield Row(user_id=user, purchase_count=mores - n + 1, total_units=paid - base, first_ts=at, last_ts=t, ts=moment(t))
             if first:
                 starts.append((t, mores, (before if more else paid - amount)))
                 times.append(t)
@@ -110,9 +111,11 @@ class StagedProcessor(StatefulProcessor):
 
 
 def staged_purchases_stream(purchases: DataFrame, first: Column, more: Column, min_more: int, within: int,
-                            order: tuple[str, ...]) -> DataFrame:
+                            order: tuple[str, ...] = ("product_id", "amount_usd"), timed: bool = False) -> DataFrame:
     """``stages.staged_purchases`` on a stream; needs a watermark on ``ts`` and the RocksDB state store.
 
+    With ``timed`` the alerts have an event time ``ts``, that of their last event, for stateful steps that follow.
+
     State per (user, time cell) is the events of at most the open cell; a busy user's cells are keys of their own.
     """
     named = purchases.withColumns(dict(zip(("first", "more"), flags(first, more))))
@@ -122,9 +125,11 @@ def staged_purchases_stream(purchases: DataFrame, first: Column, more: Column, m
     events = named.select("user_id", "ts", ms().alias("t"), F.concat_ws("\0", *parts).alias("rank"), "first", "more", units().alias("units"))
     cells = spread_over_cells(events.filter(F.col("t").isNotNull() & F.col("user_id").isNotNull()), within)
     found = cells.groupBy("user_id", "cell").transformWithState(
-        StagedProcessor(min_more, within, cell_width(within)), outputStructType=_MATCH, outputMode="append", timeMode="eventTime")
-    return found.select("user_id", "purchase_count", units_to_usd(F.col("total_units")).alias("total_amount_usd"),
-                        "first_ts", "last_ts", (F.col("last_ts") - F.col("first_ts")).alias("span_ms"))
+        StagedProcessor(min_more, within, cell_width(within)), outputStructType=_MATCH, outputMode="append", timeMode="eventTime",
+        eventTimeColumnName="ts" if timed else "")
+    alerts = found.select("user_id", "purchase_count", units_to_usd(F.col("total_units")).alias("total_amount_usd"),
+                        "first_ts", "last_ts", (F.col("last_ts") - F.col("first_ts")).alias("span_ms"), "ts")
+    return alerts if timed else alerts.drop("ts")
 
 
 def _sortable(df: DataFrame, column: str) -> Column:
