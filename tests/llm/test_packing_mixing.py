@@ -1,6 +1,7 @@
 """Packing by exact round trip, mixing against plain Python."""
 
 import hashlib
+import random
 import re
 import struct
 import zlib
@@ -181,9 +182,13 @@ def plain_mix(rows, repeats=3, weights=(1, 2, 3)):
 
 
 def mixed(docs):
+    """What is served from the sorted queue, which is what every document takes of its own turns before time 1."""
     from pyspark.sql import functions as F
+    rows = lambda df: sorted(((r[0], r[1], r[2], round(r[3], 6), r[4]) for r in df.collect()), key=repr)
     turns = mixing.queue(docs).select("doc_id", "size", "source_size", "target", F.expr("aggregate(copies, 0L, (a, c) -> a + c.taken)").alias("taken"))
-    return sorted(((r[0], r[1], r[2], round(r[3], 6), r[4]) for r in turns.collect()), key=repr)
+    served = rows(mixing.serve(docs))
+    assert served == rows(turns)
+    return served
 
 
 def test_mixing(spark):
@@ -201,12 +206,42 @@ def test_mixing(spark):
 
 def test_mixing_edges(spark):
     schema = "doc_id long, text string, source string"
-    assert mixing.queue(spark.createDataFrame([], schema)).collect() == []
+    assert mixing.queue(spark.createDataFrame([], schema)).collect() == mixing.serve(spark.createDataFrame([], schema)).collect() == []
     assert mixed(spark.createDataFrame([(1, None, None), (2, "", "a")], schema)) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
     twice = spark.createDataFrame([(None, "a b", "s"), (None, "a b", "s"), (1, "c", "s")], schema)
     assert sorted(r[4] for r in mixed(twice)) == [1, 2, 2]
 
 
+def test_rows_without_words_and_clashing_names(spark):
+    rows = [(None, None, None)] * 5 + [(None, "", "s")] * 4 + [(7, " \n", "s")] * 3 + [(8, "a b c", "s")] * 2 + [(9, "d", None)]
+    docs = spark.createDataFrame([(*r, 1, "k", 2, 3) for r in rows],
+                                 "doc_id long, text string, source string, taken int, _key string, _nth int, _served int")
+    got = mixing.serve(docs)
+    assert got.columns == ["doc_id", "size", "source_size", "target", "taken"]
+    assert sorted(((r[0], r[1], r[2], round(r[3], 6), r[4]) for r in got.collect()), key=repr) == plain_mix(rows)
+
+
+def test_targets_by_ranges(spark):
+    rng = random.Random(4)
+    sizes = {None: 70, **{f"h{i}": rng.choice([0, 1, 5, 40, 900, 40_000]) for i in range(300)}}
+    df = spark.createDataFrame(list(sizes.items()), "source string, size long").repartition(5)
+    got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
+    want = {}
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: i % 3 + 1 for i, s in enumerate(names)}
+    free = set(names)
+    while True:
+        left = sum(sizes.values()) - sum(want.values())
+        over = {s for s in free if left * weight[s] > 3 * sizes[s] * sum(weight[f] for f in free)}
+        if not over:
+            break
+        want |= {s: 3.0 * sizes[s] for s in over}
+        free -= over
+    want |= {s: left * weight[s] / sum(weight[f] for f in free) for s in free}
+    assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 for s in want)
+    assert sum(got[s] == 3 * sizes[s] for s in got) > 50
+
+
 def test_mixing_table_against_sql(spark):
     from tests.compare import duck, spark_rows, sql_rows
     from wakeline.llm.queries import ORACLES, QUERIES

@@ -68,9 +68,7 @@ def minmax_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = mixing.queue(_documents(spark, sf_dir).select("doc_id", "text", "source"))
-    return turns.select("doc_id", "size", "source_size", "target", F.aggregate(
-        "copies", F.lit(0).cast("long"), lambda a, c: a + c["taken"]).alias("taken"))
+    return mixing.serve(_documents(spark, sf_dir).select("doc_id", "text", "source"))
 
 
 def _replanted(rows):
