@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -177,3 +178,18 @@ def test_tables_agree_with_plain_python(spark):
         name = lambda spans: ",".join(f"{secrets.KINDS[k]}:{a}:{e}" for a, k, e in spans)
         assert r["spans"] == name(full) and r["base_sha256"] == hashlib.sha256(name(base).encode()).hexdigest()
         assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(k == j for _, k, _ in base) for j in range(3))
+
+
+def test_long_candidates_and_many_spans(spark):
+    rng = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    image = "".join(rng.choice(letters) for _ in range(60_000))
+    # repeats of one character around a single random window, found wherever it stands
+    hidden = "aB3" * 7_000 + image[:20] + "aB3" * 7_000
+    many = " ".join(f"token={image[i:i + 24]}" if i % 3 else image[i:i + 30] for i in range(3_000))
+    rows = [(1, f"x {image} y"), (2, hidden), (3, "aB3" * 14_000), (4, many)]
+    found = secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = {r["doc_id"]: [tuple(x) for x in r["secret_spans"]] for r in found}
+    assert spans[1] == [(2, 3, 60_002)] and spans[2] == [(0, 3, len(hidden))] and spans[3] == []
+    assert plain_entropy(hidden) >= secrets.BITS
+    assert spans[4] == plain_spans(many)[1]
