@@ -76,3 +76,43 @@ def test_wrapped_notices_and_addresses(spark):
 def test_long_gaps_are_linear(text):
     assert licenses.detect(text, {r[2] for r in licenses.RULES}) == []
     assert re.fullmatch(r"[\s\S]*", licenses.folded(text))
+
+
+def labels(text):
+    return [d[2] for d in licenses.detect(text.lower(), {r[2] for r in licenses.RULES})]
+
+
+def test_expressions():
+    assert labels("SPDX-License-Identifier: MIT OR Apache-2.0") == ["mit", "apache"]
+    assert labels("// SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note OR BSD-3-Clause)\n") == ["gpl", "bsd-3-clause"]
+    assert labels("SPDX-License-Identifier: ((MIT) AND (ISC OR Unknown-1.0))\nor mit") == ["mit", "isc"]
+    assert labels("SPDX-License-Identifier: MIT\nOr Apache-2.0") == ["mit"]
+    found = licenses.detect("spdx-license-identifier: mit or isc", {"spdx-license-identifier"})
+    assert [d[:2] for d in found] == [(0, 28), (32, 35)]
+
+
+def plain_settled(found):
+    """Rules in order of priority, longer spans first; one that lies in or around a chosen one goes."""
+    chosen = []
+    for f in sorted(found):
+        if all(not (set(range(*f[2:4])) <= set(range(*c[2:4])) or set(range(*c[2:4])) <= set(range(*f[2:4]))) for c in chosen):
+            chosen.append(f)
+    return sorted((f[2], f[3], f[4], f[5]) for f in chosen)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_suppression(seed):
+    rng = random.Random(seed)
+    found = []
+    for _ in range(rng.randint(1, 60)):
+        start, length = rng.randrange(50), rng.randint(1, 14)
+        found.append((-rng.randint(1, 5), -length, start, start + length, rng.choice("abc"), 0.5))
+    assert licenses.settled(found) == plain_settled(found)
+
+
+def test_many_mentions_are_fast():
+    import time
+    text = "under the mit license, or the apache license. " * 50_000
+    start = time.monotonic()
+    assert len(licenses.detect(text, {r[2] for r in licenses.RULES})) == 100_000
+    assert time.monotonic() - start < 60

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -146,16 +147,55 @@ def folded(low: str) -> str:
     return _GAPS.sub(" ", low)
 
 
+#: A tag with a whole expression behind it, and the names in one; what follows "with" is an exception to a licence.
+EXPRESSION = re.compile(r"spdx-license-identifier:\s*([( \t]*[\w.+-]+[) \t]*(?:(?<=[) \t])(?:or|and|with)(?=[( \t])[( \t]*[\w.+-]+[) \t]*)*)")
+_NAMES = re.compile(r"[\w.+-]+")
+_TAGS = [(label, re.compile(tag)) for label, _, _, tag, _, _ in FAMILIES]
+
+
+def _expressions(low: str) -> Iterator[tuple]:
+    """Detections of the names in tagged expressions; that of the first one begins with its tag, as in the tag rules."""
+    for m in EXPRESSION.finditer(low):
+        before = None
+        for name in _NAMES.finditer(m[1]):
+            if before in (None, "or", "and"):
+                label = next((label for label, tag in _TAGS if tag.fullmatch(name[0])), None)
+                if label:
+                    start, end = m.start() if before is None else m.start(1) + name.start(), m.start(1) + name.end()
+                    yield -5, start - end, start, end, label, 1.0
+            before = name[0]
+
+
+def settled(found: list[tuple]) -> list[tuple[int, int, str, float]]:
+    """(start, end, label, weight) of those (-priority, -length, start, end, label, weight) that are neither inside nor around one
+    that comes before them.
+
+    No kept one lies in another, so their ends have the order of their starts: of those that begin at or before a place
+    the last one reaches farthest, of those that begin there or later the first one ends first.
+    """
+    starts: list[int] = []
+    kept: list[tuple[int, int, str, float]] = []
+    for _, _, start, end, label, weight in sorted(found):
+        at = bisect_right(starts, start)
+        if at and kept[at - 1][1] >= end:
+            continue
+        at = bisect_left(starts, start)
+        if at < len(kept) and kept[at][1] <= end:
+            continue
+        starts.insert(at, start)
+        kept.insert(at, (start, end, label, weight))
+    return kept
+
+
 def detect(low: str, keywords: set[str]) -> list[tuple[int, int, str, float]]:
     """(start, end, label, weight) in a lower-cased text: of two detections, one inside the other,
-    only that of the rule that comes first stays; of one rule's equals the longer."""
+    only that of the rule that comes first stays; of one rule's equals the longer.  Of a tag with an expression, every
+    licence it names is a detection."""
     found = [(-p, m.start() - m.end(), m.start(), m.end(), label, weight) for p, label, word, pattern, weight in RULES
              if word in keywords for m in pattern.finditer(low) if m.end() > m.start()]
-    kept: list[tuple[int, int, str, float]] = []
-    for _, _, start, end, label, weight in sorted(found):
-        if not any((a <= start and end <= e) or (start <= a and e <= end) for a, e, _, _ in kept):
-            kept.append((start, end, label, weight))
-    return sorted(kept)
+    if "spdx-license-identifier" in keywords:
+        found += _expressions(low)
+    return settled(found)
 
 
 _WORD_BYTE = np.zeros(256, bool)
