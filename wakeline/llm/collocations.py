@@ -1,11 +1,11 @@
 """Phrase collocations: frequent phrases of neighbouring words, counted in tiles, level by level.
 
 The texts are coded once, in chunks of bounded size.  A chunk never sees the whole vocabulary: its
-distinct words, and later its distinct phrases, are joined with the frequent ones, and what comes back
-are the numbers of those it holds.  Numbers rank by frequency, so frequent pairs of (phrase, next word)
+distinct words, and later its distinct phrases, are merged with those of the other chunks, and what comes back
+are the numbers of the frequent ones it holds.  Numbers rank by frequency, so frequent pairs of (phrase, next word)
 fall into few tiles of the square of numbers; tiles with many pairs are counted by one ``bincount`` over
-their own addresses, the others as sorted coordinates.  Frequent pairs get ranks of their own and
-are the phrases of the next level.
+their own addresses, the others as sorted coordinates.  Counted pairs travel as sorted coordinates, one packed message
+for each chunk and bucket of pairs.  Frequent pairs get ranks of their own and are the phrases of the next level.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wakeline.llm.hashes import mixed
 from wakeline.llm.store import keep
 from wakeline.llm.words import parts, split
 
@@ -30,13 +31,36 @@ CHUNK_PLACES = 1 << 21
 #: Width of a tile, and the pairs that make a tile dense.
 TILE = 256
 DENSE = TILE * TILE // 4
+#: Words of the corpus for each bucket of pairs: no bucket has more counted pairs than that on average.
+BUCKET_WORDS = 1 << 21
 
 _CODED = "chunk long, own int, codes binary, langs array<string>, words array<string>, counts array<long>, names array<string>, totals array<long>"
-_PAIRS = "chunk long, codes binary, word_ids binary, places binary, left array<long>, right array<long>, counts array<long>"
+_PAIRS = "chunk long, own int, codes binary, word_ids binary, places binary, messages array<struct<bucket:int,start:int,keys:binary,counts:binary>>"
+_MERGED = "bucket int, chunk long, keys array<long>, counts array<long>, locals binary, hits binary"
+_FOUND = "held_in long, locals binary, ids binary"
+_MESSAGES = pa.list_(pa.struct([("bucket", pa.int32()), ("start", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
 
 
-def _ints(cell: pa.Scalar, kind=np.int32) -> np.ndarray:
-    return np.frombuffer(cell.as_buffer() or b"", kind)
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers from 0 in as few bytes as the largest needs, bytes of the same weight side by side, compressed."""
+    top = int(values.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)
+    raw = np.ascontiguousarray(values.astype(f"<u{width}")).view(np.uint8).reshape(-1, width).T
+    return len(values).to_bytes(8, "little") + bytes([width]) + pa.compress(raw.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(cell: bytes) -> np.ndarray:
+    n, width = int.from_bytes(cell[:8], "little"), cell[8]
+    raw = np.frombuffer(pa.decompress(cell[9:], n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(raw.T).view(f"<u{width}").ravel().astype(np.int64)
+
+
+def _ascending(values: np.ndarray) -> bytes:
+    return _packed(np.diff(values, prepend=0))
+
+
+def _summed(cell: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(cell))
 
 
 def _row(values: dict) -> pa.RecordBatch:
@@ -139,55 +163,106 @@ def count_pairs(left: np.ndarray, right: np.ndarray, n_left: int, n_right: int)
             np.concatenate((hits[taken], times)), place)
 
 
-def _counted(chunk: int, heads: np.ndarray, head_ids: np.ndarray, codes: np.ndarray, word_ids: np.ndarray, shift: int,
-             longest: int) -> pa.RecordBatch:
-    """Pairs of a phrase of ``shift`` words and the word behind it, with all that the next level needs."""
+def _counted(chunk: int, own: int, heads: np.ndarray, head_ids: np.ndarray, codes: np.ndarray, word_ids: np.ndarray, shift: int,
+             longest: int, n_words: int, buckets: int) -> pa.RecordBatch:
+    """Pairs of a phrase of ``shift`` words and the word behind it, with all that the next level needs.
+
+    Only places are counted at which the phrase and the one that begins a word later are both frequent; no other phrase
+    of one word more can be.  Places from ``own`` on belong to the next chunk: their pairs are listed but not counted.
+    """
     # places that no phrase still in the running can reach are left out
     reach = np.zeros(len(codes) + 1, np.int64)
     at = np.flatnonzero(heads >= 0)
     np.add.at(reach, at, 1)
     np.add.at(reach, np.minimum(at + longest, len(codes)), -1)
     near = np.cumsum(reach[:-1]) > 0
+    own = int(near[:own].sum())
     heads, codes = heads[near], codes[near]
-    at = np.flatnonzero((heads[:-shift] >= 0) & (codes[shift:] >= 0)) if len(codes) > shift else np.zeros(0, np.int64)
-    left, right, counts, place = count_pairs(heads[at].astype(np.int64), codes[at + shift].astype(np.int64), len(head_ids), len(word_ids))
-    places = np.full(len(codes), -1, np.int32)
-    places[at] = place
-    return _row({"chunk": (chunk, pa.int64()), "codes": (codes.astype(np.int32).tobytes(), pa.binary()), "word_ids": (word_ids.tobytes(), pa.binary()),
-                 "places": (places.tobytes(), pa.binary()), "left": (head_ids[left], _LONGS), "right": (word_ids[right], _LONGS),
-                 "counts": (counts, _LONGS)})
-
-
-def _renumbered(places: np.ndarray, frequent: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    at = np.zeros(0, np.int64)
+    if len(codes) > shift:
+        at = np.flatnonzero((heads[:-shift] >= 0) & (heads[1:len(heads) - shift + 1] >= 0) & (codes[shift:] >= 0))
+    left, right, _, place = count_pairs(heads[at].astype(np.int64), codes[at + shift].astype(np.int64), len(head_ids), len(word_ids))
+    counts = np.bincount(place[at < own], minlength=len(left))
+    # pairs are numbered by bucket and key, so that a message says where its first one stands and no more
+    keys = head_ids[left] * n_words + word_ids[right]
+    bucket = (mixed(keys.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((keys, bucket))
+    numbers = np.empty(len(order), np.int64)
+    numbers[order] = np.arange(len(order))
+    places = np.zeros(len(codes), np.int64)
+    places[at] = numbers[place] + 1
+    keys, counts, bucket = keys[order], counts[order], bucket[order]
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+    messages = [{"bucket": int(bucket[x]), "start": x, "keys": _ascending(keys[x:y]), "counts": _packed(counts[x:y])}
+                for x, y in zip(starts, starts[1:] + [len(keys)])]
+    return _row({"chunk": (chunk, pa.int64()), "own": (own, pa.int32()), "codes": (_packed(codes + 1), pa.binary()),
+                 "word_ids": (_ascending(word_ids), pa.binary()), "places": (_packed(places), pa.binary()), "messages": (messages, _MESSAGES)})
+
+
+def _merge(least: int):
+    """Sums of a bucket's pairs: one row of the frequent ones, and one for each chunk of which of its pairs these are."""
+    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("keys", _LONGS), ("counts", _LONGS), ("locals", pa.binary()),
+                        ("hits", pa.binary())])
+
+    def work(rows: pa.Table) -> pa.Table:
+        given = [_summed(x.as_py()) for x in rows["keys"]]
+        counts = np.concatenate([_unpacked(x.as_py()) for x in rows["counts"]])
+        keys, where = np.unique(np.concatenate(given), return_inverse=True)
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, where, counts)
+        frequent = sums >= least
+        number = np.cumsum(frequent) - 1
+        bucket = rows["bucket"][0].as_py()
+        out = [(bucket, None, keys[frequent], sums[frequent], None, None)] if frequent.any() else []
+        end = 0
+        for chunk, start, mine in zip(rows["chunk"].to_pylist(), rows["start"].to_pylist(), given):
+            here = where[end:end + len(mine)]
+            end += len(mine)
+            hit = np.flatnonzero(frequent[here])
+            if len(hit):
+                # keys ascend, so their numbers do too
+                out.append((bucket, chunk, None, None, _ascending(start + hit), _ascending(number[here[hit]])))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, schema.types)], schema=schema)
+
+    return work
+
+
+def _replies(hits: pa.Table, ranks: pa.Table) -> pa.Table:
+    """Ranks of the frequent pairs of a bucket, for each chunk that holds some."""
+    ids = np.zeros(ranks.num_rows, np.int64)
+    ids[ranks["hit"].to_numpy()] = ranks["id"].to_numpy()
+    given = [_packed(ids[_summed(x.as_py())]) for x in hits["hits"]]
+    return pa.table({"held_in": hits["chunk"], "locals": hits["locals"], "ids": pa.array(given, pa.binary())})
+
+
+def _renumbered(places: np.ndarray, local: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places as numbers of the frequent items held here, in order of rank (-1: not frequent), and their ids."""
-    local, ids = frequent["local"].to_numpy(), frequent["id"].to_numpy()
     by_rank = np.argsort(ids)
     # the last entry is for places that hold nothing
-    table = np.full(max(int(places.max(initial=-1)), int(local.max(initial=-1))) + 2, -1, np.int32)
-    table[local[by_rank]] = np.arange(len(ids), dtype=np.int32)
-    return table[places], ids[by_rank].astype(np.int64)
+    table = np.full(max(int(places.max(initial=-1)), int(local.max(initial=-1))) + 2, -1, np.int64)
+    table[local[by_rank]] = np.arange(len(ids))
+    return table[places], ids[by_rank]
 
 
-def _next_level(chunks: DataFrame, frequent: DataFrame, shift: int, longest: int) -> DataFrame:
+def _next_level(chunks: DataFrame, frequent: DataFrame, shift: int, longest: int, n_words: int, buckets: int) -> DataFrame:
     """Count phrases of ``shift`` + 1 words in chunks whose frequent phrases of ``shift`` words are known."""
     def work(held: pa.Table, found: pa.Table) -> pa.Table:
         out = []
         if held.num_rows and found.num_rows:
-            row = {c: held[c][0] for c in held.column_names}
-            codes = _ints(row["codes"])
+            row = {c: held[c][0].as_py() for c in held.column_names}
             if shift == 1:
-                codes, word_ids = _renumbered(codes, found)
-                heads, head_ids = codes.copy(), word_ids
-                heads[row["own"].as_py():] = -1
+                codes, word_ids = _renumbered(np.frombuffer(row["codes"], np.int32), found["local"].to_numpy(), found["id"].to_numpy())
+                heads, head_ids = codes, word_ids
             else:
-                word_ids = _ints(row["word_ids"], np.int64)
-                heads, head_ids = _renumbered(_ints(row["places"]), found)
-            out.append(_counted(row["chunk"].as_py(), heads, head_ids, codes, word_ids, shift, longest))
-        empty = pa.schema([("chunk", pa.int64()), ("codes", pa.binary()), ("word_ids", pa.binary()), ("places", pa.binary()),
-                           ("left", _LONGS), ("right", _LONGS), ("counts", _LONGS)])
+                codes, word_ids = _unpacked(row["codes"]) - 1, _summed(row["word_ids"])
+                heads, head_ids = _renumbered(_unpacked(row["places"]) - 1, np.concatenate([_summed(x.as_py()) for x in found["locals"]]),
+                                              np.concatenate([_unpacked(x.as_py()) for x in found["ids"]]))
+            out.append(_counted(row["chunk"], row["own"], heads, head_ids, codes, word_ids, shift, longest, n_words, buckets))
+        empty = pa.schema([("chunk", pa.int64()), ("own", pa.int32()), ("codes", pa.binary()), ("word_ids", pa.binary()),
+                           ("places", pa.binary()), ("messages", _MESSAGES)])
         return pa.Table.from_batches(out, empty)
 
-    columns = ["chunk", "codes", "own"] if shift == 1 else ["chunk", "codes", "word_ids", "places"]
+    columns = ["chunk", "own", "codes"] if shift == 1 else ["chunk", "own", "codes", "word_ids", "places"]
     return chunks.select(*columns).groupBy("chunk").cogroup(frequent.groupBy("held_in")).applyInArrow(work, _PAIRS)
 
 
@@ -208,24 +283,25 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5) -> tup
     and (lang, n) with the words of each language."""
     chunks = keep(_chunks(docs, longest), "coded")
     n = chunks.select(F.inline(F.arrays_zip("names", "totals"))).groupBy(F.col("names").alias("lang")).agg(F.sum("totals").alias("n"))
-    key, cells = ["langs", "words"], chunks.select("chunk", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("local", "c"))
-    levels: list[DataFrame] = []
-    for k in range(1, longest + 1):
-        cells = cells.select("chunk", "local", "c.*")
-        counted = cells.groupBy(*key).agg(F.sum("counts").alias("f")).filter(F.col("f") >= least)
-        items = keep(ranked(counted, F.desc("f"), *key), f"frequent-{k}")
-        if k == 1:
-            level = items.select("id", F.col("langs").alias("lang"), F.col("words").alias("phrase"), "f")
-        else:
-            heads = levels[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("head"))
-            words = levels[0].select(F.col("id").alias("right"), F.col("phrase").alias("word"))
-            level = keep(items.join(heads, "left").join(words, "right").select("id", "lang", F.concat_ws(" ", "head", "word").alias("phrase"), "f"),
-                         f"phrases-{k}")
-        levels.append(level)
-        if k < longest:
-            held = cells.join(items.select(*key, "id"), key).select(F.col("chunk").alias("held_in"), "local", "id")
-            chunks = keep(_next_level(chunks, held, k, longest), f"pairs-{k + 1}")
-            key, cells = ["left", "right"], chunks.select("chunk", F.posexplode(F.arrays_zip("left", "right", "counts")).alias("local", "c"))
+    cells = chunks.select("chunk", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("local", "c")).select("chunk", "local", "c.*")
+    counted = cells.groupBy("langs", "words").agg(F.sum("counts").alias("f")).filter(F.col("f") >= least)
+    items = keep(ranked(counted, F.desc("f"), "langs", "words"), "frequent-1")
+    levels = [items.select("id", F.col("langs").alias("lang"), F.col("words").alias("phrase"), "f")]
+    found = cells.join(items.select("langs", "words", "id"), ["langs", "words"]).select(F.col("chunk").alias("held_in"), "local", "id")
+    n_words = max(items.count(), 1)
+    buckets = (n.agg(F.sum("n")).first()[0] or 0) // BUCKET_WORDS + 1
+    for k in range(2, longest + 1):
+        chunks = keep(_next_level(chunks, found, k - 1, longest, n_words, buckets), f"pairs-{k}")
+        merged = keep(chunks.select("chunk", F.inline("messages")).groupBy("bucket").applyInArrow(_merge(least), _MERGED), f"merged-{k}")
+        pairs = merged.filter("chunk is null").select("bucket", F.posexplode(F.arrays_zip("keys", "counts")).alias("hit", "c")).select(
+            "bucket", "hit", F.expr(f"c.keys div {n_words}").alias("left"), F.expr(f"c.keys % {n_words}").alias("right"), F.col("c.counts").alias("f"))
+        items = keep(ranked(pairs, F.desc("f"), "left", "right"), f"frequent-{k}")
+        heads = levels[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("head"))
+        words = levels[0].select(F.col("id").alias("right"), F.col("phrase").alias("word"))
+        levels.append(keep(items.join(heads, "left").join(words, "right").select("id", "lang", F.concat_ws(" ", "head", "word").alias("phrase"), "f"),
+                           f"phrases-{k}"))
+        found = merged.filter("chunk is not null").select("bucket", "chunk", "locals", "hits").groupBy("bucket").cogroup(
+            items.select("bucket", "hit", "id").groupBy("bucket")).applyInArrow(_replies, _FOUND)
     phrases = None
     for k, level in enumerate(levels, 1):
         level = level.select("lang", "phrase", F.lit(k).alias("k"), "f")
