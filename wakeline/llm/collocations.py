@@ -2,10 +2,11 @@
 
 The texts are coded once, in chunks of bounded size.  A chunk never sees the whole vocabulary: its
 distinct words, and later its distinct phrases, are merged with those of the other chunks, and what comes back
-are the numbers of the frequent ones it holds.  Numbers rank by frequency, so frequent pairs of (phrase, next word)
-fall into few tiles of the square of numbers; tiles with many pairs are counted by one ``bincount`` over
-their own addresses, the others as sorted coordinates.  Counted pairs travel as sorted coordinates, one packed message
-for each chunk and bucket of pairs.  Frequent pairs get ranks of their own and are the phrases of the next level.
+are the numbers of the frequent ones it holds.  Numbers rank by frequency, so frequent pairs fall into few
+tiles of the square of numbers; tiles with many pairs are counted by one ``bincount`` over their own addresses, the
+others as sorted coordinates.  Counted words and pairs travel sorted, one packed message for each chunk and bucket.
+Frequent pairs get ranks of their own and are the phrases of the next level; a phrase of k + 1 words is the pair of
+the phrases of k words at its first and second word.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.hashes import mixed
+from wakeline.llm.hashes import mixed, span, sums
 from wakeline.llm.store import keep
 from wakeline.llm.words import parts, split
 
@@ -31,14 +32,19 @@ CHUNK_PLACES = 1 << 21
 #: Width of a tile, and the pairs that make a tile dense.
 TILE = 256
 DENSE = TILE * TILE // 4
-#: Words of the corpus for each bucket of pairs: no bucket has more counted pairs than that on average.
+#: Words of the corpus for each bucket of pairs, which has at most as many counted pairs on average, and bytes of
+#: text for each bucket of words.
 BUCKET_WORDS = 1 << 21
+BUCKET_BYTES = 1 << 26
 
-_CODED = "chunk long, own int, codes binary, langs array<string>, words array<string>, counts array<long>, names array<string>, totals array<long>"
-_PAIRS = "chunk long, own int, codes binary, word_ids binary, places binary, messages array<struct<bucket:int,start:int,keys:binary,counts:binary>>"
-_MERGED = "bucket int, chunk long, keys array<long>, counts array<long>, locals binary, hits binary"
+_CODED = ("chunk long, own int, places binary, numbers binary, messages array<struct<bucket:int,start:int,sizes:binary,words:binary,counts:binary>>, "
+          "names array<string>, totals array<long>")
+_PAIRS = "chunk long, own int, places binary, messages array<struct<bucket:int,start:int,left:binary,right:binary,counts:binary>>"
 _FOUND = "held_in long, locals binary, ids binary"
-_MESSAGES = pa.list_(pa.struct([("bucket", pa.int32()), ("start", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
+
+
+def _message(*fields: str) -> pa.DataType:
+    return pa.list_(pa.struct([("bucket", pa.int32()), ("start", pa.int32()), *((f, pa.binary()) for f in fields)]))
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -63,6 +69,11 @@ def _summed(cell: bytes) -> np.ndarray:
     return np.cumsum(_unpacked(cell))
 
 
+def _runs(bucket: np.ndarray) -> list[tuple[int, int]]:
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+    return list(zip(starts, starts[1:] + [len(bucket)]))
+
+
 def _row(values: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: pa.array([v], t) for k, (v, t) in values.items()})
 
@@ -102,7 +113,29 @@ def _chunk_rows(codes: np.ndarray, langs: pa.Array, words: pa.Array, longest: in
         yield own, local.astype(np.int32), langs.take(at), words.take(at), counts
 
 
-def _chunks(docs: DataFrame, longest: int) -> DataFrame:
+def _word_messages(langs: pa.Array, words: pa.Array, counts: np.ndarray, buckets: int) -> tuple[np.ndarray, list[dict]]:
+    """The words by bucket and in byte order, as places in the given arrays and as messages."""
+    # a word holds no line end, so the last one ends the language
+    keys = pc.binary_join_element_wise(langs, words, pa.scalar("\n", pa.large_string())).cast(pa.large_binary())
+    if not len(keys):
+        return np.zeros(0, np.int64), []
+    keys = pa.concat_arrays([keys])
+    ends = np.frombuffer(keys.buffers()[1], np.int64)[keys.offset:keys.offset + len(keys) + 1]
+    raw = np.frombuffer(keys.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+    ends = ends - ends[0]
+    bucket = (span(sums(raw), ends[:-1], ends[1:]) % np.uint64(buckets)).astype(np.int64)
+    order = pc.sort_indices(keys).to_numpy().astype(np.int64)
+    order = order[np.argsort(bucket[order], kind="stable")]
+    keys, counts, sizes = keys.take(pa.array(order)), counts[order], np.diff(ends)[order]
+    out = []
+    for x, y in _runs(bucket[order]):
+        data = b"".join(keys.slice(x, y - x).to_pylist())
+        out.append({"bucket": int(bucket[order[x]]), "start": x, "sizes": _packed(sizes[x:y]),
+                    "words": _packed(np.frombuffer(data, np.uint8)), "counts": _packed(counts[x:y])})
+    return order, out
+
+
+def _chunks(docs: DataFrame, longest: int, buckets: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
 
@@ -112,10 +145,14 @@ def _chunks(docs: DataFrame, longest: int) -> DataFrame:
             for one in rows:
                 for own, codes, langs, words, counts in _chunk_rows(*_coded(one), longest):
                     totals = pa.table({"lang": langs, "n": counts}).group_by("lang").aggregate([("n", "sum")])
-                    yield _row({"chunk": (number, pa.int64()), "own": (own, pa.int32()), "codes": (codes.tobytes(), pa.binary()),
-                                "langs": (langs.to_pylist(), _STRINGS), "words": (words.to_pylist(), _STRINGS),
-                                "counts": (counts, _LONGS), "names": (totals["lang"].to_pylist(), _STRINGS),
-                                "totals": (totals["n_sum"].to_pylist(), _LONGS)})
+                    order, messages = _word_messages(langs, words, counts, buckets)
+                    # frequent words get small numbers, which pack better
+                    by_count = np.zeros(len(counts) + 1, np.int64)
+                    by_count[np.argsort(-counts, kind="stable")] = np.arange(1, len(counts) + 1)
+                    yield _row({"chunk": (number, pa.int64()), "own": (own, pa.int32()), "places": (_packed(by_count[codes]), pa.binary()),
+                                "numbers": (_packed(by_count[order] - 1), pa.binary()),
+                                "messages": (messages, _message("sizes", "words", "counts")),
+                                "names": (totals["lang"].to_pylist(), _STRINGS), "totals": (totals["n_sum"].to_pylist(), _LONGS)})
                     number += 1
 
         gathered, held = [], 0
@@ -163,75 +200,90 @@ def count_pairs(left: np.ndarray, right: np.ndarray, n_left: int, n_right: int)
             np.concatenate((hits[taken], times)), place)
 
 
-def _counted(chunk: int, own: int, heads: np.ndarray, head_ids: np.ndarray, codes: np.ndarray, word_ids: np.ndarray, shift: int,
-             longest: int, n_words: int, buckets: int) -> pa.RecordBatch:
-    """Pairs of a phrase of ``shift`` words and the word behind it, with all that the next level needs.
+def _counted(chunk: int, own: int, heads: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Pairs of frequent phrases that begin at neighbouring words.
 
-    Only places are counted at which the phrase and the one that begins a word later are both frequent; no other phrase
-    of one word more can be.  Places from ``own`` on belong to the next chunk: their pairs are listed but not counted.
+    Places from ``own`` on belong to the next chunk: their pairs are listed but not counted.
     """
-    # places that no phrase still in the running can reach are left out
-    reach = np.zeros(len(codes) + 1, np.int64)
-    at = np.flatnonzero(heads >= 0)
-    np.add.at(reach, at, 1)
-    np.add.at(reach, np.minimum(at + longest, len(codes)), -1)
-    near = np.cumsum(reach[:-1]) > 0
+    # of the places that hold nothing, one behind each phrase keeps it from its next
+    near = heads >= 0
+    near[1:] |= heads[:-1] >= 0
     own = int(near[:own].sum())
-    heads, codes = heads[near], codes[near]
-    at = np.zeros(0, np.int64)
-    if len(codes) > shift:
-        at = np.flatnonzero((heads[:-shift] >= 0) & (heads[1:len(heads) - shift + 1] >= 0) & (codes[shift:] >= 0))
-    left, right, _, place = count_pairs(heads[at].astype(np.int64), codes[at + shift].astype(np.int64), len(head_ids), len(word_ids))
+    heads = heads[near]
+    at = np.flatnonzero((heads[:-1] >= 0) & (heads[1:] >= 0))
+    left, right, _, place = count_pairs(heads[at], heads[at + 1], len(ids), len(ids))
     counts = np.bincount(place[at < own], minlength=len(left))
-    # pairs are numbered by bucket and key, so that a message says where its first one stands and no more
-    keys = head_ids[left] * n_words + word_ids[right]
-    bucket = (mixed(keys.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((keys, bucket))
+    left, right = ids[left], ids[right]
+    bucket = (mixed(mixed(left.astype(np.uint64)) + right.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    # pairs are numbered in the order in which they are sent, so that a message says where its first one stands and no more
+    order = np.lexsort((right, left, bucket))
     numbers = np.empty(len(order), np.int64)
-    numbers[order] = np.arange(len(order))
-    places = np.zeros(len(codes), np.int64)
-    places[at] = numbers[place] + 1
-    keys, counts, bucket = keys[order], counts[order], bucket[order]
-    starts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
-    messages = [{"bucket": int(bucket[x]), "start": x, "keys": _ascending(keys[x:y]), "counts": _packed(counts[x:y])}
-                for x, y in zip(starts, starts[1:] + [len(keys)])]
-    return _row({"chunk": (chunk, pa.int64()), "own": (own, pa.int32()), "codes": (_packed(codes + 1), pa.binary()),
-                 "word_ids": (_ascending(word_ids), pa.binary()), "places": (_packed(places), pa.binary()), "messages": (messages, _MESSAGES)})
-
-
-def _merge(least: int):
-    """Sums of a bucket's pairs: one row of the frequent ones, and one for each chunk of which of its pairs these are."""
-    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("keys", _LONGS), ("counts", _LONGS), ("locals", pa.binary()),
-                        ("hits", pa.binary())])
+    numbers[order] = np.arange(1, len(order) + 1)
+    places = np.zeros(len(heads), np.int64)
+    places[at] = numbers[place]
+    left, right, counts, bucket = left[order], right[order], counts[order], bucket[order]
+    messages = [{"bucket": int(bucket[x]), "start": x, "left": _ascending(left[x:y]), "right": _packed(right[x:y]), "counts": _packed(counts[x:y])}
+                for x, y in _runs(bucket)]
+    return _row({"chunk": (chunk, pa.int64()), "own": (own, pa.int32()), "places": (_packed(places), pa.binary()),
+                 "messages": (messages, _message("left", "right", "counts"))})
+
+
+def _given_words(rows: pa.Table) -> tuple[list[int], np.ndarray, pa.Array, pa.Array]:
+    """Size of each message, number of each of its words among all in byte order, and these: languages and words."""
+    sizes = [_unpacked(x) for x in rows["sizes"].to_pylist()]
+    data = b"".join(_unpacked(x).astype(np.uint8).tobytes() for x in rows["words"].to_pylist())
+    ends = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    both = [k.decode().rpartition("\n") for k in coded.dictionary.take(pa.array(order)).to_pylist()]
+    return [len(x) for x in sizes], number[coded.indices.to_numpy()], pa.array([x for x, _, _ in both]), pa.array([y for _, _, y in both])
+
+
+def _given_pairs(rows: pa.Table) -> tuple[list[int], np.ndarray, pa.Array, pa.Array]:
+    """Size of each message, number of each of its pairs among all sorted, and these: left and right."""
+    lefts = [_summed(x) for x in rows["left"].to_pylist()]
+    left, right = np.concatenate(lefts), np.concatenate([_unpacked(x) for x in rows["right"].to_pylist()])
+    order = np.lexsort((right, left))
+    new = (np.diff(left[order], prepend=-1) != 0) | (np.diff(right[order], prepend=-1) != 0)
+    where = np.empty(len(order), np.int64)
+    where[order] = np.cumsum(new) - 1
+    return [len(x) for x in lefts], where, pa.array(left[order[new]]), pa.array(right[order[new]])
+
+
+def _merged(messages: DataFrame, least: int, given, kind: str) -> DataFrame:
+    """Sums of each bucket's items: one row of the frequent ones (chunk null), and one for each chunk of which of its items these are."""
+    items = pa.list_(pa.string() if kind == "string" else pa.int64())
+    schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("left", items), ("right", items), ("counts", _LONGS),
+                        ("locals", pa.binary()), ("hits", pa.binary())])
 
     def work(rows: pa.Table) -> pa.Table:
-        given = [_summed(x.as_py()) for x in rows["keys"]]
-        counts = np.concatenate([_unpacked(x.as_py()) for x in rows["counts"]])
-        keys, where = np.unique(np.concatenate(given), return_inverse=True)
-        sums = np.zeros(len(keys), np.int64)
-        np.add.at(sums, where, counts)
-        frequent = sums >= least
+        sizes, where, left, right = given(rows)
+        total = np.zeros(len(left), np.int64)
+        np.add.at(total, where, np.concatenate([_unpacked(x) for x in rows["counts"].to_pylist()]))
+        frequent = total >= least
         number = np.cumsum(frequent) - 1
-        bucket = rows["bucket"][0].as_py()
-        out = [(bucket, None, keys[frequent], sums[frequent], None, None)] if frequent.any() else []
-        end = 0
-        for chunk, start, mine in zip(rows["chunk"].to_pylist(), rows["start"].to_pylist(), given):
-            here = where[end:end + len(mine)]
-            end += len(mine)
+        bucket, end = rows["bucket"][0].as_py(), 0
+        kept = pa.array(frequent)
+        out = [(bucket, None, left.filter(kept).to_pylist(), right.filter(kept).to_pylist(), total[frequent], None, None)]
+        for chunk, start, n in zip(rows["chunk"].to_pylist(), rows["start"].to_pylist(), sizes):
+            here = where[end:end + n]
+            end += n
             hit = np.flatnonzero(frequent[here])
             if len(hit):
-                # keys ascend, so their numbers do too
-                out.append((bucket, chunk, None, None, _ascending(start + hit), _ascending(number[here[hit]])))
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, schema.types)], schema=schema)
+                out.append((bucket, chunk, None, None, None, _ascending(start + hit), _ascending(number[here[hit]])))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
-    return work
+    return messages.groupBy("bucket").applyInArrow(
+        work, f"bucket int, chunk long, left array<{kind}>, right array<{kind}>, counts array<long>, locals binary, hits binary")
 
 
 def _replies(hits: pa.Table, ranks: pa.Table) -> pa.Table:
-    """Ranks of the frequent pairs of a bucket, for each chunk that holds some."""
+    """Ranks of the frequent items of a bucket, for each chunk that holds some."""
     ids = np.zeros(ranks.num_rows, np.int64)
     ids[ranks["hit"].to_numpy()] = ranks["id"].to_numpy()
-    given = [_packed(ids[_summed(x.as_py())]) for x in hits["hits"]]
+    given = [_packed(ids[_summed(x)]) for x in hits["hits"].to_pylist()]
     return pa.table({"held_in": hits["chunk"], "locals": hits["locals"], "ids": pa.array(given, pa.binary())})
 
 
@@ -244,26 +296,22 @@ def _renumbered(places: np.ndarray, local: np.ndarray, ids: np.ndarray) -> tuple
     return table[places], ids[by_rank]
 
 
-def _next_level(chunks: DataFrame, frequent: DataFrame, shift: int, longest: int, n_words: int, buckets: int) -> DataFrame:
-    """Count phrases of ``shift`` + 1 words in chunks whose frequent phrases of ``shift`` words are known."""
+def _next_level(chunks: DataFrame, found: DataFrame, buckets: int) -> DataFrame:
+    """Count the pairs of frequent items in chunks, given which of their items are frequent."""
     def work(held: pa.Table, found: pa.Table) -> pa.Table:
         out = []
         if held.num_rows and found.num_rows:
             row = {c: held[c][0].as_py() for c in held.column_names}
-            if shift == 1:
-                codes, word_ids = _renumbered(np.frombuffer(row["codes"], np.int32), found["local"].to_numpy(), found["id"].to_numpy())
-                heads, head_ids = codes, word_ids
-            else:
-                codes, word_ids = _unpacked(row["codes"]) - 1, _summed(row["word_ids"])
-                heads, head_ids = _renumbered(_unpacked(row["places"]) - 1, np.concatenate([_summed(x.as_py()) for x in found["locals"]]),
-                                              np.concatenate([_unpacked(x.as_py()) for x in found["ids"]]))
-            out.append(_counted(row["chunk"], row["own"], heads, head_ids, codes, word_ids, shift, longest, n_words, buckets))
-        empty = pa.schema([("chunk", pa.int64()), ("own", pa.int32()), ("codes", pa.binary()), ("word_ids", pa.binary()),
-                           ("places", pa.binary()), ("messages", _MESSAGES)])
+            local = np.concatenate([_summed(x) for x in found["locals"].to_pylist()])
+            if "numbers" in row:
+                local = _unpacked(row["numbers"])[local]
+            ids = np.concatenate([_unpacked(x) for x in found["ids"].to_pylist()])
+            out.append(_counted(row["chunk"], row["own"], *_renumbered(_unpacked(row["places"]) - 1, local, ids), buckets))
+        empty = pa.schema([("chunk", pa.int64()), ("own", pa.int32()), ("places", pa.binary()), ("messages", _message("left", "right", "counts"))])
         return pa.Table.from_batches(out, empty)
 
-    columns = ["chunk", "own", "codes"] if shift == 1 else ["chunk", "own", "codes", "word_ids", "places"]
-    return chunks.select(*columns).groupBy("chunk").cogroup(frequent.groupBy("held_in")).applyInArrow(work, _PAIRS)
+    columns = [c for c in ("chunk", "own", "places", "numbers") if c in chunks.columns]
+    return chunks.select(*columns).groupBy("chunk").cogroup(found.groupBy("held_in")).applyInArrow(work, _PAIRS)
 
 
 def ranked(items: DataFrame, *order) -> DataFrame:
@@ -281,27 +329,29 @@ def ranked(items: DataFrame, *order) -> DataFrame:
 def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, k, f) of all phrases of one to ``longest`` words that occur ``least`` times in a language,
     and (lang, n) with the words of each language."""
-    chunks = keep(_chunks(docs, longest), "coded")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks = keep(_chunks(docs, longest, size // BUCKET_BYTES + 1), "coded")
     n = chunks.select(F.inline(F.arrays_zip("names", "totals"))).groupBy(F.col("names").alias("lang")).agg(F.sum("totals").alias("n"))
-    cells = chunks.select("chunk", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("local", "c")).select("chunk", "local", "c.*")
-    counted = cells.groupBy("langs", "words").agg(F.sum("counts").alias("f")).filter(F.col("f") >= least)
-    items = keep(ranked(counted, F.desc("f"), "langs", "words"), "frequent-1")
-    levels = [items.select("id", F.col("langs").alias("lang"), F.col("words").alias("phrase"), "f")]
-    found = cells.join(items.select("langs", "words", "id"), ["langs", "words"]).select(F.col("chunk").alias("held_in"), "local", "id")
-    n_words = max(items.count(), 1)
     buckets = (n.agg(F.sum("n")).first()[0] or 0) // BUCKET_WORDS + 1
-    for k in range(2, longest + 1):
-        chunks = keep(_next_level(chunks, found, k - 1, longest, n_words, buckets), f"pairs-{k}")
-        merged = keep(chunks.select("chunk", F.inline("messages")).groupBy("bucket").applyInArrow(_merge(least), _MERGED), f"merged-{k}")
-        pairs = merged.filter("chunk is null").select("bucket", F.posexplode(F.arrays_zip("keys", "counts")).alias("hit", "c")).select(
-            "bucket", "hit", F.expr(f"c.keys div {n_words}").alias("left"), F.expr(f"c.keys % {n_words}").alias("right"), F.col("c.counts").alias("f"))
-        items = keep(ranked(pairs, F.desc("f"), "left", "right"), f"frequent-{k}")
-        heads = levels[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("head"))
-        words = levels[0].select(F.col("id").alias("right"), F.col("phrase").alias("word"))
-        levels.append(keep(items.join(heads, "left").join(words, "right").select("id", "lang", F.concat_ws(" ", "head", "word").alias("phrase"), "f"),
-                           f"phrases-{k}"))
-        found = merged.filter("chunk is not null").select("bucket", "chunk", "locals", "hits").groupBy("bucket").cogroup(
-            items.select("bucket", "hit", "id").groupBy("bucket")).applyInArrow(_replies, _FOUND)
+    levels: list[DataFrame] = []
+    for k in range(1, longest + 1):
+        messages = chunks.select("chunk", F.inline("messages"))
+        merged = keep(_merged(messages, least, *((_given_words, "string") if k == 1 else (_given_pairs, "long"))), f"merged-{k}")
+        counted = merged.filter("chunk is null").select("bucket", F.posexplode(F.arrays_zip("left", "right", "counts")).alias("hit", "c")).select(
+            "bucket", "hit", "c.left", "c.right", F.col("c.counts").alias("f"))
+        items = keep(ranked(counted, F.desc("f"), "left", "right"), f"frequent-{k}")
+        if k == 1:
+            level = items.select("id", F.col("left").alias("lang"), F.col("right").alias("phrase"), "f")
+        else:
+            heads = levels[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("head"))
+            words = levels[-1].select(F.col("id").alias("right"), F.substring_index("phrase", " ", -1).alias("word"))
+            level = keep(items.join(heads, "left").join(words, "right").select("id", "lang", F.concat_ws(" ", "head", "word").alias("phrase"), "f"),
+                         f"phrases-{k}")
+        levels.append(level)
+        if k < longest:
+            found = merged.filter("chunk is not null").select("bucket", "chunk", "locals", "hits").groupBy("bucket").cogroup(
+                items.select("bucket", "hit", "id").groupBy("bucket")).applyInArrow(_replies, _FOUND)
+            chunks = keep(_next_level(chunks, found, buckets), f"pairs-{k + 1}")
     phrases = None
     for k, level in enumerate(levels, 1):
         level = level.select("lang", "phrase", F.lit(k).alias("k"), "f")
