@@ -98,6 +98,42 @@ def test_count_pairs(n_left, n_right, n, seed, dense):
     assert (a[place] == left).all() and (b[place] == right).all()
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.integers(1, 40), st.integers(0, 9), st.integers(1, 5))
+def test_levels_over_chunk_borders(width, seed, least):
+    """Pairs of neighbouring phrases, sent from chunks of any width and merged, are the frequent phrases of each length."""
+    words = np.random.default_rng(seed).integers(-1, 3, 90)
+    chunks = {}
+    for a in range(0, len(words), width):
+        chunks[a] = (min(width, len(words) - a), words[a:a + width + 4], np.arange(3))
+    names = [(w,) for w in range(3)]
+    for k in range(2, 6):
+        sent = []
+        for a, (own, heads, ids) in chunks.items():
+            row = collocations._counted(a, own, heads, ids, 3).to_pylist()[0]
+            sent += [{"chunk": a, **m} for m in row["messages"]]
+            chunks[a] = (row["own"], collocations._unpacked(row["places"]) - 1, ids)
+        total, held = Counter(), {a: [] for a in chunks}
+        for m in sent:
+            pairs = list(zip(collocations._summed(m["left"]).tolist(), collocations._unpacked(m["right"]).tolist()))
+            for i, (pair, n) in enumerate(zip(pairs, collocations._unpacked(m["counts"]).tolist())):
+                total[pair] += n
+                held[m["chunk"]].append((m["start"] + i, pair))
+        kept = sorted(p for p, n in total.items() if n >= least)
+        phrases = Counter(tuple(words[i:i + k].tolist()) for i in range(len(words) - k + 1) if words[i:i + k].min() >= 0)
+        assert {names[x] + names[y][-1:]: total[x, y] for x, y in kept} == {p: n for p, n in phrases.items() if n >= least}
+        rank = {p: i for i, p in enumerate(kept)}
+        names = [names[x] + names[y][-1:] for x, y in kept]
+        for a, (own, places, _) in chunks.items():
+            mine = [(local, rank[p]) for local, p in held[a] if p in rank]
+            chunks[a] = (own, *collocations._renumbered(places, np.array([x for x, _ in mine], np.int64), np.array([y for _, y in mine], np.int64)))
+
+
+@pytest.mark.parametrize("values", [[], [0], [255], [256, 0], [70_000, 3], [1 << 40, 1]])
+def test_packed(values):
+    assert collocations._unpacked(collocations._packed(np.array(values, np.int64))).tolist() == values
+
+
 def test_products_beyond_64_bits(spark, monkeypatch):
     big = 3_000_000_000_000
     phrases = spark.createDataFrame([("en", "a", 1, big), ("en", "b", 1, big + 7), ("en", "a b", 2, big - 1)], "lang string, phrase string, k int, f long")
