@@ -265,3 +265,16 @@ def test_line_table(spark):
     want = plain_clean(rows)
     for r in QUERIES["op3_line_dedup"](spark, SF).collect():
         assert r["kept_sha256"] == hashlib.sha256(want[r["doc_id"]].encode()).hexdigest()
+
+
+def test_line_dedup_with_clashing_names(spark):
+    """Columns named like the operator's own keep their values."""
+    body = " ".join(f"w{i}" for i in range(25))
+    names = ["_id", "_whole", "_n", "_partners", "_blocks", "row", "id", "whole", "first", "found"]
+    rows = [(1, body, *range(10)), (2, f"own line\n{body}", *range(10, 20)), (None, None, *range(20, 30))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    out = {r["_id"]: r for r in line_alignment.shared_blocks(frame).collect()}
+    assert [out[0]["clean_text"], out[10]["clean_text"], out[20]["clean_text"]] == [body, "own line", None]
+    assert [tuple(out[k][n] for n in names) for k in (0, 10, 20)] == [r[2:] for r in rows]
+    cut = line_alignment.delete_shared(frame)
+    assert cut.columns == frame.columns and sorted(r["text"] or "" for r in cut.collect()) == ["", "own line", body]
