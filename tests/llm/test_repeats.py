@@ -251,6 +251,24 @@ def test_blocks_against_all_pairs(spark):
     assert cleaned(spark, rows) == plain_blocks(rows)
 
 
+def test_runs_are_aligned(spark, monkeypatch):
+    """Every block comes from an alignment of two documents; equal hashes of runs alone take nothing."""
+    a, b = list("xpqrypqrz"), list("0pqr1zxp")
+    runs = [(1, 4, 1), (1, 4, 5), (5, 6, 8), (6, 8, 0), (0, 2, 0), (4, 7, 2)]  # the last two stand for equal hashes of other lines
+    assert line_alignment.aligned_runs(a, b, runs) == [(1, 4), (1, 4), (5, 6), (6, 8)]
+    labels, held = [], line_alignment.keep
+    monkeypatch.setattr(line_alignment, "keep", lambda df, label: (labels.append(label), held(df, label))[1])
+    monkeypatch.setattr(line_alignment, "SPREAD", 2)
+    body = "\n".join(" ".join(f"l{i}x{k}" for k in range(9)) for i in range(6))
+    rows = [(d, f"own {d}\n" * (d % 3) + body + f"\nend {d}") for d in range(9)]
+    assert cleaned(spark, rows) == plain_blocks(rows) and {"run-pairs", "aligned-runs"} <= set(labels)
+
+
+def test_line_table_by_all_pairs(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(300).collect()]
+    assert {d: t or "" for d, t in cleaned(spark, rows).items()} == plain_blocks(rows)
+
+
 def test_line_dedup_edges(spark):
     schema = "doc_id long, text string, lang string"
     long = "\n".join(f"line {i} of a long text" for i in range(3000))

@@ -1,14 +1,16 @@
 """Line dedup: a later document loses the blocks of lines it shares with an earlier one.
 
 A block is a run of consecutive lines with enough words.  Every block is covered by its shortest runs with
-enough words, at most two a line; each has a hash and an earliest holder, so no pairs are compared and a run
-that thousands carry costs one row each.  With ``rare`` set, documents are instead aligned in pairs
+enough words, at most two a line; each has a hash and an earliest holder.  A document is paired with the holders of
+its runs only, so that a run that thousands carry makes one pair each, and the two are aligned by patience diff over
+the stretch that their runs span; a run that the alignment leaves out (a passage that stands twice or in another
+order) is an anchor of its own.  With ``rare`` set, documents are instead aligned in pairs
 with the owners (earliest documents) of their lines, which misses blocks; see ``shared_blocks``.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -79,6 +81,21 @@ def common_blocks(a: list, b: list, words: list[int], min_words: int) -> list[tu
     return [(x, y) for x, y in out if sum(words[x:y]) >= min_words]
 
 
+def aligned_runs(a: list, b: list, runs: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """(first, end) of the runs (first and end in b, first in a) that lie in one block of the alignment of a and b.
+
+    A run outside of it (no line of it stands once, or it crosses an aligned one) is compared line by line at its two places.
+    """
+    blocks = common_blocks(a, b, [0] * len(b), 0)
+    firsts = [x for x, _ in blocks]
+    out = []
+    for first, end, at in runs:
+        k = bisect_right(firsts, first) - 1
+        if (k >= 0 and end <= blocks[k][1]) or b[first:end] == a[at:at + end - first]:
+            out.append((first, end))
+    return out
+
+
 def short_runs(words: list[int], min_words: int) -> list[tuple[int, int]]:
     """(first, end) of the shortest runs of lines with ``min_words`` words from each line on and up to each line.
 
@@ -119,21 +136,24 @@ def run_hashes(lines: list[int], runs: list[tuple[int, int]]) -> list[int]:
 
 def _runs(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n_lines, totals, ends, places, found = [], [], [0], [], []
+        n_lines, totals, ends, places, found, lines = [], [], [0], [], [], []
         for t in batch.column(1).to_pylist():
             parts = t.split("\n")
             words = [len(p.split()) for p in parts]
             runs = short_runs(words, min_words)
+            hashes = [xxhash.xxh3_64_intdigest(p.strip()) for p in parts] if runs else []
             if runs:
-                found += run_hashes([xxhash.xxh3_64_intdigest(p.strip()) for p in parts], runs)
+                found += run_hashes(hashes, runs)
                 places += runs
+            lines.append([x - (1 << 63) for x in hashes])
             n_lines.append(len(parts))
             totals.append(sum(words))
             ends.append(len(places))
         runs = pa.StructArray.from_arrays([pa.array(found, pa.int64()), pa.array([x for x, _ in places], pa.int32()), pa.array(
             [y for _, y in places], pa.int32())], names=["run", "first", "end"])
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n_lines, pa.int32()), pa.array(totals, pa.int64()),
-                                          pa.ListArray.from_arrays(pa.array(ends, pa.int32()), runs)], names=["id", "whole", "n", "total", "runs"])
+                                          pa.ListArray.from_arrays(pa.array(ends, pa.int32()), runs), pa.array(lines, pa.list_(pa.int64()))],
+                                         names=["id", "whole", "n", "total", "runs", "lines"])
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,6 +173,17 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["id", "whole", "found", "partners"])
 
 
+def _align_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each pair: the runs that its alignment confirms, with places in the whole document."""
+    for batch in batches:
+        blocks = []
+        for low, a_low, runs, b, a in zip(*[batch.column(k).to_pylist() for k in range(2, 7)]):
+            found = aligned_runs(a, b, [(r["first"] - low, r["end"] - low, r["at"] - a_low) for r in runs])
+            blocks.append([{"first": x + low, "end": y + low} for x, y in found])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
+            blocks, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])))], names=["id", "whole", "blocks"])
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lines, words = [], []
@@ -221,17 +252,34 @@ def _fates(lined: DataFrame, found: DataFrame, n_lines: Column, total: Column, m
 
 def _run_fates(rows: DataFrame, min_words: int) -> DataFrame:
     lined = _with_first(keep(rows.mapInArrow(
-        lambda b: _runs(b, min_words), "id long, whole string, n int, total long, runs array<struct<run:long,first:int,end:int>>"), "runs"))
+        lambda b: _runs(b, min_words), "id long, whole string, n int, total long, runs array<struct<run:long,first:int,end:int>>, lines array<long>"), "runs"))
     texts = lined.filter("id = first").dropDuplicates(["id", "whole"])
     listed = texts.select("id", "whole", F.explode("runs").alias("r")).select("id", "whole", "r.*")
-    holders = keep(listed.groupBy("run").agg(F.count("*").alias("n"), F.min(F.struct("id", "whole")).alias("holder"))
-                   .filter("n > 1").select(F.col("run").alias("h_run"), "holder"), "run-holders")
+    holders = keep(listed.groupBy("run").agg(F.count("*").alias("n"), F.min(F.struct("id", "whole", "first")).alias("holder"))
+                   .filter("n > 1").select(F.col("run").alias("h_run"), F.struct("holder.id", "holder.whole").alias("owner"),
+                                           F.col("holder.first").alias("at")), "run-holders")
     shared = listed.join(holders, F.col("run") == F.col("h_run"))
-    shared = shared.filter((F.col("holder.id") != F.col("id")) | (F.col("holder.whole") != F.col("whole")))
-    found = shared.groupBy("id", "whole").agg(F.collect_list(F.struct("first", "end")).alias("found"),
-                                              F.size(F.collect_set("holder")).cast("long").alias("partners"))
+    shared = shared.filter((F.col("owner.id") != F.col("id")) | (F.col("owner.whole") != F.col("whole")))
+    pairs = keep(shared.groupBy("id", "whole", "owner").agg(
+        F.min("first").alias("low"), F.max("end").alias("high"), F.min("at").alias("a_low"), F.max(F.expr("at + end - first")).alias("a_high"),
+        F.collect_list(F.struct("first", "end", "at")).alias("runs")), "run-pairs")
+    # an owner of many pairs is copied, so that its alignments go to several tasks
+    asked = keep(pairs.groupBy("owner").agg(F.ceil(F.count("*") / SPREAD).cast("int").alias("copies")), "pair-owners")
+    slim = texts.select(F.col("id").alias("t_id"), F.col("whole").alias("t_whole"), "lines")
+    stretch = lambda low, high: F.slice("lines", F.col(low) + 1, F.col(high) - F.col(low))
+    mine = pairs.join(asked, "owner").withColumn("copy", F.pmod(F.xxhash64("id", "whole"), "copies").cast("int"))
+    mine = mine.join(slim, (F.col("id") == F.col("t_id")) & (F.col("whole") == F.col("t_whole"))).withColumn("lines", stretch("low", "high"))
+    theirs = asked.select(F.col("owner.id").alias("a_id"), F.col("owner.whole").alias("a_whole"),
+                          F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("a_copy"))
+    theirs = theirs.join(slim, (F.col("a_id") == F.col("t_id")) & (F.col("a_whole") == F.col("t_whole"))).select(
+        "a_id", "a_whole", "a_copy", F.col("lines").alias("a_lines"))
+    both = mine.join(theirs, (F.col("owner.id") == F.col("a_id")) & (F.col("owner.whole") == F.col("a_whole")) & (F.col("copy") == F.col("a_copy")))
+    aligned = both.select("id", "whole", "low", "a_low", "runs", "lines", F.slice("a_lines", F.col("a_low") + 1, F.col("a_high") - F.col("a_low"))
+                          .alias("a_lines")).mapInArrow(_align_runs, f"id long, whole string, blocks {BLOCKS}")
+    found = keep(aligned.filter("size(blocks) > 0").groupBy("id", "whole").agg(
+        F.flatten(F.collect_list("blocks")).alias("found"), F.count("*").alias("partners")), "aligned-runs")
     found = keep(found.mapInArrow(_merge, f"id long, whole string, found {BLOCKS}, partners long"), "line-blocks")
-    return _fates(lined.drop("runs"), found, F.col("n"), F.col("total"), min_words)
+    return _fates(lined.drop("runs", "lines"), found, F.col("n"), F.col("total"), min_words)
 
 
 def _aligned_fates(rows: DataFrame, min_words: int, rare: int) -> DataFrame:
