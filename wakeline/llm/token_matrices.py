@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wakeline.llm.store import text
 from wakeline.llm.tokens import WordTokenizer
+from wakeline.llm.words import parts as slices
 
 ROWS = ("sequence_id long, ids binary, n_tokens int, cu_seqlens array<int>, position_resets array<int>, "
         "doc_ids array<long>, doc_starts array<long>")
@@ -107,14 +108,14 @@ def token_matrices(docs: DataFrame, tokenizer: str, width: int = 4096, buffer_to
             parts, held = [], 0
 
         for batch in batches:
-            for doc, body in zip(batch.column(0), batch.column(1)):
-                ids = words.ids(body.as_py()) + end
-                key = doc.as_py()
-                for at in range(0, len(ids), 4 * width):
-                    parts.append((key, at // 4, ids[at:at + 4 * width]))
-                held += len(ids) // 4
-                if held >= buffer_tokens:
-                    yield from flush()
+            for few in slices(batch):
+                for key, body in zip(few.column(0).to_pylist(), words.batch(few.column(1))):
+                    ids = body + end
+                    for at in range(0, len(ids), 4 * width):
+                        parts.append((key, at // 4, ids[at:at + 4 * width]))
+                    held += len(ids) // 4
+                    if held >= buffer_tokens:
+                        yield from flush()
         yield from flush()
 
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), text(text_column).alias("text")) \
