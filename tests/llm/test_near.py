@@ -32,6 +32,14 @@ def test_components(spark):
     assert store.components(spark, edges.limit(0)).collect() == []
 
 
+def test_stars_take_no_round(spark, monkeypatch):
+    labels, held = [], store.keep
+    monkeypatch.setattr(store, "keep", lambda df, label: (labels.append(label), held(df, label))[1])
+    edges = spark.createDataFrame([(1, 5), (9, 1), (1, 9), (2, 3)], "a long, b long")
+    got = {r["node"]: r["component"] for r in store.components(spark, edges).collect()}
+    assert got == {1: 1, 5: 1, 9: 1, 2: 2, 3: 2} and labels == ["edges"]
+
+
 def plain_set(t, width):
     w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in re.findall(r"[^\x20\x09-\x0D]+", t or "")]
     return {tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
