@@ -25,7 +25,8 @@ class LateSessions(StatefulProcessor):
     """Keeps a user's sessions, sorted and apart by more than the gap, until no row can reach them.
 
     The watermark lies ``lateness`` ms behind the time at which sessions close.  State is at most one session
-    per gap of the time between the watermark and the user's newest row.
+    per gap of the time between the watermark and the user's newest row.  A user has a timer for what comes next only:
+    the first session to fire or to be forgotten.
     """
 
     def __init__(self, gap: int, lateness: int):
@@ -37,14 +38,20 @@ class LateSessions(StatefulProcessor):
         self.sessions = handle.getValueState("sessions", _SESSIONS)
 
     def _held(self) -> list[tuple]:
-        return [tuple(s) for s in self.sessions.get()[0]] if self.sessions.exists() else []
+        state = self.sessions.get()
+        return [tuple(s) for s in state[0]] if state else []
+
+    def _next(self, session: tuple) -> int:
+        """When a session fires, or is forgotten if it has."""
+        return session[1] + self.gap - (0 if session[3] else self.lateness)
 
     def _row(self, user: str, session: tuple, retracted: bool) -> Row:
         return Row(user_id=user, window_start_ms=session[0], window_end_ms=session[1] + self.gap, count=session[2], retracted=retracted)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         closed = timerValues.getCurrentWatermarkInMs() + self.lateness
-        pieces = sorted(self._held() + [(row.t, row.t, 1, None) for row in rows])  # None: a new row
+        held = self._held()
+        pieces = sorted(held + [(row.t, row.t, 1, None) for row in rows], key=lambda p: p[:3])  # None: a new row
         merged: list[list[tuple]] = []
         last = None
         for piece in pieces:
@@ -67,11 +74,12 @@ class LateSessions(StatefulProcessor):
             session = (first, last, n, fired)
             if fired:
                 yield self._row(key[0], session, False)
-            else:
-                self.handle.registerTimer(last + self.gap - self.lateness)
-            self.handle.registerTimer(last + self.gap)
             out.append(session)
         self.sessions.update((out,))
+        # one that a session of before had is still there
+        due = min(map(self._next, out))
+        if due < min(map(self._next, held), default=due + 1):
+            self.handle.registerTimer(due)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
@@ -86,6 +94,7 @@ class LateSessions(StatefulProcessor):
         if left:
             if left != held:
                 self.sessions.update((left,))
+            self.handle.registerTimer(min(map(self._next, left)))
         elif held:
             self.sessions.clear()
 
