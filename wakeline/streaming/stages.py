@@ -18,75 +18,99 @@ _SLOT = StructType([StructField("start", LongType())])
 _EVENTS = StructType([StructField("events", ArrayType(StructType([
     StructField("t", LongType()), StructField("rank", StringType()), StructField("first", BooleanType()),
     StructField("more", BooleanType()), StructField("units", LongType())])))])
-_TIME = StructType([StructField("t", LongType())])
+_HELD = StructType([StructField("done", LongType()), StructField("slotted", BooleanType()), *_EVENTS.fields])
+#: Events of a (user, time cell) up to this number lie in one value; more go to slots.
+SMALL = 64
 _MATCH = StructType([StructField("user_id", StringType()), StructField("purchase_count", IntegerType()),
                      StructField("total_units", LongType()), StructField("first_ts", LongType()), StructField("last_ts", LongType()), StructField("ts", TimestampType())])
 
 
 class StagedProcessor(StatefulProcessor):
-    """Holds the events of a (user, time cell) in slots of ``within`` ms and works them off in time order.
+    """Holds the events of a (user, time cell) and works them off in time order.
 
-    A timer reads only the slots that the newly reached events can match with, so a call costs the events
-    of the last ``within`` ms, not those of the cell.  Slots behind that are removed.
+    A call to the state costs more than a few events, so up to ``SMALL`` events are one value that is read and written
+    whole.  More of them go to slots of ``within`` ms: a timer then reads only the slots that the newly reached events can match
+    with, so a call costs the events of the last ``within`` ms, not those of the cell.  Slots behind that are removed.
+    A key has a timer for what comes next only: the first event that may end a match, or the end of its cell.
     """
 
     def __init__(self, min_more: int, within: int, width: int):
         self.min_more = min_more
         self.within = within
         self.width = width
+        self.small = SMALL
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.held = handle.getValueState("held", _HELD)  # events up to ``done`` have been worked off
         self.slots = handle.getMapState("slots", _SLOT, _EVENTS)
-        self.done = handle.getValueState("done", _TIME)  # events up to here have been worked off
 
     def _slots(self, low: int, high: int) -> Iterator[int]:
         return iter(range(low - low % self.within, high + 1, self.within))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def _to_slots(self, events: list) -> None:
         fresh: dict[int, list] = {}
-        for row in rows:
-            fresh.setdefault(row.t - row.t % self.within, []).append((row.t, row.rank, row.first, row.more, row.units))
-        if not self.done.exists():
-            # before the first event that a copy from the cell before can have
-            self.done.update((key[1] - self.within - 1,))
-            self.handle.registerTimer(key[1] + self.width)
-        for start, events in fresh.items():
-            held = self.slots.getValue((start,)) if self.slots.containsKey((start,)) else None
-            self.slots.updateValue((start,), ([tuple(e) for e in held[0]] + events if held else events,))
-        waiting = [e[0] for events in fresh.values() for e in events if e[3] and e[0] >= key[1]]
+        for e in events:
+            fresh.setdefault(e[0] - e[0] % self.within, []).append(e)
+        for start, part in fresh.items():
+            self.slots.updateValue((start,), (self._slot(start) + part,))
+
+    def _slot(self, start: int) -> list:
+        return [tuple(e) for e in self.slots.getValue((start,))[0]] if self.slots.containsKey((start,)) else []
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        cell, end = key[1], key[1] + self.width
+        fresh = [(row.t, row.rank, row.first, row.more, row.units) for row in rows]
+        state = self.held.get()
+        # before the first event that a copy from the cell before can have
+        done, slotted, events = state if state else (cell - self.within - 1, False, [])
+        if slotted:
+            self._to_slots(fresh)
+        else:
+            events = [tuple(e) for e in events] + fresh
+            if len(events) > self.small:
+                self._to_slots(events)
+                slotted, events = True, []
+            self.held.update((done, slotted, events))
+        waiting = [e[0] for e in fresh if e[3] and e[0] >= cell]
         if waiting:
             self.handle.registerTimer(min(waiting))
+        elif not state:
+            self.handle.registerTimer(end)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         user, cell = key
-        now = timerValues.getCurrentWatermarkInMs()
-        if not self.done.exists():
-            return
-        done = self.done.get()[0]
-        if now <= done:
+        now, end = timerValues.getCurrentWatermarkInMs(), key[1] + self.width
+        state = self.held.get()
+        if not state or now <= state[0]:
             return
-        held = []
-        for start in self._slots(max(done + 1, cell) - self.within, min(now, cell + self.width)):
-            if self.slots.containsKey((start,)):
-                held += [tuple(e) for e in self.slots.getValue((start,))[0]]
-        held.sort(key=lambda e: (e[0], e[1], e[2], e[3]))
-        yield from self._matches(user, cell, done, [e for e in held if e[0] <= now])
-        self.done.update((now,))
-        if now >= cell + self.width:
-            self.slots.clear()
-            self.done.clear()
+        done, slotted, events = state
+        if slotted:
+            events = [e for start in self._slots(max(done + 1, cell) - self.within, min(now, end)) for e in self._slot(start)]
+        else:
+            events = [tuple(e) for e in events]
+        events.sort(key=lambda e: (e[0], e[1], e[2], e[3]))
+        yield from self._matches(user, cell, done, [e for e in events if e[0] <= now])
+        if now >= end:
+            self.held.clear()
+            if slotted:
+                self.slots.clear()
             return
-        for (start,) in list(self.slots.keys()):
-            if start + self.within <= now - self.within:
-                self.slots.removeKey((start,))
-        for start in self._slots(now + 1, cell + self.width - 1):
-            if self.slots.containsKey((start,)):
-                ahead = [e[0] for e in self.slots.getValue((start,))[0] if e[3] and e[0] > now and e[0] >= cell]
+        if slotted:
+            for (start,) in list(self.slots.keys()):
+                if start + self.within <= now - self.within:
+                    self.slots.removeKey((start,))
+            self.held.update((now, True, []))
+            ahead = []
+            for start in self._slots(now + 1, end - 1):
+                ahead = [e[0] for e in self._slot(start) if e[3] and e[0] > now and e[0] >= cell]
                 if ahead:
-                    self.handle.registerTimer(min(ahead))
                     break
+        else:
+            self.held.update((now, False, [e for e in events if e[0] > now - self.within]))
+            ahead = [e[0] for e in events if e[3] and e[0] > now and e[0] >= cell]
+        self.handle.registerTimer(min(ahead, default=end))
 
     def _matches(self, user: str, cell: int, done: int, events: list) -> Iterator[Row]:
         starts: list[tuple] = []  # (t, later events so far, their sum without this event's amount)
