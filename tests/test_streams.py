@@ -10,6 +10,7 @@ from tests.test_fixtures import VIEWS, brute_force_runs
 from wakeline import schemas
 from wakeline.operators import joins, patterns, results, topk, windows
 from wakeline.streaming.batches import keep_recent, split_late
+from wakeline.streaming import late_sessions, stages
 from wakeline.streaming.bursts import rapid_purchases_stream
 from wakeline.streaming.run import AVAILABLE_NOW, finish, start
 
@@ -116,6 +117,26 @@ def test_bursts_equal_brute_force(spark, monkeypatch, tmp_path, alerts, min_time
     assert rows(got, *ALERT) == brute_force_runs(data, min_times, within)
 
 
+@pytest.mark.parametrize("small", [0, 4])
+def test_bursts_in_slots(spark, monkeypatch, tmp_path, small):
+    """Groups that outgrow one value, at once or over several batches."""
+    monkeypatch.setattr(stages, "SMALL", small)
+    data = shuffled(8, 300, 4_000)
+    write_batches(f"{tmp_path}/in", in_files(data, 6) + [FLUSH])
+    got = run(rapid_purchases_stream(stream(spark, f"{tmp_path}/in", schemas.PURCHASE, 5_000), 3, 4_000), tmp_path)
+    assert rows(got, *ALERT) == brute_force_runs(data, 3, 4_000)
+
+
+def test_one_timer_for_what_comes_next(spark, tmp_path):
+    write_batches(f"{tmp_path}/in", [[("u", "p", t, 1) for t in (1_000, 2_000, 3_000)]])
+    views = lambda: stream(spark, f"{tmp_path}/in", schemas.PURCHASE, 5_000)
+    forms = [rapid_purchases_stream(views()), late_sessions.session_changes(views(), 500, 60_000)]
+    for k, form in enumerate(forms):
+        query = start(form, "parquet", f"{tmp_path}/cp{k}", f"{tmp_path}/out{k}", trigger=AVAILABLE_NOW)
+        finish(query)
+        assert query.recentProgress[0]["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] == 1
+
+
 def test_burst_processor_drops_late_rows_and_survives_a_restart(spark, tmp_path):
     def go():
         purchases = stream(spark, f"{tmp_path}/in", schemas.PURCHASE, 5_000)

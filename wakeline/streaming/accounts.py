@@ -31,23 +31,27 @@ class YoungAccounts(StatefulProcessor):
         self.waiting = handle.getListState("waiting", self.alert)
 
     def _seen(self, t: int) -> None:
-        if not self.first.exists() or t < self.first.get()[0]:
+        least = self.first.get()
+        if not least or t < least[0]:
             self.first.update((t,))
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         self._seen(initialState.seen_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        seen, alerts = [], []
-        least = self.first.get()[0] if self.first.exists() else None
+        seen, alerts, cells = [], [], set()
+        state = self.first.get()
+        least = state[0] if state else None
         for row in rows:
             if row.seen_ms is not None:
                 seen.append(row.seen_ms)
             elif least is None or row.first_ts - least <= self.max_age:
                 alerts.append(tuple(row[name] for name in self.alert.names))
-                self.handle.registerTimer(row.first_ts - row.first_ts % self.settle + self.settle)
-        if seen:
-            self._seen(min(seen))
+                cells.add(row.first_ts - row.first_ts % self.settle + self.settle)
+        if seen and (least is None or min(seen) < least):
+            self.first.update((min(seen),))
+        for cell in cells:
+            self.handle.registerTimer(cell)
         if alerts:
             self.waiting.appendList(alerts)
         return iter([])
